@@ -1,4 +1,4 @@
-"""Typed layouts of the core tables and the step that brings rows into them."""
+"""Typed layouts of the core tables, as DDL, and the step that brings rows into them."""
 
 from __future__ import annotations
 
@@ -13,44 +13,44 @@ _TRACKING = (
 )
 _MONEY = "decimal(18,2)"
 
-CLIENTS = StructType.fromDDL(
+CLIENTS = (
     "legacy_id string, name string, phone string, status string, child_name string, child_dob date, "
     f"age string, balance {_MONEY}, debt {_MONEY}, spent {_MONEY}, {_TRACKING}"
 )
-SALES = StructType.fromDDL(
+SALES = (
     "legacy_id string, date timestamp, client_id string, product_name string, type string, category string, "
     f"quantity int, full_price {_MONEY}, discount {_MONEY}, final_price {_MONEY}, cash {_MONEY}, "
     f"transfer {_MONEY}, terminal {_MONEY}, debt {_MONEY}, comment string, admin string, trainer string, "
     + _TRACKING
 )
-SCHEDULE = StructType.fromDDL(
+SCHEDULE = (
     "legacy_id string, date date, start_time string, end_time string, client_id string, employee_id string, "
     f"status string, type string, category string, comment string, {_TRACKING}"
 )
-EXPENSES = StructType.fromDDL(
+EXPENSES = (
     f"legacy_id string, date date, category string, amount {_MONEY}, comment string, {_TRACKING}"
 )
-EMPLOYEES = StructType.fromDDL(
+EMPLOYEES = (
     "id string, full_name string, role string, aliases array<string>, is_active boolean, created_at timestamp"
 )
-PRODUCTS = StructType.fromDDL(
+PRODUCTS = (
     f"id string, name string, category string, aliases array<string>, base_price {_MONEY}, "
     "units_per_item int, is_active boolean, created_at timestamp"
 )
-EXPENSE_CATEGORIES = StructType.fromDDL(
+EXPENSE_CATEGORIES = (
     "id string, name string, parent_category string, aliases array<string>, created_at timestamp"
 )
-RUNS = StructType.fromDDL(
+RUNS = (
     "run_id string, started_at timestamp, finished_at timestamp, status string, mode string, "
     "tables_processed int, total_rows_synced bigint, validation_errors bigint, "
     "duration_seconds decimal(10,2), error_message string"
 )
-TABLE_STATS = StructType.fromDDL(
+TABLE_STATS = (
     "run_id string, table_name string, rows_extracted bigint, rows_inserted bigint, rows_updated bigint, "
     "rows_deleted bigint, rows_unchanged bigint, validation_errors bigint, duration_ms bigint, "
     "created_at timestamp"
 )
-VALIDATION_LOG = StructType.fromDDL(
+VALIDATION_LOG = (
     "run_id string, table_name string, row_index bigint, column_name string, invalid_value string, "
     "error_type string, message string, created_at timestamp"
 )
@@ -65,7 +65,7 @@ DEFAULTS: dict[str, Any] = {
 
 def conform(
     df: DataFrame,
-    layout: StructType,
+    layout: str,
     now: Column,
     defaults: dict[str, Any] | None = None,
     stamped: tuple[str, ...] = ("created_at", "updated_at"),
@@ -89,4 +89,4 @@ def conform(
             c = F.coalesce(c, now.cast(kind))
         return c.alias(field.name)
 
-    return df.select(*[fitted(f) for f in layout.fields])
+    return df.select(*[fitted(f) for f in StructType.fromDDL(layout).fields])
