@@ -9,10 +9,16 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
+
+from rowloom.sources.tabular import spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
 
+# tables whose cells are cleaned in volume
+CLEANED = ("orders", "lineitem", "events", "documents")
+
 AS_OF_SALES = "2001-08-01 00:00:00"
 AS_OF_EVENTS = "2024-01-31 12:00:00"
 
@@ -264,15 +270,22 @@ FIXTURES = {
 }
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sql = FIXTURES[name]
     used = set(re.findall(r"\{(\w+)\}", sql))
-    return spark.sql(sql, **{t: table(spark, sf_dir, t) for t in used})
+    inputs = {t: table(spark, sf_dir, t) for t in used}
+    return spark.sql(sql, **{t: spread(df) if t in CLEANED else df for t, df in inputs.items()})
 
 
 def fixture_sql(name: str) -> str:

@@ -89,25 +89,32 @@ def has(c: str, pattern: str) -> str:
     return f"coalesce(regexp_matches({c}, '{pattern}'), false)"
 
 
+ANY = r"\d{2}\.\d{2}\.(?:\d{4}|\d{2})"
+
+
+def _first(c: str) -> str:
+    found = f"coalesce({find(c, ANY)}, '')"
+    return f"WHEN length({found}) = 10 THEN {_full(found)} WHEN length({found}) = 8 THEN {_short(found)}"
+
+
 def sales_date(c: str, as_of: str, compat: bool = False) -> str:
-    first = "" if compat else f"WHEN {has(c, D4)} THEN CAST({_full(find(c, D4))} AS TIMESTAMP) "
-    return (f"(CASE {first}WHEN {has(c, D2)} THEN CAST({_short(find(c, D2))} AS TIMESTAMP) "
-            f"ELSE TIMESTAMP '{as_of}' END)")
+    short = f"WHEN {has(c, D2)} THEN {_short(find(c, D2))}"
+    now = f"CAST(TIMESTAMP '{as_of}' AS DATE)"
+    # all instants used here are midnights
+    return f"CAST(CASE {short if compat else _first(c)} ELSE {now} END AS TIMESTAMP)"
 
 
 def schedule_date(c: str, as_of: str, year: int = 2025, compat: bool = False) -> str:
-    bare = r"^\d{2}\.\d{2}\."
+    bare, now = r"^\d{2}\.\d{2}\.", f"CAST(TIMESTAMP '{as_of}' AS DATE)"
     if compat:
         glued = f"left({c} || '{year}', 10)"
-        return (f"(CASE WHEN {has(c, bare)} THEN {_full(glued)} WHEN {has(c, D2)} THEN {_short(find(c, D2))} "
-                f"ELSE CAST(TIMESTAMP '{as_of}' AS DATE) END)")
-    return (f"(CASE WHEN {has(c, D4)} THEN {_full(find(c, D4))} WHEN {has(c, D2)} THEN {_short(find(c, D2))} "
-            f"WHEN {has(c, bare)} THEN {_full(f'left({c}, 6) || {year!r}')} ELSE CAST(TIMESTAMP '{as_of}' AS DATE) END)")
+        return f"(CASE WHEN {has(c, bare)} THEN {_full(glued)} WHEN {has(c, D2)} THEN {_short(find(c, D2))} ELSE {now} END)"
+    in_year = _full(f"left({c}, 6) || '{year}'")
+    return f"(CASE {_first(c)} WHEN {has(c, bare)} THEN {in_year} ELSE {now} END)"
 
 
 def schedule_date_hst(c: str, as_of: str) -> str:
-    return (f"(CASE WHEN {has(c, D4)} THEN {_full(find(c, D4))} WHEN {has(c, D2)} THEN {_short(find(c, D2))} "
-            f"ELSE CAST(TIMESTAMP '{as_of}' AS DATE) END)")
+    return f"(CASE {_first(c)} ELSE CAST(TIMESTAMP '{as_of}' AS DATE) END)"
 
 
 def birth_date(c: str) -> str:

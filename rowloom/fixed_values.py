@@ -16,6 +16,8 @@ FALSE_WORDS_EXACT = ("FALSE", "False", "false", "0", "нет", "no", "N", "n")
 
 # One trailing currency or unit mark of a number cell.
 UNIT_SUFFIX = r"(?i)(руб|руб\.|\$|€|шт|шт\.|[\p{L}\p{N}_]{1,3}\.)$"
+# The letters it can end in, in any case (two old forms of т fold to it as well).
+UNIT_SUFFIX_ENDS = (".", "$", "€", "б", "Б", "т", "Т", "\u1c84", "\u1c85")
 
 # Column kinds by name: the first two by substring, the last two by whole name.
 DATE_KEYWORDS = ("data", "date", "zapis", "den", "dob", "birthday", "created", "updated")

@@ -11,8 +11,8 @@ from pyspark.sql import Column, functions as F
 from rowloom import fixed_values as fv
 from rowloom.functions.text import NUMBER, strip
 
-_DMY4 = r"(\d{2})\.(\d{2})\.(\d{4})"
-_DMY2 = r"(\d{2})\.(\d{2})\.(\d{2})"
+_LONG, _SHORT = r"\d{2}\.\d{2}\.\d{4}", r"\d{2}\.\d{2}\.\d{2}"
+_ANY = r"\d{2}\.\d{2}\.(?:\d{4}|\d{2})"
 
 
 def _century(yy: Column, pivot: int = 70) -> Column:
@@ -23,9 +23,15 @@ def _date(y: Column, m: Column, d: Column) -> Column:
     return F.concat(y, F.lit("-"), m, F.lit("-"), d).try_cast("date")
 
 
-def _dmy(c: Column, pattern: str) -> Column:
-    d, m, y = (F.regexp_extract(c, pattern, i) for i in (1, 2, 3))
-    return _date(_century(y) if pattern.endswith(_DMY2) else y, m, d)
+def _find(c: Column, pattern: str) -> Column:
+    """The first match, '' if there is none or no cell."""
+    return F.coalesce(F.regexp_extract(c, pattern, 0), F.lit(""))
+
+
+def _read(found: Column) -> Column:
+    """A found dd.MM.yyyy or dd.MM.yy as a date."""
+    year = F.when(F.length(found) == 10, F.substring(found, 7, 4)).otherwise(_century(F.substring(found, 7, 2)))
+    return _date(year, F.substring(found, 4, 2), F.substring(found, 1, 2))
 
 
 def serial_date(c: Column) -> Column:
@@ -51,43 +57,37 @@ def serial_date(c: Column) -> Column:
 
 
 def sales_date(c: Column, as_of: Column, compat: bool = False) -> Column:
-    """dd.MM.yyyy, else dd.MM.yy, anywhere in the cell; `as_of` for cells with neither.
+    """The first dd.MM.yyyy or dd.MM.yy in the cell; `as_of` for cells with neither.
 
-    compat=True tries the short form first, so that 15.03.2024 becomes 2020-03-15, as in
+    compat=True cuts the year after two digits, so that 15.03.2024 becomes 2020-03-15, as in
     tables filled by the older loader.
     """
-    short = _dmy(c, _DMY2)
-    day = short if compat else F.when(c.rlike(_DMY4), _dmy(c, _DMY4)).otherwise(short)
-    return F.when(c.rlike(_DMY2), day.cast("timestamp")).otherwise(as_of)
+    found = _find(c, _SHORT if compat else _ANY)
+    return F.when(found != "", _read(found).cast("timestamp")).otherwise(as_of)
 
 
 def schedule_date(c: Column, as_of: Column, year: int = fv.DEFAULT_SCHEDULE_YEAR, compat: bool = False) -> Column:
-    """Current sheet: dd.MM.yyyy, else dd.MM.yy, else a leading 'dd.MM.' in `year`.
+    """Current sheet: dd.MM.yyyy or dd.MM.yy, else a leading 'dd.MM.' in `year`.
 
     compat=True appends `year` to whatever starts with 'dd.MM.' and reads four digits.
     """
-    bare = r"^(\d{2})\.(\d{2})\."
-    in_year = _date(F.lit(str(year)), F.regexp_extract(c, bare, 2), F.regexp_extract(c, bare, 1))
+    found = _find(c, _SHORT if compat else _ANY)
+    day_month = _find(c, r"^\d{2}\.\d{2}\.")
+    in_year = _read(F.concat(day_month, F.lit(str(year))))
     if compat:
-        glued = F.concat(c, F.lit(str(year)))
-        return F.when(c.rlike(bare), _dmy(glued, "^" + _DMY4)).when(c.rlike(_DMY2), _dmy(c, _DMY2)).otherwise(as_of)
-    return (
-        F.when(c.rlike(_DMY4), _dmy(c, _DMY4))
-        .when(c.rlike(_DMY2), _dmy(c, _DMY2))
-        .when(c.rlike(bare), in_year)
-        .otherwise(as_of)
-    )
+        glued = _read(_find(F.concat(c, F.lit(str(year))), "^" + _LONG))
+        return F.when(day_month != "", glued).when(found != "", _read(found)).otherwise(as_of)
+    return F.when(found != "", _read(found)).when(day_month != "", in_year).otherwise(as_of)
 
 
 def schedule_date_history(c: Column, as_of: Column, compat: bool = False) -> Column:
-    """Historical sheet: dd.MM.yyyy, else dd.MM.yy; compat wants the long form to fill the cell."""
-    long = f"^{_DMY4}$" if compat else _DMY4
-    day = F.when(c.rlike(long), _dmy(c, long)).otherwise(_dmy(c, _DMY2))
-    return F.when(c.rlike(_DMY2), day).otherwise(as_of)
+    """Historical sheet: dd.MM.yyyy or dd.MM.yy; compat wants the long form to fill the cell."""
+    found = _find(c, f"^{_LONG}$|{_SHORT}" if compat else _ANY)
+    return F.when(found != "", _read(found)).otherwise(as_of)
 
 
 def birth_date(c: Column) -> Column:
-    return F.when(c.rlike(f"^{_DMY4}$"), _dmy(c, _DMY4))
+    return _read(F.when(c.rlike(f"^{_LONG}$"), c))
 
 
 def clock_time(c: Column, default: str) -> Column:

@@ -7,17 +7,16 @@ from functools import reduce
 from pyspark.sql import Column, functions as F
 
 from rowloom import fixed_values as fv
-from rowloom.functions.text import PLAIN_NUMBER, blank_to_null
+from rowloom.functions.text import blank_to_null
 
 MONEY = "decimal(18,2)"
 
 
 def money(c: Column, dtype: str = MONEY) -> Column:
     """The amount in a cell ('1 250,50 руб.'); 0 where there is none."""
-    kept = F.replace(F.regexp_replace(c, "[^0-9,.-]", ""), F.lit(","), F.lit("."))
-    # what is left of a currency mark such as 'р.'
-    kept = F.regexp_replace(kept, r"(\d)\.$", "$1")
-    return F.coalesce(F.when(kept.rlike(PLAIN_NUMBER), kept.try_cast(dtype)), F.lit(0).cast(dtype))
+    kept = F.replace(F.regexp_replace(c, "[^0-9,.-]+", ""), F.lit(","), F.lit("."))
+    # points at the end are what is left of a currency mark such as 'р.'
+    return F.coalesce(F.rtrim(kept, F.lit(".")).try_cast(dtype), F.lit(0).cast(dtype))
 
 
 def integer(c: Column, default: int = 1) -> Column:

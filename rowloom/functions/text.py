@@ -12,6 +12,9 @@ SPACES = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 SPACE = (
     r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 )
+# Any character that is not in the ranges of plain letters, digits and signs: all white space
+# but the blank, all control characters, and a few harmless others.
+ODD = r"[^ -~\xa1-ᙿ‐-‧‰-⁞⁠-⿿、-￿\x{10000}-\x{10ffff}]"
 # Spark's double cast also takes 'NaN', '1d' and '1f'; sheets mean none of these as numbers.
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)$"
@@ -33,12 +36,16 @@ def blank_to(c: Column, default: str) -> Column:
 
 def is_blank(c: Column) -> Column:
     """True for NULL and for white space only."""
-    return F.coalesce(strip(c) == "", F.lit(True))
+    return F.coalesce(~c.rlike("[^" + SPACE[1:]), F.lit(True))
+
+
+_LONGEST_BLANK_WORD = max(map(len, fv.BLANK_WORDS))
 
 
 def clean_string(c: Column) -> Column:
     s = strip(c.cast("string"))
-    return F.when(~F.lower(s).isin(*fv.BLANK_WORDS), s)
+    # the length is looked at first: most cells are spared the lower-casing
+    return F.when((F.length(s) > _LONGEST_BLANK_WORD) | ~F.lower(s).isin(*fv.BLANK_WORDS), s)
 
 
 def normalize_numeric_string(c: Column) -> Column:
@@ -47,7 +54,8 @@ def normalize_numeric_string(c: Column) -> Column:
     Meant for number cells; text cells lose their inner spaces and their commas.
     """
     packed = F.replace(F.translate(clean_string(c), SPACES, ""), F.lit(","), F.lit("."))
-    return F.regexp_replace(packed, "(?u)" + fv.UNIT_SUFFIX, "")
+    may_end_in_unit = F.substring(packed, -1, 1).isin(*fv.UNIT_SUFFIX_ENDS)
+    return F.when(may_end_in_unit, F.regexp_replace(packed, "(?u)" + fv.UNIT_SUFFIX, "")).otherwise(packed)
 
 
 def normalize_boolean(c: Column) -> Column:

@@ -38,7 +38,8 @@ def runs_since(runs: DataFrame, as_of: Column, days: int) -> DataFrame:
 def run_labels(runs: DataFrame, hours: int = fv.LOCAL_HOURS) -> DataFrame:
     """Adds local start time, chart label and duration text."""
     local = F.col("started_at") + F.make_dt_interval(hours=F.lit(hours))
-    seconds = F.col("duration_seconds").cast("double")
+    # ties go to the even digit, as in the reports so far
+    seconds = F.bround(F.col("duration_seconds"), 1).cast("double")
     return runs.withColumns(
         {
             "started_local": F.date_format(local, "yyyy-MM-dd HH:mm"),

@@ -140,11 +140,11 @@ def table_issues(df: DataFrame, table: str, pk: str, critical: Sequence[str] = (
 
 
 def volume_issues(anomalies: DataFrame) -> DataFrame:
-    percent = F.format_string("%.1f%%", F.col("deviation") * 100)
+    percent = F.format_string("%.1f%%", F.bround(F.col("deviation") * 100, 1))
     text = F.concat(
         F.lit("Аномалия объема: получено "), "rows", F.lit(" строк, среднее за "), "runs", F.lit(" запусков — "),
-        F.format_string("%.1f", "avg_rows"), F.lit(" (отклонение "), percent, F.lit(", порог "),
-        F.format_string("%.0f%%", F.col("threshold") * 100), F.lit(")"),
+        F.format_string("%.1f", F.bround("avg_rows", 1)), F.lit(" (отклонение "), percent, F.lit(", порог "),
+        F.format_string("%.0f%%", F.bround(F.col("threshold") * 100, 0)), F.lit(")"),
     )
     return anomalies.where("is_anomaly").select(*_issue(F.col("table_name"), "VOLUME_ANOMALY", text, "warning"))
 

@@ -17,9 +17,25 @@ from rowloom.functions.text import is_blank, normalize_numeric_string, strip
 BROADCAST_BLOCKS = 50_000
 
 
+def quoted(name: str) -> str:
+    """A column name that may hold points and spaces, for F.col()."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def spread(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Deals the rows of a small input out to all cores.
+
+    Cleaning text cells costs far more than reading them, and a file of a few megabytes comes
+    as one or two splits.  Inputs with at least as many splits as cores, as large ones have,
+    are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key or df.columns[0])
+
+
 def drop_blank_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Without rows that have no text in any cell."""
-    return df.where(~reduce(lambda a, b: a & b, [is_blank(F.col(c)) for c in columns or df.columns]))
+    return df.where(~reduce(lambda a, b: a & b, [is_blank(F.col(quoted(c))) for c in columns or df.columns]))
 
 
 def with_row_index(df: DataFrame, start: int = fv.FIRST_DATA_ROW, name: str = "_row_index") -> DataFrame:
@@ -48,7 +64,7 @@ def with_row_index(df: DataFrame, start: int = fv.FIRST_DATA_ROW, name: str = "_
     if len(blocks) <= BROADCAST_BLOCKS:
         offsets = F.broadcast(offsets)
     numbered = placed.join(offsets, ["__file", "__block"])
-    return numbered.select(*df.columns, (F.col("__place") + F.col("__shift")).alias(name))
+    return numbered.select(*[quoted(c) for c in df.columns], (F.col("__place") + F.col("__shift")).alias(name))
 
 
 def is_header_row(cells: Column) -> Column:
@@ -105,10 +121,9 @@ def read_tabular(
             reader = reader.option("primitivesAsString", True)
         raw = reader.load(path)
         names = raw.columns
-        text = [F.col(f"`{c}`").cast("string").alias(f"_c{i}") for i, c in enumerate(names)]
-        # the scan keeps its own names here, so that file positions stay readable
-        kept = raw.where(~reduce(lambda a, b: a & b, [is_blank(F.col(f"`{c}`").cast("string")) for c in names]))
-        rows = with_row_index(kept).select(*text, "_row_index")
+        text = [F.col(quoted(c)).cast("string").alias(f"_c{i}") for i, c in enumerate(names)]
+        blank = reduce(lambda a, b: a & b, [is_blank(F.col(quoted(c)).cast("string")) for c in names])
+        rows = with_row_index(raw.where(~blank)).select(*text, "_row_index")
     return rows.toDF(*normalize_headers(names, table, mapping), "_row_index")
 
 
