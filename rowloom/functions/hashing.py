@@ -8,16 +8,28 @@ from collections.abc import Sequence
 from pyspark.sql import Column, functions as F
 
 from rowloom import fixed_values as fv
-from rowloom.functions.text import ODD, normalize_value
+from rowloom.functions.text import ODD, normalize_value, quoted
 
 # Control characters that stay after white space is normalised, as JSON writes them.
 _CONTROLS = {chr(i): f"\\u{i:04x}" for i in range(0x20) if not chr(i).isspace()} | {"\b": "\\b"}
 
 
-def _swap(c: Column, *pairs: tuple[str, str]) -> Column:
+def _swap(c: Column, pairs: list[tuple[str, str]]) -> Column:
     return reduce(lambda text, p: F.replace(text, F.lit(p[0]), F.lit(p[1])), pairs, c)
 
 
+def _spell_controls(c: Column) -> Column:
+    pairs = F.lit([f"{char}{spelled}" for char, spelled in _CONTROLS.items()])
+    return F.aggregate(pairs, c, lambda text, p: F.replace(text, F.substring(p, 1, 1), F.substring(p, 2, 6)))
+
+
+def _cell(c: Column | str) -> Column:
+    # names go through one expression text: wide sheets have many cells
+    if isinstance(c, str):
+        return F.expr(f"coalesce(cast({quoted(c)} AS string), '')")
+    return F.coalesce(c.cast("string"), F.lit(""))
+
+
 def row_hash(cols: Sequence[Column | str], exclude: Sequence[int] = ()) -> Column:
     """md5 over the normalised cells as a JSON list, in order; `exclude` lists positions to leave out.
 
@@ -25,18 +37,16 @@ def row_hash(cols: Sequence[Column | str], exclude: Sequence[int] = ()) -> Colum
     and such rows are only trimmed and quoted.  Cells are joined by a line feed, which no
     normalised cell contains.
     """
-    kept = [F.col(c) if isinstance(c, str) else c for i, c in enumerate(cols) if i not in set(exclude)]
-    if not kept:
+    cells = [_cell(c) for i, c in enumerate(cols) if i not in set(exclude)]
+    if not cells:
         return F.md5(F.lit("[]"))
-    cells = [F.coalesce(c.cast("string"), F.lit("")) for c in kept]
     joined = F.concat_ws("\n", *cells)
     odd = F.concat_ws("", *cells).rlike(ODD) | joined.contains("  ")
-    even = F.array_join(F.transform(F.array(*cells), normalize_value), "\n")
-    quoted = [("\\", "\\\\"), ('"', '\\"')]
-    ends = [(" \n", "\n"), ("\n ", "\n")]
-    plain = _swap(F.trim(joined), *ends, *quoted, ("\n", '", "'))
-    spelled = _swap(even, *quoted, *_CONTROLS.items(), ("\n", '", "'))
-    return F.md5(F.concat(F.lit('["'), F.when(odd, spelled).otherwise(plain), F.lit('"]')))
+    quotes = [("\\", "\\\\"), ('"', '\\"')]
+    plain = _swap(F.trim(joined), [(" \n", "\n"), ("\n ", "\n"), *quotes])
+    even = F.transform(F.array(*cells), lambda v: _spell_controls(_swap(normalize_value(v), quotes)))
+    text = F.when(odd, F.array_join(even, "\n")).otherwise(plain)
+    return F.md5(F.concat(F.lit('["'), F.replace(text, F.lit("\n"), F.lit('", "')), F.lit('"]')))
 
 
 def legacy_key(*cols: Column) -> Column:

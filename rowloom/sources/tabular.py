@@ -11,17 +11,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rowloom import fixed_values as fv
 from rowloom.functions.hashing import row_hash
 from rowloom.functions.slug import normalize_headers
-from rowloom.functions.text import is_blank, normalize_numeric_string, strip
+from rowloom.functions.text import is_blank, normalize_numeric_string, quoted, strip
 
 # Offsets of the input blocks are sent to all tasks up to this many blocks.
 BROADCAST_BLOCKS = 50_000
 
 
-def quoted(name: str) -> str:
-    """A column name that may hold points and spaces, for F.col()."""
-    return "`" + name.replace("`", "``") + "`"
-
-
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
     """Deals the rows of a small input out to all cores.
 
