@@ -195,7 +195,7 @@ def swap_load(spark, sf):
     offers = {"first": (o, False), "too_short": (short, False), "repeated": (twice, False), "forced": (o.where("o_orderstatus <> 'P'"), True)}
     done = []
     for step, (rows, force) in offers.items():
-        swap = sinks.swap_load(spark, rows, name, "o_orderkey", "content_hash", force=force)
+        swap = sinks.swap_load(spark, rows, name, "o_orderkey", "content_hash", force=force, root=shared_folder(spark))
         live = spark.table(name)
         done.append(live.agg(F.count("*").alias("live_rows"), F.sum("o_orderkey").alias("key_sum"))
                     .select(F.lit(step).alias("step"), F.lit(swap.done).alias("swapped"), "live_rows", "key_sum"))

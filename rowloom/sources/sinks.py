@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import logging
+import uuid
 from dataclasses import dataclass
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowloom import fixed_values as fv
+from rowloom.operators.ledger import retention
 from rowloom.operators.quality import duplicate_hash_count, duplicate_keys
-from rowloom.sources.shared import shared_folder
+from rowloom.sources.shared import materialize
 
 log = logging.getLogger(__name__)
 
@@ -39,6 +42,17 @@ def append_raw_dump(dump: DataFrame, path: str) -> None:
     dump.write.mode("append").partitionBy("extracted_on").parquet(path)
 
 
+def append_table(df: DataFrame, table: str, root: str | None = None, by: tuple[str, ...] = ()) -> None:
+    """Appends to a catalog table, which is made on the first call."""
+    if df.sparkSession.catalog.tableExists(table):
+        df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
+        return
+    writer = df.write.partitionBy(*by) if by else df.write
+    if root:
+        writer = writer.option("path", f"{root.rstrip('/')}/{table}")
+    writer.saveAsTable(table)
+
+
 def mart_cells(df: DataFrame) -> DataFrame:
     """A mart as export cells: timestamps as text, missing texts empty."""
 
@@ -70,6 +84,36 @@ class Swap:
     duplicate_hashes: int = 0
 
 
+def stage_version(df: DataFrame, table: str, root: str | None = None) -> str:
+    """Writes the next version of a table beside it; the name of the new table.
+
+    `root` is a folder that all executors share; without it the catalog's warehouse holds the
+    data.
+    """
+    spark, fresh = df.sparkSession, f"{table}_new"
+    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+    writer = df.write.mode("overwrite")
+    if root:
+        writer = writer.option("path", f"{root.rstrip('/')}/{table}/{uuid.uuid4().hex}")
+    writer.saveAsTable(fresh)
+    return fresh
+
+
+def swap_in(spark: SparkSession, table: str) -> None:
+    """Puts the staged version in a table's place; the old one stays as `<table>_backup`."""
+    fresh, backup = f"{table}_new", f"{table}_backup"
+    spark.sql(f"DROP TABLE IF EXISTS {backup}")
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} RENAME TO {backup}")
+    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+
+
+def replace_table(df: DataFrame, table: str, root: str | None = None) -> None:
+    """A new version of a table; `df` may read the present one."""
+    stage_version(df, table, root)
+    swap_in(df.sparkSession, table)
+
+
 def swap_load(
     spark: SparkSession,
     new: DataFrame,
@@ -78,19 +122,16 @@ def swap_load(
     content_hash: str | None = None,
     min_ratio: float = fv.MIN_SWAP_RATIO,
     force: bool = False,
+    root: str | None = None,
 ) -> Swap:
     """Replaces a table by a new version, if that holds up.
 
-    The rows go to `<table>_new` first.  The swap is refused if they are fewer than
-    `min_ratio` of the present ones (unless forced) or if `pk` repeats.  Then the present
-    table becomes `<table>_backup` and the new one takes its name, so the live table is
-    never half written and `new` may read from it.
+    The swap is refused if the new rows are fewer than `min_ratio` of the present ones
+    (unless forced) or if `pk` repeats.  They are written and checked beside the table, so the
+    live one is never half written.
     """
-    fresh, backup = f"{table}_new", f"{table}_backup"
     present = spark.table(table).count() if spark.catalog.tableExists(table) else 0
-    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
-    new.write.option("path", f"{shared_folder(spark)}/{fresh}").saveAsTable(fresh)
-    loaded = spark.table(fresh)
+    loaded = spark.table(stage_version(new, table, root))
     rows = loaded.count()
     reason = ""
     if rows == 0:
@@ -100,14 +141,29 @@ def swap_load(
     elif not duplicate_keys(loaded, [pk], skip_null=False).isEmpty():
         reason = f"duplicate {pk}"
     if reason:
-        spark.sql(f"DROP TABLE {fresh}")
+        spark.sql(f"DROP TABLE {table}_new")
         log.error("%s not replaced: %s", table, reason)
         return Swap(False, reason, rows)
     repeats = duplicate_hash_count(loaded, content_hash).first()[0] if content_hash else 0
     if repeats:
         log.warning("%s: %d repeated values of %s", table, repeats, content_hash)
-    spark.sql(f"DROP TABLE IF EXISTS {backup}")
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} RENAME TO {backup}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    swap_in(spark, table)
     return Swap(True, "", rows, repeats)
+
+
+def expire_dumps(spark: SparkSession, table: str, as_of: datetime, days: int = fv.RETENTION_DAYS) -> int:
+    """Deletes raw dumps older than `days` from a table partitioned by day; how many.
+
+    Whole days are dropped as partitions; only the day of the cut is rewritten.
+    """
+    dumps, at = spark.table(table), F.lit(as_of)
+    cut = (as_of - timedelta(days=days)).date()
+    kept, gone = retention(dumps, "extracted_at", at, days)
+    deleted = gone.first()["deleted"]
+    if deleted:
+        on_cut = materialize(kept.where(F.col("extracted_on") == F.lit(cut)), "kept")
+        for row in spark.sql(f"SHOW PARTITIONS {table}").collect():      # one row per day
+            if row[0].split("=", 1)[1] <= cut.isoformat():
+                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (extracted_on = '{row[0].split('=', 1)[1]}') PURGE")
+        on_cut.select(*dumps.columns).write.insertInto(table)
+    return deleted
