@@ -44,7 +44,8 @@ class Source:
 class Settings:
     """What a run needs to know besides its sources.
 
-    `root` is a shared folder for the tables' files (None: the catalog's warehouse).
+    `root` is a shared folder for the tables' files (None: the catalog's warehouse).  Raw dumps
+    always go to the warehouse, where dropping a day also frees its files.
     """
 
     sources: Sequence[Source] = ()
@@ -95,7 +96,7 @@ def sync_table(spark: SparkSession, source: Source, run_id: str, s: Settings, no
     columns = [c for c in rows.columns if c != "_row_index"]
     if not s.dry_run:
         dump = sinks.raw_dump(rows, source.path, source.table, now, columns)
-        sinks.append_table(dump, s.raw_table, s.root, by=("extracted_on",))
+        sinks.append_table(dump, s.raw_table, by=("extracted_on",))
 
     try:
         contract = contract_for(source.table, s.contracts)

@@ -152,18 +152,28 @@ def swap_load(
 
 
 def expire_dumps(spark: SparkSession, table: str, as_of: datetime, days: int = fv.RETENTION_DAYS) -> int:
-    """Deletes raw dumps older than `days` from a table partitioned by day; how many.
+    """Deletes raw dumps older than `days` from a managed table partitioned by day; how many.
 
     Whole days are dropped as partitions; only the day of the cut is rewritten.
     """
+    if spark.catalog.getTable(table).tableType != "MANAGED":
+        raise ValueError(f"the catalog does not own the files of {table}, so dropping days would leave them")
     dumps, at = spark.table(table), F.lit(as_of)
     cut = (as_of - timedelta(days=days)).date()
     kept, gone = retention(dumps, "extracted_at", at, days)
     deleted = gone.first()["deleted"]
-    if deleted:
-        on_cut = materialize(kept.where(F.col("extracted_on") == F.lit(cut)), "kept")
-        for row in spark.sql(f"SHOW PARTITIONS {table}").collect():      # one row per day
-            if row[0].split("=", 1)[1] <= cut.isoformat():
-                spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (extracted_on = '{row[0].split('=', 1)[1]}') PURGE")
-        on_cut.select(*dumps.columns).write.insertInto(table)
+    if not deleted:
+        return 0
+    last_day = materialize(kept.where(F.col("extracted_on") == F.lit(cut)).select(*dumps.columns), "last_day")
+    keep_last_day = not last_day.isEmpty()
+    if keep_last_day:
+        cells = ", ".join(c for c in dumps.columns if c != "extracted_on")
+        # names the partition, so that no other day can be touched
+        spark.sql(
+            f"INSERT OVERWRITE TABLE {table} PARTITION (extracted_on = DATE'{cut}') SELECT {cells} FROM {{kept}}", kept=last_day
+        )
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():          # one row per day
+        day = row[0].split("=", 1)[1]
+        if day < cut.isoformat() or (day == cut.isoformat() and not keep_last_day):
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (extracted_on = '{day}')")
     return deleted

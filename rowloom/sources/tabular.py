@@ -110,14 +110,18 @@ def read_tabular(
         rows = with_row_index(drop_blank_rows(raw), start=fv.FIRST_DATA_ROW - rows_above)
         rows = rows.where(F.col("_row_index") >= fv.FIRST_DATA_ROW)
     else:
+        names = None
         if fmt == "csv":
-            reader = reader.option("header", True).option("inferSchema", False)
+            # Spark renames repeated headers, so they are read as a row and given up as names
+            names = list(reader.option("header", False).load(path).first() or [])
+            reader = reader.option("header", True).schema(_text_schema(len(names))) if names else reader
         elif fmt == "json":
             reader = reader.option("primitivesAsString", True)
         raw = reader.load(path)
-        names = raw.columns
-        text = [F.col(quoted(c)).cast("string").alias(f"_c{i}") for i, c in enumerate(names)]
-        blank = reduce(lambda a, b: a & b, [is_blank(F.col(quoted(c)).cast("string")) for c in names])
+        fields = raw.columns
+        names = names or fields
+        text = [F.col(quoted(c)).cast("string").alias(f"_c{i}") for i, c in enumerate(fields)]
+        blank = reduce(lambda a, b: a & b, [is_blank(F.col(quoted(c)).cast("string")) for c in fields], F.lit(bool(fields)))
         rows = with_row_index(raw.where(~blank)).select(*text, "_row_index")
     return rows.toDF(*normalize_headers(names, table, mapping), "_row_index")
 
