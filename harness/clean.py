@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from harness import sqltext as q
-from harness.fixtures import AS_OF_EVENTS, AS_OF_SALES, fixture, table
+from harness.fixtures import AS_OF_EVENTS, AS_OF_SALES, cells, fixture, table
 from rowloom import fixed_values as fv
 from rowloom.functions import dates, hashing, numbers, text
 from rowloom.functions.columns import clean_columns
@@ -120,7 +120,7 @@ def clean_rows_by_name(spark, sf):
 
 
 def slug_values(spark, sf):
-    docs = table(spark, sf, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("key"), "text")
+    docs = cells(spark, sf, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("key"), "text")
     parts = table(spark, sf, "part").select(
         F.concat(F.lit("p"), F.col("p_partkey").cast("string")).alias("key"),
         F.concat(F.col("p_size").cast("string"), F.lit(" Щётка/Ёж (№ Цифра-"), "p_name", F.lit(")")).alias("text"),
@@ -148,7 +148,7 @@ def row_hash(spark, sf):
 
 
 def document_hashes(spark, sf):
-    return table(spark, sf, "documents").select(
+    return cells(spark, sf, "documents").select(
         "doc_id", hashing.row_hash(["text", "lang", "source"]).alias("row_hash"),
         hashing.row_hash(["text", "lang", "source"], exclude=[1]).alias("without_lang"),
     )
@@ -173,14 +173,14 @@ def header_align(spark, sf):
     shouted = F.array(*[F.lit(f" {h.upper()} ") for h in _LAYOUT])
     o = table(spark, sf, "orders")
     s = F.col("o_orderkey").cast("string")
-    cells = F.array(s, F.md5(s), F.lit("2024"), F.lit(" "), F.lit(""), F.concat(F.lit("c"), F.col("o_custkey").cast("string")),
+    full = F.array(s, F.md5(s), F.lit("2024"), F.lit(" "), F.lit(""), F.concat(F.lit("c"), F.col("o_custkey").cast("string")),
                     F.col("o_orderstatus"), F.col("o_totalprice").cast("decimal(18,2)").cast("string"), F.lit("лишнее"))
     width = F.when(F.col("o_orderstatus") == "P", 6).when(F.col("o_orderstatus") == "F", 8).otherwise(9)
     blank = F.array(F.lit(" "), F.lit(None).cast("string"))
     data = o.select(
         (F.col("o_orderkey") + 6).alias("ord"),
         F.when((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P"), blank)
-        .otherwise(F.slice(cells, F.lit(1), width)).alias("cells"),
+        .otherwise(F.slice(full, F.lit(1), width)).alias("cells"),
     )
     region = table(spark, sf, "region")
     top = region.select(

@@ -280,6 +280,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
+def cells(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table whose cells are to be cleaned: dealt out to all cores if it is small."""
+    return spread(table(spark, sf_dir, name))
+
+
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     sql = FIXTURES[name]
     used = set(re.findall(r"\{(\w+)\}", sql))

@@ -11,7 +11,7 @@ from harness.fixtures import AS_OF_EVENTS, AS_OF_SALES, fixture, table
 from rowloom import fixed_values as fv
 from rowloom.operators import ledger
 from rowloom.plans import marts
-from rowloom.sources.shared import materialize, shared_folder
+from rowloom.sources.shared import shared_folder
 from rowloom.sources.sinks import export_mart, mart_cells
 
 NOW = "2024-02-01 08:30:00"
@@ -19,7 +19,7 @@ NOW = "2024-02-01 08:30:00"
 
 def client_balances(spark, sf):
     """The flagship: raw sheets -> core tables -> balance per client."""
-    clients = materialize(sync.new_clients(spark, sf), "clients")
+    clients = sync.new_clients(spark, sf)
     sales = sync.core_sales(spark, sf, clients)
     schedule = sync.core_schedule(spark, sf, clients)
     return flat(marts.client_balances(clients, marts.client_purchases(sales), marts.client_usage(schedule), as_of(NOW)))

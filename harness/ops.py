@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from harness import sqltext as q
 from harness.clean import as_of, flat
-from harness.fixtures import AS_OF_EVENTS, fixture, table
+from harness.fixtures import AS_OF_EVENTS, cells, fixture, table
 from rowloom import fixed_values as fv
 from rowloom.functions.hashing import row_hash
 from rowloom.operators import ledger, quality
@@ -21,8 +21,8 @@ _STAGED = ["stg_gsheets.sales_cur", "stg_gsheets.sales_hst", "stg_gsheets.traini
 
 def _docs(spark, sf):
     """Documents as two sources that share texts."""
-    d = table(spark, sf, "documents").select("source", "lang", row_hash(["text"]).alias("__row_hash"))
-    e = table(spark, sf, "events").select(F.col("event_type").alias("lang"), row_hash(["event_type", "user_id"]).alias("__row_hash"))
+    d = cells(spark, sf, "documents").select("source", "lang", row_hash(["text"]).alias("__row_hash"))
+    e = cells(spark, sf, "events").select(F.col("event_type").alias("lang"), row_hash(["event_type", "user_id"]).alias("__row_hash"))
     return {"sales_cur": d.where("source < 'src5'").select("lang", "__row_hash"),
             "sales_hst": d.where("source >= 'src5'").select("lang", "__row_hash").unionByName(e)}
 
@@ -32,7 +32,7 @@ def dup_keys(spark, sf):
 
 
 def dup_hashes(spark, sf):
-    return quality.duplicate_hash_count(table(spark, sf, "documents").withColumn("h", row_hash(["text"])), "h")
+    return quality.duplicate_hash_count(cells(spark, sf, "documents").withColumn("h", row_hash(["text"])), "h")
 
 
 def cross_source_dups(spark, sf):

@@ -194,14 +194,10 @@ def upsert_clients(spark, sf):
     return flat(core_clients(spark, sf))
 
 
-def empty_core(spark, schema):
-    return spark.createDataFrame([], schema)
-
-
 def core_sales(spark, sf, clients):
     now = as_of(AS_OF_SALES)
     return transforms.merge_current_then_history(
-        empty_core(spark, layout.SALES),
+        layout.empty(spark, layout.SALES),
         transforms.sales_rows(staged(spark, sf, "sales_cur"), clients, now),
         transforms.sales_rows(staged(spark, sf, "sales_hst"), clients, now, history=True),
         now,
@@ -212,7 +208,7 @@ def core_schedule(spark, sf, clients):
     now = as_of(AS_OF_EVENTS)
     employees = fixture(spark, sf, "employees")
     return transforms.merge_current_then_history(
-        empty_core(spark, layout.SCHEDULE),
+        layout.empty(spark, layout.SCHEDULE),
         transforms.schedule_rows(staged(spark, sf, "trainings_cur"), clients, employees, now, year=2024),
         transforms.schedule_rows(staged(spark, sf, "trainings_hst"), clients, employees, now, history=True),
         now,
@@ -220,9 +216,10 @@ def core_schedule(spark, sf, clients):
 
 
 def new_clients(spark, sf):
-    """The client table as the first run on an empty warehouse fills it."""
+    """The client table as the first run on an empty warehouse fills it, written as in a run."""
     current, history = client_rows(spark, sf)
-    return transforms.merge_current_then_history(empty_core(spark, layout.CLIENTS), current, history, as_of(AS_OF_SALES))
+    merged = transforms.merge_current_then_history(layout.empty(spark, layout.CLIENTS), current, history, as_of(AS_OF_SALES))
+    return materialize(merged, "clients")
 
 
 def upsert_sales(spark, sf):

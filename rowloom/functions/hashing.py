@@ -20,7 +20,8 @@ def _swap(c: Column, pairs: list[tuple[str, str]]) -> Column:
 
 def _spell_controls(c: Column) -> Column:
     pairs = F.lit([f"{char}{spelled}" for char, spelled in _CONTROLS.items()])
-    return F.aggregate(pairs, c, lambda text, p: F.replace(text, F.substring(p, 1, 1), F.substring(p, 2, 6)))
+    spelled = F.aggregate(pairs, c, lambda text, p: F.replace(text, F.substring(p, 1, 1), F.substring(p, 2, 6)))
+    return F.when(c.rlike(r"[\x00-\x1f]"), spelled).otherwise(c)
 
 
 def _cell(c: Column | str) -> Column:

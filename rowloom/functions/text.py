@@ -6,12 +6,11 @@ from pyspark.sql import Column, functions as F
 
 from rowloom import fixed_values as fv
 
-# Unicode white space as Python's str.split() sees it, as a set of characters and as a
-# regex class (Java's \s and DuckDB's \s both leave out the no-break space).
+# White space as Python's str.split() sees it: as a set of characters, and as a regex (Java's
+# own \s leaves out the no-break space, and its Unicode \s the four separators from 1c on).
 SPACES = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
-SPACE = (
-    r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-)
+SPACE = r"(?U:[\s\x1c-\x1f])"
+_NOT_SPACE = r"(?U:[^\s\x1c-\x1f])"
 # Any character that is not in the ranges of plain letters, digits and signs: all white space
 # but the blank, all control characters, and a few harmless others.
 ODD = r"[^ -~\xa1-ᙿ‐-‧‰-⁞⁠-⿿、-￿\x{10000}-\x{10ffff}]"
@@ -41,7 +40,7 @@ def blank_to(c: Column, default: str) -> Column:
 
 def is_blank(c: Column) -> Column:
     """True for NULL and for white space only."""
-    return F.coalesce(~c.rlike("[^" + SPACE[1:]), F.lit(True))
+    return F.coalesce(~c.rlike(_NOT_SPACE), F.lit(True))
 
 
 _LONGEST_BLANK_WORD = max(map(len, fv.BLANK_WORDS))

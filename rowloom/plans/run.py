@@ -172,7 +172,7 @@ def quality_issues(spark: SparkSession, s: Settings) -> DataFrame | None:
 
 
 def _table(spark: SparkSession, name: str, schema: str) -> DataFrame:
-    return spark.table(name) if spark.catalog.tableExists(name) else spark.createDataFrame([], schema)
+    return spark.table(name) if spark.catalog.tableExists(name) else layout.empty(spark, schema)
 
 
 def _staged(spark: SparkSession, name: str) -> DataFrame | None:

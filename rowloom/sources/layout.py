@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
 _TRACKING = (
@@ -90,3 +90,8 @@ def conform(
         return c.alias(field.name)
 
     return df.select(*[fitted(f) for f in StructType.fromDDL(layout).fields])
+
+
+def empty(spark: SparkSession, layout: str) -> DataFrame:
+    """A table of a layout without rows; Spark plans joins with it away."""
+    return conform(spark.range(0), layout, F.current_timestamp())
