@@ -16,18 +16,27 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column | st
     return df.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
 
 
+def splittable(keys: DataFrame, *names: str) -> DataFrame:
+    """The same rows, with a partitioning of `names` that Spark does not recognise.
+
+    A side that was just grouped by the join key joins without an exchange of its own, and then
+    the skew-join rule leaves hot keys of the other side alone.  With one more shuffle of this
+    narrow side, hot keys are split.
+    """
+    return keys.withColumns({n: F.concat(F.col(n), F.lit("")) for n in names})
+
+
 def lookup_by_name(rows: DataFrame, name: Column, lookup: DataFrame, lookup_name: str, lookup_id: str,
                    as_name: str, how: str = "inner") -> DataFrame:
     """Adds the id found under a name; of several, the smallest.
 
     The lookup side has one row per name, so rows never multiply.  Spark broadcasts it if it
-    is small; else rows of a hot name are split by the skew-join rule, which applies since
-    the hot side is the left one.
+    is small; else the skew-join rule splits the rows of a hot name.
     """
     ids = lookup.where(F.col(lookup_name).isNotNull()).groupBy(F.col(lookup_name).alias("__name")).agg(
         F.min(lookup_id).alias(as_name)
     )
-    return rows.join(ids, name == F.col("__name"), how).drop("__name")
+    return rows.join(splittable(ids, "__name"), name == F.col("__name"), how).drop("__name")
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str, now: Column) -> DataFrame:
@@ -109,7 +118,7 @@ def soft_delete(
     deleted, as under NOT IN.
     """
     on = ["source", "row_hash"] if sources else ["row_hash"]
-    present = staged.select(*on).distinct().withColumn("__staged", F.lit(True))
+    present = splittable(staged.select(*on).distinct(), "row_hash").withColumn("__staged", F.lit(True))
     scope = F.col("source").isin(*sources) if sources else F.lit(True)
     gone = (
         F.col("__staged").isNull() & F.col("row_hash").isNotNull() & scope & (F.col("is_deleted") == F.lit(False))

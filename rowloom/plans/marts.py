@@ -8,6 +8,7 @@ from rowloom import fixed_values as fv
 from rowloom.functions.hashing import name_uuid
 from rowloom.functions.numbers import units_in_name
 from rowloom.functions.text import digits_only
+from rowloom.operators.merge import splittable
 
 
 def client_purchases(sales: DataFrame, units: Column | None = None) -> DataFrame:
@@ -26,7 +27,7 @@ def client_purchases(sales: DataFrame, units: Column | None = None) -> DataFrame
 def purchases_by_lookup(sales: DataFrame, products: DataFrame) -> DataFrame:
     """client_purchases() with the units of the product table; products it lacks count as 1."""
     units = products.groupBy(F.col("name").alias("__product")).agg(F.max("units_per_item").alias("__units"))
-    known = sales.join(units, F.col("product_name") == F.col("__product"), "left")
+    known = sales.join(splittable(units, "__product"), F.col("product_name") == F.col("__product"), "left")
     return client_purchases(known, F.coalesce(F.col("__units"), F.lit(1)))
 
 
@@ -97,8 +98,8 @@ def unified_customers(messenger: DataFrame, clients: DataFrame) -> DataFrame:
         F.coalesce(digits_only(F.col("phone")), F.concat(F.lit("c"), F.col("legacy_id"))).alias("k"),
     )
     pairs = t.join(c, "k")
-    alone_t = t.join(c.select("k").distinct(), "k", "left_anti")
-    alone_c = c.join(t.select("k").distinct(), "k", "left_anti")
+    alone_t = t.join(splittable(c.select("k").distinct(), "k"), "k", "left_anti")
+    alone_c = c.join(splittable(t.select("k").distinct(), "k"), "k", "left_anti")
     rows = pairs.unionByName(alone_t, allowMissingColumns=True).unionByName(alone_c, allowMissingColumns=True)
     tg_name = F.concat(F.lit(fv.MESSENGER_PREFIX), F.col("tg_id").cast("string"))
     return rows.select(

@@ -61,6 +61,58 @@ def test_balances_join_aggregates(spark, no_broadcast):
     assert plan.count("partial_sum") >= 1 and plan.count("partial_count") >= 1
 
 
+@pytest.fixture
+def small_skew(spark, no_broadcast):
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10000", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    for k, v in small.items():
+        spark.conf.set(k, v)
+    yield
+    for k in small:
+        spark.conf.unset(k)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def final_plan(df) -> str:
+    df.write.format("noop").mode("overwrite").save()        # not the plan looked at below
+    df.collect()
+    return physical(df)
+
+
+def hot(spark, n=40000):
+    """Rows of which a third carry one name."""
+    who = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("n"), F.col("id").cast("string")))
+    return materialize(spark.range(n).repartition(8).select("id", who.alias("who"), F.sha2(F.col("id").cast("string"), 256).alias("load")))
+
+
+def test_hot_names_are_split_in_lookups(spark, small_skew):
+    rows = hot(spark)
+    names = materialize(rows.select(F.col("who").alias("name"), F.md5("who").alias("legacy_id")).distinct())
+    joined = merge.lookup_by_name(rows, F.col("who"), names, "name", "legacy_id", "client_id")
+    assert "SortMergeJoin(skew=true)" in final_plan(joined)
+    assert joined.count() == rows.count()
+
+
+def test_hot_hashes_are_split_in_soft_delete(spark, small_skew):
+    core = hot(spark).select(F.col("who").alias("row_hash"), F.lit("cur").alias("source"), F.lit(False).alias("is_deleted"),
+                             F.lit(None).cast("timestamp").alias("deleted_at"), "load")
+    staged = materialize(core.select("source", "row_hash").where("row_hash <> 'n1'"))
+    marked = merge.soft_delete(core, staged, F.current_timestamp(), sources=["cur"])
+    assert "SortMergeJoin(skew=true)" in final_plan(marked)
+    assert marked.where("just_deleted").count() == 1
+
+
+def test_hot_phones_are_split_in_the_identity_match(spark, small_skew):
+    people = hot(spark, 20000).select(F.col("id").cast("string").alias("legacy_id"), F.col("load").alias("name"), F.lit(None).cast("timestamp").alias("updated_at"),
+                                      F.when(F.col("who") == "hot", "+70000000000").otherwise(F.concat(F.lit("89000"), F.col("id").cast("string"))).alias("phone"))
+    users = materialize(spark.range(3).select("id", F.col("id").cast("string").alias("username"), F.lit(None).cast("timestamp").alias("updated_at"),
+                                              F.when(F.col("id") == 0, "7 000 000 00 00").otherwise(F.concat(F.lit("89000"), F.col("id").cast("string"))).alias("phone")))
+    out = marts.unified_customers(users, materialize(people))
+    assert "skew=true" in final_plan(out)
+    # the placeholder pairs with a third of the people; 890001 and 890002 pair with one each
+    assert out.count() == 20000 and out.where("tg_user_id IS NOT NULL").count() == 6667 + 2
+
+
 def test_first_per_key_on_events(spark):
     plan = physical(merge.first_per_key(table(spark, SF, "events"), ["user_id"], ["ts"]))
     assert plan.count("WindowGroupLimit") == 2
