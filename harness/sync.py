@@ -120,6 +120,12 @@ def cdc_diff(spark, sf):
                        F.col("__row_hash").alias("row_hash"))
 
 
+def existing_state(spark, sf):
+    """Key and hash of what is stored, one row per client: the last one counts."""
+    stored = _stored(spark, sf).withColumn("__row_hash", F.when(F.col("status") == "P", "").otherwise(F.col("__row_hash")))
+    return cdc.existing_state(stored, "klient").withColumnsRenamed({"__pk": "pk", "__old_hash": "old_hash"})
+
+
 def cdc_stats(spark, sf):
     return cdc.cdc_stats(cdc.cdc_diff(_sheet(spark, sf), _stored(spark, sf), "record_id"))
 
@@ -289,7 +295,7 @@ def seed_lookup(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (contract_project, validate_rows, validate_schedule, validate_compat, validate_summary, error_thresholds,
-              validation_log, first_errors, constraint_checks, cdc_diff, cdc_stats, cdc_by_content, cdc_apply, cdc_duplicates,
+              validation_log, first_errors, constraint_checks, cdc_diff, existing_state, cdc_stats, cdc_by_content, cdc_apply, cdc_duplicates,
               dedupe_first, upsert_clients, upsert_sales, upsert_schedule, soft_delete, soft_delete_any_source,
               soft_delete_counts, undelete, distinct_employees, insert_absent, seed_lookup)
 }
@@ -499,6 +505,8 @@ ORACLE = {
         UNION ALL SELECT 'expire_limit', count(*) FROM li WHERE l_shipdate > o_orderdate + INTERVAL 7 DAYS
         UNION ALL SELECT 'price_cap', count(*) FROM li WHERE l_extendedprice > 100000""",
     "cdc_diff": _DIFF + "SELECT action, record_id, klient, status, summa, _row_index AS row_index, h AS row_hash FROM diff",
+    "existing_state": q.with_fixtures("orders_stored") + f"""
+        SELECT klient AS pk, arg_max({_HASH}, _row_index) AS old_hash FROM orders_stored WHERE status <> 'P' GROUP BY klient""",
     "cdc_stats": _DIFF + f"SELECT {_COUNTS} FROM diff",
     "cdc_by_content": q.with_fixtures("orders_stored", "orders_sheet", more=f"""
         stored AS (SELECT DISTINCT {_HASH} AS h FROM orders_stored),

@@ -13,7 +13,7 @@ SPACE = r"(?U:[\s\x1c-\x1f])"
 _NOT_SPACE = r"(?U:[^\s\x1c-\x1f])"
 # Any character that is not in the ranges of plain letters, digits and signs: all white space
 # but the blank, all control characters, and a few harmless others.
-ODD = r"[^ -~\xa1-ᙿ‐-‧‰-⁞⁠-⿿、-￿\x{10000}-\x{10ffff}]"
+ODD = r"[^ -~\xa1-\u167f\u2010-\u2027\u2030-\u205e\u2060-\u2fff\u3001-\uffff\x{10000}-\x{10ffff}]"
 # Spark's double cast also takes 'NaN', '1d' and '1f'; sheets mean none of these as numbers.
 NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)$"

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rowloom.functions.text import quoted
+
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
     """One row per key, the first in `order` (which should leave no ties).
@@ -47,32 +49,28 @@ def upsert(target: DataFrame, source: DataFrame, key: str, now: Column) -> DataF
     target rows stay as they are.  Both sides are unique on the key, so one full outer join
     does it without skew; target rows without a key cannot match and go around it.
     """
-    given = set(source.columns)
-    stamps = {
-        "is_deleted": F.lit(False),
-        "deleted_at": F.lit(None),
-        "updated_at": now,
-    }
-    s = source.withColumn("__hit", F.lit(True)).alias("s")
+    hit, old = "s.__now IS NOT NULL", "t.__old"
+    s = source.withColumn("__now", now).alias("s")
     t = target.where(F.col(key).isNotNull()).withColumn("__old", F.lit(True)).alias("t")
     joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
-    hit, old = F.col("s.__hit").isNotNull(), F.col("t.__old").isNotNull()
+    stamps = {"is_deleted": "false", "deleted_at": "NULL", "updated_at": "s.__now"}
 
-    def value(name: str) -> Column:
-        kind, kept = target.schema[name].dataType, F.col(f"t.{name}")
+    def value(name: str) -> str:
+        kind, c = target.schema[name].dataType.simpleString(), quoted(name)
         if name == key:
-            return F.coalesce(F.col(f"s.{name}"), kept).alias(name)
-        if name in given:
-            c = F.when(hit, F.col(f"s.{name}")).otherwise(kept)
+            picked = f"coalesce(s.{c}, t.{c})"
+        elif name in source.columns:
+            picked = f"CASE WHEN {hit} THEN s.{c} ELSE t.{c} END"
         elif name in stamps:
-            c = F.when(hit, stamps[name].cast(kind)).otherwise(kept)
+            picked = f"CASE WHEN {hit} THEN {stamps[name]} ELSE t.{c} END"
         elif name == "created_at":
-            c = F.when(old, kept).otherwise(now)
+            picked = f"CASE WHEN {old} THEN t.{c} ELSE s.__now END"
         else:
-            c = kept
-        return c.cast(kind).alias(name)
+            picked = f"t.{c}"
+        return f"CAST({picked} AS {kind}) AS {c}"
 
-    merged = joined.select(*[value(c) for c in target.columns])
+    # one text per column: core tables are wide, and this is the cheapest way to say it
+    merged = joined.selectExpr(*[value(c) for c in target.columns])
     return merged.unionByName(target.where(F.col(key).isNull()))
 
 

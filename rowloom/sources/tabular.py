@@ -165,12 +165,12 @@ def prepare_rows(df: DataFrame, columns: list[str], numeric: list[str] | None =
     `numeric` lists the number columns to normalise.  None normalises every column, which
     also takes the inner spaces out of names: only for tables that were filled that way.
     """
-    numbers = set(columns if numeric is None else numeric)
-    cells = {c: normalize_numeric_string(F.col(c)) for c in columns if c in numbers}
-    cells |= {c: F.col(c).cast("string") for c in columns if c not in numbers}
-    rest = [c for c in df.columns if c not in cells]
+    numbers, types = set(columns if numeric is None else numeric), dict(df.dtypes)
+    cells = {c: normalize_numeric_string(F.col(quoted(c))) for c in columns if c in numbers}
+    cells |= {c: F.col(quoted(c)).cast("string") for c in columns if c not in numbers and types[c] != "string"}
+    rest = [quoted(c) for c in df.columns if c not in columns]
     # one projection for the cells and one for the hash: each cell is cleaned once
-    cleaned = df.select(*[cells[c].alias(c) for c in columns], *rest)
+    cleaned = df.select(*[cells[c].alias(c) if c in cells else quoted(c) for c in columns], *rest)
     return cleaned.withColumn("__row_hash", row_hash(columns))
 
 
