@@ -193,17 +193,16 @@ def swap_load(spark, sf):
     o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus", F.lit("h").alias("content_hash"))
     short, twice = o.where("o_orderstatus = 'P'"), o.unionByName(o)
     offers = {"first": (o, False), "too_short": (short, False), "repeated": (twice, False), "forced": (o.where("o_orderstatus <> 'P'"), True)}
-    done = []
+    done = {}
     for step, (rows, force) in offers.items():
-        swap = sinks.swap_load(spark, rows, name, "o_orderkey", "content_hash", force=force, root=shared_folder(spark))
-        live = spark.table(name)
-        done.append(live.agg(F.count("*").alias("live_rows"), F.sum("o_orderkey").alias("key_sum"))
-                    .select(F.lit(step).alias("step"), F.lit(swap.done).alias("swapped"), "live_rows", "key_sum"))
-    # each step was counted against the version then live; only the last version still is
-    return done[-1].unionByName(
-        spark.table(f"{name}_backup").agg(F.count("*").alias("live_rows"), F.sum("o_orderkey").alias("key_sum"))
-        .select(F.lit("backup").alias("step"), F.lit(True).alias("swapped"), "live_rows", "key_sum")
-    )
+        done[step] = sinks.swap_load(spark, rows, name, "o_orderkey", "content_hash", force=force, root=shared_folder(spark)).done
+    history = F.lit(",".join(f"{step}:{swapped}" for step, swapped in done.items()).lower())
+
+    def version(label: str, table_name: str):
+        totals = spark.table(table_name).agg(F.count("*").alias("live_rows"), F.sum("o_orderkey").alias("key_sum"))
+        return totals.select(F.lit(label).alias("version"), history.alias("history"), "live_rows", "key_sum")
+
+    return version("live", name).unionByName(version("backup", f"{name}_backup"))
 
 
 def read_gate(spark, sf):
@@ -344,8 +343,9 @@ ORACLE = {
         SELECT event_type, count(*) AS rows, CAST(sum(event_id) AS BIGINT) AS ids
         FROM (SELECT * FROM events WHERE event_type = 'view' UNION ALL SELECT * FROM events WHERE event_type <> 'error') GROUP BY event_type""",
     "swap_load": """
-        SELECT 'forced' AS step, true AS swapped, count(*) AS live_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders WHERE o_orderstatus <> 'P'
-        UNION ALL SELECT 'backup', true, count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders""",
+        WITH h AS (SELECT 'first:true,too_short:false,repeated:false,forced:true' AS history)
+        SELECT 'live' AS version, history, count(*) AS live_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders, h WHERE o_orderstatus <> 'P' GROUP BY history
+        UNION ALL SELECT 'backup', history, count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders, h GROUP BY history""",
     "read_gate": "SELECT count(*) AS rows, true AS unseen, false AS seen_before FROM orders",
     "read_sheet": """
         SELECT CAST(o_orderkey AS VARCHAR) AS record_id, o_orderstatus AS status, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS summa_rub,
