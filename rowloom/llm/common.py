@@ -30,10 +30,31 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def row_hash(*columns: Column) -> Column:
+def row_hash(*columns: Column, seed: int = 0) -> Column:
     """64 bits over columns, NULLs told apart from values."""
-    parts = [part for c in columns for part in (c.isNull(), c)]
-    return F.xxhash64(*parts)
+    return F.xxhash64(F.lit(seed), *[part for c in columns for part in (c.isNull(), c)])
+
+
+def row_key(*columns: Column) -> Column:
+    """128 bits over columns, never NULL: a key for joins that stands for the columns' values."""
+    return F.struct(row_hash(*columns, seed=1).alias("k1"), row_hash(*columns, seed=2).alias("k2"))
+
+
+def repeat_rows(df: DataFrame, times: str) -> DataFrame:
+    """Every row as many times as the column says (none at 0), the column dropped.
+
+    Counts may be huge: rows are multiplied in two steps, so no array is longer than their root or 10,000.
+    """
+    step = 10_000
+    block, one = fresh(df, "block"), fresh(df, "one")
+    blocks = F.sequence(F.lit(0).cast("long"), ((F.col(times) - 1) / step).cast("long"))
+    left = F.least(F.lit(step).cast("long"), F.col(times) - F.col(block) * step)
+    return (
+        df.filter(F.col(times) > 0)
+        .withColumn(block, F.explode(blocks))
+        .withColumn(one, F.explode(F.sequence(F.lit(1).cast("long"), left)))
+        .drop(block, one, times)
+    )
 
 
 def fresh(df: DataFrame, name: str) -> str:

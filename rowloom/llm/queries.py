@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import piece_encoding, token_counts
+from rowloom.llm import mixing, piece_encoding, quality_rules, token_counts
+from rowloom.llm.common import repeat_rows
+from rowloom.sources.shared import materialize
 
 #: Vocabulary files.
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -30,6 +32,21 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "source", "text")
+    measured = materialize(quality_rules.measure(docs).drop("text"), "measured")
+    judged = quality_rules.judge(measured, quality_rules.host_verdicts(measured))
+    return judged.select(
+        "doc_id", *quality_rules.MEASURES, "base_failed", "kept", F.round("host_rate", 6).alias("host_rate"), "host_failed"
+    )
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    copies = mixing.plan_copies(documents(spark, sf_dir).select("doc_id", "source", "text"))
+    rows = copies.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "n_rows")
+    return repeat_rows(rows, "n_rows")
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return piece_encoding.digests(docs, "text", PIECE_VOCABULARY).select("doc_id", "encoded.*")
@@ -37,6 +54,8 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_token_counts": op4_token_counts,
+    "op5_quality_rules": op5_quality_rules,
+    "op7_mixing": op7_mixing,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
