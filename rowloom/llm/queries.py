@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import mixing, piece_encoding, quality_rules, token_counts
+from rowloom.llm import minhash, mixing, piece_encoding, quality_rules, sharding, token_counts
 from rowloom.llm.common import repeat_rows
 from rowloom.sources.shared import materialize
 
@@ -14,6 +14,9 @@ from rowloom.sources.shared import materialize
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 
+#: Bytes of a shard, small enough for a loader to fetch shards in random order.
+SHARD_BYTES = 1 << 20
+
 #: Tokens a document may have.
 TOKEN_LIMIT = 2048
 
@@ -22,6 +25,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = materialize(documents(spark, sf_dir).select("doc_id", F.octet_length("text").cast("long").alias("n_bytes")), "sizes")
+    return sharding.assign_shards(rows, SHARD_BYTES, size=F.col("n_bytes"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return token_counts.count_tokens(docs, "text", WORD_VOCABULARY).select(
@@ -41,6 +49,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(documents(spark, sf_dir), size=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     copies = mixing.plan_copies(documents(spark, sf_dir).select("doc_id", "source", "text"))
     rows = copies.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"), "n_rows")
@@ -53,8 +66,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sharding": op1_sharding,
     "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
+    "op6_minhash": op6_minhash,
     "op7_mixing": op7_mixing,
     "op10_sentencepiece": op10_sentencepiece,
 }
