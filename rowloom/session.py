@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -24,4 +27,9 @@ def configure(spark: SparkSession) -> SparkSession:
     """Applies the settings to a session; safe to repeat."""
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    # Python workers look for the package where the driver has found it; a cluster that keeps it elsewhere has it installed
+    context, own = spark.sparkContext, str(Path(__file__).resolve().parents[1])
+    paths = context.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if own not in paths:
+        context.environment["PYTHONPATH"] = os.pathsep.join([own, *filter(None, paths)])
     return spark
