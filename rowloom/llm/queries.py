@@ -6,7 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowloom.llm import minhash, mixing, piece_encoding, quality_rules, sharding, token_counts
+from rowloom.llm import (
+    compression_classifier, fingerprints, line_dedup, minhash, mixing, piece_encoding, quality_rules, sharding, token_counts,
+)
 from rowloom.llm.common import repeat_rows
 from rowloom.sources.shared import materialize
 
@@ -17,6 +19,11 @@ PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 #: Bytes of a shard, small enough for a loader to fetch shards in random order.
 SHARD_BYTES = 1 << 20
 
+#: Labels of this fold (crc32 of the id modulo 5) are never learnt from.
+HELD_OUT_FOLD = 0
+#: Score from which a document counts as good.
+LEAST_SCORE = 0.3
+
 #: Tokens a document may have.
 TOKEN_LIMIT = 2048
 
@@ -30,6 +37,11 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(rows, SHARD_BYTES, size=F.col("n_bytes"))
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).cast("long").alias("n_lines"))
+    return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_exact", "n_near", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return token_counts.count_tokens(docs, "text", WORD_VOCABULARY).select(
@@ -60,6 +72,18 @@ def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeat_rows(rows, "n_rows")
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_changes(documents(spark, sf_dir))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(compression_classifier.fold("doc_id") != HELD_OUT_FOLD)
+    scored = compression_classifier.score(docs, compression_classifier.fit(docs, labels))
+    held_out = F.coalesce(compression_classifier.fold("doc_id") == HELD_OUT_FOLD, F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= LEAST_SCORE).cast("int").alias("predicted"))
+
+
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     return piece_encoding.digests(docs, "text", PIECE_VOCABULARY).select("doc_id", "encoded.*")
@@ -67,10 +91,13 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sharding": op1_sharding,
+    "op2_line_dedup": op2_line_dedup,
     "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
     "op6_minhash": op6_minhash,
     "op7_mixing": op7_mixing,
+    "op8_fingerprints": op8_fingerprints,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_sentencepiece": op10_sentencepiece,
 }
 
