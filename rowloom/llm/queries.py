@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.llm import (
-    compression_classifier, fingerprints, line_dedup, minhash, mixing, piece_encoding, quality_rules, sharding, token_counts,
+    compression_classifier, fingerprints, line_dedup, minhash, mixing, oracles, piece_encoding, quality_rules, sharding, token_counts,
 )
 from rowloom.llm.common import repeat_rows
 from rowloom.sources.shared import materialize
@@ -101,4 +101,9 @@ QUERIES = {
     "op10_sentencepiece": op10_sentencepiece,
 }
 
-ORACLE: dict[str, str] = {}
+#: The others have no SQL; tests hold them against the libraries, brute force or held-out labels.
+ORACLE: dict[str, str] = {
+    "op1_sharding": oracles.SHARDING.format(limit=SHARD_BYTES),
+    "op2_line_dedup": oracles.LINE_DEDUP,
+    "op5_quality_rules": oracles.QUALITY_RULES,
+}
