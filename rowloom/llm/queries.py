@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import os
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.llm import (
-    compression_classifier, fingerprints, line_dedup, minhash, mixing, oracles, piece_encoding, quality_rules, sharding, token_counts,
+    compression_classifier, fingerprints, line_dedup, minhash, mixing, oracles, pii, piece_encoding, quality_rules, sharding, token_counts,
 )
 from rowloom.llm.common import repeat_rows
 from rowloom.sources.shared import materialize
@@ -19,6 +21,9 @@ PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
 #: Bytes of a shard, small enough for a loader to fetch shards in random order.
 SHARD_BYTES = 1 << 20
 
+#: Key of the surrogates; one per release of the data, kept secret.
+PII_KEY = os.environ.get("ROWLOOM_PII_KEY", "rowloom")
+
 #: Labels of this fold (crc32 of the id modulo 5) are never learnt from.
 HELD_OUT_FOLD = 0
 #: Score from which a document counts as good.
@@ -42,6 +47,10 @@ def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(docs).select("doc_id", "n_lines", "n_exact", "n_near", F.sha2("text", 256).alias("text_sha256"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.replace_entities(documents(spark, sf_dir).select("doc_id", "text"), PII_KEY)
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     return token_counts.count_tokens(docs, "text", WORD_VOCABULARY).select(
@@ -92,6 +101,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_line_dedup": op2_line_dedup,
+    "op3_pii": op3_pii,
     "op4_token_counts": op4_token_counts,
     "op5_quality_rules": op5_quality_rules,
     "op6_minhash": op6_minhash,
