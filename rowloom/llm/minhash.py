@@ -4,8 +4,8 @@ A text's set holds its distinct shingles of `size` words (lower-cased A-Z); a te
 shingle. Two texts are linked if the Jaccard similarity of their sets is at least `percent` / 100.
 
 1. Texts with equal sets form a class; only classes go on.
-2. Signatures are cut into bands; classes with an equal band share a bucket. A link at the least similarity
-   misses all buckets with probability (1 - 0.85^4)^16, under 1e-5; more similar ones less.
+2. Signatures are cut into bands of BAND slots; classes with an equal band share a bucket. There are so many
+   bands that a link at the least similarity misses all buckets with probability MISS; closer ones less.
 3. Every class of a bucket is compared with the bucket's first one, on full sets.
 4. Buckets that still hold several components are compared further: all classes outside a bucket's
    largest component with all others, in tasks of at most CHUNK by CHUNK texts. Links are found whole, but texts
@@ -19,6 +19,7 @@ component unless it has no other. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +33,8 @@ from rowloom.llm.components import components
 from rowloom.llm.superminhash import mix, signatures
 from rowloom.sources.shared import materialize
 
-SLOTS, BAND = 64, 4
+BAND = 4
+MISS = 1e-5
 #: Texts on either side of a comparing task.
 CHUNK = 512
 #: Words a task remembers with their hashes; a full memory is emptied.
@@ -64,6 +66,11 @@ def shingles(text: str | None, size: int) -> np.ndarray:
     return np.unique(out)
 
 
+def slots_for(percent: int) -> int:
+    """Slots of a signature for links of that similarity."""
+    return BAND * math.ceil(math.log(MISS) / math.log(1 - min(percent / 100, 0.999) ** BAND))
+
+
 def _signed(texts: list[str | None], size: int, slots: int) -> tuple[list[int], list[bytes | None], list[list[int]]]:
     sets = [shingles(t, size) for t in texts]
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
@@ -216,7 +223,7 @@ def _confirm_across(members: DataFrame, labels: DataFrame, texts: DataFrame, siz
     return dealt.mapInArrow(_across(size, percent), "a binary, b binary")
 
 
-def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80, slots: int = SLOTS) -> DataFrame:
+def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """One row per input row: doc_id, key, n_shingles, component_id, first.
 
     `key` is document_key of the row; `first` marks the row (or equal rows) that stands for its
@@ -225,7 +232,7 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", s
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("key", document_key("doc_id", "text"))
     signed = materialize(
         docs.mapInArrow(
-            _sign(size, slots),
+            _sign(size, slots_for(percent)),
             f"doc_id {dict(docs.dtypes)['doc_id']}, key struct<k1:bigint,k2:bigint>, n_shingles long, set_id binary, bands array<long>",
         ),
         "signed",

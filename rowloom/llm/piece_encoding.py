@@ -18,6 +18,7 @@ import re
 from collections.abc import Iterator
 from heapq import heapify, heappop, heappush
 
+import numpy as np
 import pandas as pd
 import sentencepiece
 from pyspark.sql import Column, DataFrame
@@ -178,7 +179,7 @@ def encode(df: DataFrame, text: str | Column, model_path: str, name: str = "enco
     def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = _encoder(model.value)
         for texts in batches:
-            rows = [([int(i) for i in ids.split(" ")], decoded) for ids, decoded in encoder.encoded(texts.tolist())]
+            rows = [(np.fromstring(ids, dtype=np.int32, sep=" "), decoded) for ids, decoded in encoder.encoded(texts.tolist())]
             yield pd.DataFrame(rows, columns=["ids", "decoded"])
 
     return df.withColumn(name, ids_of(F.col(text) if isinstance(text, str) else text))

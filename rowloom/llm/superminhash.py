@@ -13,9 +13,9 @@ import numpy as np
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 #: A value is its level in the upper bits and a random fraction below.
-_LEVEL_SHIFT = np.uint64(56)
+_LEVEL_SHIFT = np.uint64(52)
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
-MAX_SLOTS = 128
+MAX_SLOTS = 4096
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -30,7 +30,7 @@ def _draw(elements: np.ndarray, level: int, slots: int) -> tuple[np.ndarray, np.
     with np.errstate(over="ignore"):
         seed = elements + _ODD * np.uint64(2 * level + 1)
         partner = level + (mix(seed) % np.uint64(slots - level)).astype(np.int64)
-        value = (np.uint64(level) << _LEVEL_SHIFT) | (mix(seed + _ODD) >> np.uint64(8))
+        value = (np.uint64(level) << _LEVEL_SHIFT) | (mix(seed + _ODD) >> np.uint64(12))
     return partner, value
 
 
@@ -52,7 +52,7 @@ def signatures(elements: np.ndarray, owner: np.ndarray, sets: int, slots: int) -
         return table
     mine = unfinished[owner]
     elements, owner, partner = elements[mine], owner[mine], partner[mine]
-    places = np.tile(np.arange(slots, dtype=np.uint8), (len(elements), 1))
+    places = np.tile(np.arange(slots, dtype=np.uint16), (len(elements), 1))
     row = np.arange(len(elements))
     for level in range(1, slots):
         # the swap of the level before, then the next offer
