@@ -11,7 +11,6 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from rowloom.sources.tabular import spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",
           "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -280,6 +279,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows dealt out to all cores, in turn: the given tables are single files of one split.
+
+    Of use to the timings only; real inputs come in as many splits as they have.
+    """
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def cells(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table whose cells are to be cleaned: dealt out to all cores if it is small."""
     return spread(table(spark, sf_dir, name))

@@ -115,18 +115,24 @@ QUERIES = {
               unified_customers, latest_message, api_sales, api_schedule, api_clients, api_lookups, api_auth_events, api_status)
 } | {"export_mart": export, "export_cells": export_cells}
 
-_UNITS = """CASE WHEN product_name LIKE '%8%' THEN 8 WHEN product_name LIKE '%4%' THEN 4 WHEN product_name LIKE '%12%' THEN 12
-    WHEN product_name LIKE '%16%' THEN 16 ELSE 1 END"""
+_UNITS = "CASE " + " ".join(f"WHEN contains(product_name, '{n}') THEN {n}" for n in fv.UNIT_MARKS) + " ELSE 1 END"
+_USED = q.words(fv.USED_STATUSES)
 
 
-def _mart(clients, sales, schedule, units=_UNITS, extra=""):
+def _mart(clients, sales, schedule, units=_UNITS):
+    """Sales and visits as one list of movements per client, summed up once."""
+    names = fv.BALANCE_COLUMNS
     return f"""
-      bought AS (SELECT client_id, CAST(sum({units} * quantity) AS BIGINT) AS b, sum(final_price) AS paid FROM {sales} WHERE NOT is_deleted GROUP BY client_id),
-      used AS (SELECT client_id, count(*) AS u FROM {schedule} WHERE NOT is_deleted AND status IN ('Посетили', 'Пропуск') GROUP BY client_id),
-      mart AS (SELECT legacy_id, name AS "Клиент", phone AS "Телефон", coalesce(b, 0) AS "Куплено", coalesce(u, 0) AS "Использовано",
-        coalesce(b, 0) - coalesce(u, 0) AS "Остаток", CAST(coalesce(paid, 0) AS DOUBLE) AS "Оплачено", status AS "Статус", '{NOW}' AS "Дата обновления"
-        FROM {clients} c LEFT JOIN bought ON bought.client_id = c.legacy_id LEFT JOIN used ON used.client_id = c.legacy_id
-        WHERE NOT c.is_deleted AND (b > 0 OR u > 0)){extra}"""
+      movements AS (
+        SELECT client_id, {units} * quantity AS plus, 0 AS minus, final_price AS money FROM {sales} WHERE NOT is_deleted
+        UNION ALL SELECT client_id, 0, 1, 0 FROM {schedule} WHERE NOT is_deleted AND status IN ({_USED})),
+      summed AS (
+        SELECT client_id, sum(plus)::BIGINT AS plus, sum(minus)::BIGINT AS minus, sum(money) AS money FROM movements
+        GROUP BY client_id HAVING sum(plus) > 0 OR sum(minus) > 0),
+      mart AS (
+        SELECT legacy_id, name AS "{names['name']}", phone AS "{names['phone']}", plus AS "{names['bought']}", minus AS "{names['used']}",
+          plus - minus AS "{names['left']}", money::DOUBLE AS "{names['paid']}", status AS "{names['status']}", '{NOW}' AS "{names['updated']}"
+        FROM summed JOIN {clients} c ON c.legacy_id = client_id AND NOT c.is_deleted)"""
 
 
 _CORE = q.with_fixtures("core_clients", "core_sales", "core_schedule", more=_mart("core_clients", "core_sales", "core_schedule"))
@@ -144,8 +150,8 @@ ORACLE = {
     "client_purchases": q.with_fixtures("core_sales") + f"""
         SELECT client_id, CAST(sum({_UNITS} * quantity) AS BIGINT) AS units_bought, CAST(sum(final_price) AS DOUBLE) AS total_spent
         FROM core_sales WHERE NOT is_deleted GROUP BY client_id""",
-    "client_usage": q.with_fixtures("core_schedule") + """
-        SELECT client_id, count(*) AS units_used FROM core_schedule WHERE NOT is_deleted AND status IN ('Посетили', 'Пропуск') GROUP BY client_id""",
+    "client_usage": q.with_fixtures("core_schedule") + f"""
+        SELECT client_id, count(*) AS units_used FROM core_schedule WHERE NOT is_deleted AND status IN ({_USED}) GROUP BY client_id""",
     "balances_lookup": q.with_fixtures("core_clients", "core_sales", "core_schedule", "products", more=
         """units AS (SELECT name, max(units_per_item) AS units FROM products GROUP BY name),
         sold AS (SELECT s.*, units FROM core_sales s LEFT JOIN units ON units.name = product_name),"""
@@ -156,7 +162,7 @@ ORACLE = {
         j AS (SELECT t.*, c.legacy_id, c.name, c.phone AS crm_phone, c.updated_at AS crm_updated,
           sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('tg:' || CAST(t.id AS VARCHAR))) AS h
         FROM messenger_users t FULL JOIN core_clients c
-          ON regexp_replace(t.phone, '\D', '', 'g') = regexp_replace(c.phone, '\D', '', 'g') AND length(t.phone) > 5)""") + f"""
+          ON regexp_replace(t.phone, '\D', '', 'g') = regexp_replace(c.phone, '\D', '', 'g') AND length(t.phone) > 5 AND t.phone NOT LIKE '%70000000000')""") + f"""
         SELECT coalesce(legacy_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' ||
             substr('89ab', 1 + (position(substr(h, 17, 1) IN '0123456789abcdef') - 1) % 4, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12)) AS id,
           name AS crm_name, crm_phone, username AS tg_username, phone AS tg_phone, id AS tg_user_id,

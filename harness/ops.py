@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from datetime import timedelta
 
 from pyspark.sql import functions as F
 
@@ -13,7 +14,7 @@ from rowloom import fixed_values as fv
 from rowloom.functions.hashing import row_hash
 from rowloom.operators import ledger, quality
 from rowloom.sources import layout, sinks
-from rowloom.sources.shared import shared_folder
+from rowloom.sources.shared import materialize, shared_folder
 from rowloom.sources.tabular import is_modified, last_modified, read_tabular
 
 _STAGED = ["stg_gsheets.sales_cur", "stg_gsheets.sales_hst", "stg_gsheets.trainings_cur", "stg_gsheets.clients_cur"]
@@ -74,7 +75,7 @@ def _issues(spark, sf):
 
 
 def dq_issues(spark, sf):
-    return quality.first_issues(_issues(spark, sf).withColumn("message", F.regexp_replace("message", r" \(.*", "")))
+    return quality.first_issues(_issues(spark, sf))
 
 
 def dq_summary(spark, sf):
@@ -150,6 +151,18 @@ def retention(spark, sf):
     return rows.unionByName(gone.select(F.lit("deleted").alias("table_name"), F.col("deleted").alias("rows")))
 
 
+def expire_dumps(spark, sf):
+    """Events dumped by day, then cut to ten days: what is left of each day, and how many went."""
+    name = f"dump_{uuid.uuid4().hex}"
+    e = table(spark, sf, "events")
+    sinks.append_table(sinks.raw_dump(e, "sheet-1", "events", F.col("ts"), ["event_id", "event_type"]), name, by=("extracted_on",))
+    gone = sinks.expire_dumps(spark, name, as_of(AS_OF_EVENTS), days=10)
+    left = materialize(spark.table(name).groupBy("extracted_on").agg(F.count("*").alias("rows")), "left")
+    spark.sql(f"DROP TABLE {name}")
+    return left.select(F.col("extracted_on").cast("string").alias("day"), "rows").unionByName(
+        spark.range(1).select(F.lit("deleted").alias("day"), F.lit(gone).cast("long").alias("rows")))
+
+
 def purge_logs(spark, sf):
     stats = fixture(spark, sf, "table_stats")
     today = ledger.purge_today(stats, as_of("2024-01-20 15:00:00")).agg(F.count("*").alias("n"), F.sum("rows_inserted").alias("s"))
@@ -202,29 +215,56 @@ def swap_load(spark, sf):
         totals = spark.table(table_name).agg(F.count("*").alias("live_rows"), F.sum("o_orderkey").alias("key_sum"))
         return totals.select(F.lit(label).alias("version"), history.alias("history"), "live_rows", "key_sum")
 
-    return version("live", name).unionByName(version("backup", f"{name}_backup"))
+    both = materialize(version("live", name).unionByName(version("backup", f"{name}_backup")), "versions")
+    sinks.drop_table(spark, name)
+    return both
 
 
 def read_gate(spark, sf):
     """A source is read when it is newer than the last time it was seen."""
     path = f"{sf}/orders.parquet"
     at = last_modified(spark, path)
-    fresh, seen = is_modified(spark, path, None), is_modified(spark, path, at)
-    return table(spark, sf, "orders").agg(F.count("*").alias("rows")).select(
-        "rows", F.lit(fresh).alias("unseen"), F.lit(seen).alias("seen_before")
-    )
+    seen = [("unseen", None), ("seen_before", at), ("seen_long_ago", at - timedelta(days=1))]
+    rows = [table(spark, sf, "orders").where(F.lit(is_modified(spark, path, when))).agg(F.count("*").alias("rows")).withColumn("seen", F.lit(label))
+            for label, when in seen]
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
 def read_sheet(spark, sf):
     """A sheet written as CSV and read as text: names normalised, blank rows gone, rows numbered."""
     path = f"{shared_folder(spark)}/sheet"
-    o = table(spark, sf, "orders").orderBy("o_orderkey")
+    o = table(spark, sf, "orders")
     s = F.when((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P"), None).otherwise(F.lit("x"))
-    sheet = o.select(*[F.when(s.isNotNull(), c).alias(n) for c, n in (
+    sheet = o.select(F.col("o_orderkey").alias("key"), *[F.when(s.isNotNull(), c).alias(n) for c, n in (
         (F.col("o_orderkey").cast("string"), "record_id"), (F.col("o_orderstatus"), "Статус заказа"),
         (F.col("o_totalprice").cast("decimal(18,2)").cast("string"), "Сумма, руб."))])
-    sheet.repartitionByRange(4, F.col("record_id").cast("long").asc_nulls_last()).sortWithinPartitions(F.col("record_id").cast("long").asc_nulls_last()).write.option("header", True).csv(path)
-    return read_tabular(spark, path, "csv", mapping={"Статус заказа": "status"}).withColumnRenamed("_row_index", "row_index")
+    # blanked rows lie between the others
+    sheet.repartitionByRange("key").sortWithinPartitions("key").drop("key").write.option("header", True).csv(path)
+    return read_tabular(spark, path, "csv", mapping={"Статус заказа": "status"}, multiLine=False).withColumnRenamed("_row_index", "row_index")
+
+
+def sheet_texts(spark, sf):
+    """Whole texts, with quotes, commas and line breaks, written as sheet cells and read back."""
+    path = f"{shared_folder(spark)}/texts"
+    d = table(spark, sf, "documents").select("doc_id", F.concat(F.lit(' "'), "text", F.lit('", "" ')).alias("text"), "lang")
+    sinks.export_mart(d, path)
+    back = read_tabular(spark, path, "csv")
+    return back.select("doc_id", F.md5("text").alias("text_md5"), F.char_length("text").cast("long").alias("chars"), "lang")
+
+
+def header_auto(spark, sf):
+    """A sheet whose header stands below a title and an older header."""
+    path = f"{shared_folder(spark)}/sheet"
+    marks = list(fv.HEADER_MARKS)
+    rows = [(-4, ["Отчёт"]), (-3, [*marks, "old"]), (-2, [" "]), (-1, [m.upper() for m in marks] + ["Имя", "Сумма, руб."])]
+    width = len(rows[-1][1])
+    top = spark.createDataFrame([(n, *c, *[None] * (width - len(c))) for n, c in rows], "nr long, " + ", ".join(f"c{i} string" for i in range(width)))
+    cells_ = [F.col("s_suppkey").cast("string"), F.lit("h"), F.lit("t1"), F.lit("t2"), F.lit("me"), F.col("s_name"), F.col("s_acctbal").cast("decimal(18,2)").cast("string")]
+    body = table(spark, sf, "supplier").select(F.col("s_suppkey").alias("nr"), *[c.alias(f"c{i}") for i, c in enumerate(cells_)])
+    # a sheet is one file
+    top.unionByName(body).repartition(1).sortWithinPartitions("nr").drop("nr").write.csv(path)
+    read = read_tabular(spark, path, "csv", header="auto")
+    return read.select("record_id", "content_hash", "created_at", "updated_by", "imya", "summa_rub", F.col("_row_index").alias("row_index"))
 
 
 def conform(spark, sf):
@@ -240,8 +280,8 @@ QUERIES = {
     f.__name__: f
     for f in (dup_keys, dup_hashes, cross_source_dups, null_counts, row_counts, last_stats, volume_anomaly, dq_issues, dq_summary,
               dq_trend, run_kpis, runs_by_day, runs_window, recent_runs, run_totals, scope_tables, run_state, error_breakdown,
-              product_profile, sample_rows, retention, purge_logs, raw_dump, load_full, load_append, swap_load, read_gate,
-              read_sheet, conform)
+              product_profile, sample_rows, retention, expire_dumps, purge_logs, raw_dump, load_full, load_append, swap_load, read_gate,
+              read_sheet, sheet_texts, header_auto, conform)
 }
 
 _SLOPE = (fv.LARGE_THRESHOLD - fv.SMALL_THRESHOLD) / (fv.LARGE_TABLE_ROWS - fv.SMALL_TABLE_ROWS)
@@ -262,7 +302,8 @@ _ISSUES = _STATS + """,
       UNION ALL SELECT 'stg_gsheets.clients_cur', 'NULL_VALUES', 'Обнаружено ' || n || ' пустых значений в колонке ''' || c || '''', 'warning'
         FROM (SELECT 'mobilnyy' AS c, count(*) AS n FROM clients_cur WHERE mobilnyy IS NULL UNION ALL
           SELECT 'data_rozhdeniya_rebenka', count(*) FROM clients_cur WHERE data_rozhdeniya_rebenka IS NULL) WHERE n > 0
-      UNION ALL SELECT table_name, 'VOLUME_ANOMALY', 'Аномалия объема: получено ' || rows || ' строк, среднее за ' || runs || ' запусков — ' || printf('%.1f', round_even(avg_rows, 1)), 'warning'
+      UNION ALL SELECT table_name, 'VOLUME_ANOMALY', 'Аномалия объема: получено ' || rows || ' строк, среднее за ' || runs || ' запусков — ' || printf('%.1f', round_even(avg_rows, 1))
+          || ' (отклонение ' || printf('%.1f%%', round_even(deviation * 100, 1)) || ', порог ' || printf('%.0f%%', round_even(CAST(threshold AS DOUBLE) * 100, 0)) || ')', 'warning'
         FROM compared WHERE deviation > threshold)"""
 _DOC_HASH = q.row_hash("text")
 _RUN_COLS = f"""run_id, {q.ts('started_at')} AS started_at, {q.ts('finished_at')} AS finished_at, status, mode, tables_processed,
@@ -332,6 +373,14 @@ ORACLE = {
     "retention": q.with_fixtures("table_stats") + f"""
         SELECT table_name, count(*) AS rows FROM table_stats WHERE created_at >= TIMESTAMP '{AS_OF_EVENTS}' - INTERVAL 10 DAYS GROUP BY table_name
         UNION ALL SELECT 'deleted', count(*) FROM table_stats WHERE created_at < TIMESTAMP '{AS_OF_EVENTS}' - INTERVAL 10 DAYS""",
+    "expire_dumps": f"""
+        SELECT {q.day('ts')} AS day, count(*) AS rows FROM events WHERE ts >= TIMESTAMP '{AS_OF_EVENTS}' - INTERVAL 10 DAYS GROUP BY 1
+        UNION ALL SELECT 'deleted', count(*) FROM events WHERE ts < TIMESTAMP '{AS_OF_EVENTS}' - INTERVAL 10 DAYS""",
+    "sheet_texts": """
+        SELECT CAST(doc_id AS VARCHAR) AS doc_id, md5(' "' || text || '", "" ') AS text_md5, length(text) + 8 AS chars, lang FROM documents""",
+    "header_auto": """
+        SELECT CAST(s_suppkey AS VARCHAR) AS record_id, 'h' AS content_hash, 't1' AS created_at, 'me' AS updated_by, s_name AS imya,
+          CAST(CAST(s_acctbal AS DECIMAL(18,2)) AS VARCHAR) AS summa_rub, row_number() OVER (ORDER BY s_suppkey) + 1 AS row_index FROM supplier""",
     "purge_logs": q.with_fixtures("table_stats") + """
         SELECT 'today' AS rule, count(*) AS n, CAST(sum(rows_inserted) AS BIGINT) AS s FROM table_stats WHERE created_at < TIMESTAMP '2024-01-20 00:00:00'
         UNION ALL SELECT 'unqualified', count(*), CAST(sum(rows_inserted) AS BIGINT) FROM table_stats WHERE contains(table_name, '.')""",
@@ -346,7 +395,8 @@ ORACLE = {
         WITH h AS (SELECT 'first:true,too_short:false,repeated:false,forced:true' AS history)
         SELECT 'live' AS version, history, count(*) AS live_rows, CAST(sum(o_orderkey) AS BIGINT) AS key_sum FROM orders, h WHERE o_orderstatus <> 'P' GROUP BY history
         UNION ALL SELECT 'backup', history, count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders, h GROUP BY history""",
-    "read_gate": "SELECT count(*) AS rows, true AS unseen, false AS seen_before FROM orders",
+    "read_gate": """
+        SELECT count(*) AS rows, 'unseen' AS seen FROM orders UNION ALL SELECT 0, 'seen_before' UNION ALL SELECT count(*), 'seen_long_ago' FROM orders""",
     "read_sheet": """
         SELECT CAST(o_orderkey AS VARCHAR) AS record_id, o_orderstatus AS status, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS summa_rub,
           row_number() OVER (ORDER BY o_orderkey) + 1 AS row_index FROM orders WHERE NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'P')""",

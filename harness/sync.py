@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, functions as F
 
 from harness import sqltext as q
 from harness.clean import as_of, flat
 from harness.fixtures import AS_OF_EVENTS, AS_OF_SALES, fixture, table
+from rowloom import fixed_values as fv
 from rowloom.functions.hashing import row_hash
 from rowloom.operators import cdc, merge, validate as v
 from rowloom.plans import transforms
-from rowloom.sources import layout
+from rowloom.plans.run import apply_changes
+from rowloom.sources import layout, sinks
 from rowloom.sources.contracts import CONTRACTS, contract_for, contract_projection
-from rowloom.sources.shared import materialize
+from rowloom.sources.shared import materialize, shared_folder
 from rowloom.sources.tabular import prepare_rows, to_staging
 
 # ---------------------------------------------------------------- contracts and validation
@@ -142,6 +147,23 @@ def cdc_apply(spark, sf):
     return flat(out).withColumnsRenamed({"_row_index": "row_index", "__row_hash": "row_hash", "_loaded_at": "loaded_at"})
 
 
+def cdc_load(spark, sf):
+    """A table brought up to the same snapshot again, and then to the next one; only the second rewrites it."""
+    name = f"orders_{uuid.uuid4().hex}"
+    now = as_of("2024-02-02 00:00:00")
+    stored, sheet = _stored(spark, sf), _sheet(spark, sf)
+    sinks.replace_table(stored, name, shared_folder(spark))
+    done = []
+    for step, rows in (("same", stored), ("next", sheet)):
+        before = sinks.shown_version(spark, name)
+        figures = apply_changes(spark.table(name), rows, name, "record_id", _SHEET, now, shared_folder(spark))
+        done.append((step, *(figures[k] for k in ("inserted", "updated", "deleted", "unchanged")), sinks.shown_version(spark, name) != before))
+    rows = spark.table(name).count()
+    sinks.drop_table(spark, name)
+    out = spark.createDataFrame(done, "step string, inserted long, updated long, deleted long, unchanged long, rewritten boolean")
+    return out.withColumn("rows_after", F.lit(rows).cast("long"))
+
+
 def cdc_duplicates(spark, sf):
     """A snapshot in which every client's key repeats once per order."""
     source = _sheet(spark, sf).select("klient", "summa", "_row_index", row_hash(["klient", "summa"]).alias("__row_hash"))
@@ -259,6 +281,13 @@ def soft_delete_any_source(spark, sf):
     return flat(merge.soft_delete(core, hashes, as_of(AS_OF_SALES), status="deleted"))
 
 
+def soft_delete_absent(spark, sf):
+    """One of two sheets was not staged: rows that came from it stay, whatever the other holds."""
+    core, hashes = _deleted(spark, sf)
+    marked = merge.soft_delete(core, hashes.where("source = 'sales_cur'"), as_of(AS_OF_SALES), status="deleted", only=["sales_cur"])
+    return merge.soft_delete_counts(marked)
+
+
 def soft_delete_counts(spark, sf):
     core, hashes = _deleted(spark, sf)
     return merge.soft_delete_counts(merge.soft_delete(core, hashes, as_of(AS_OF_SALES), sources=["sales_cur", "sales_hst"]))
@@ -295,8 +324,8 @@ def seed_lookup(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (contract_project, validate_rows, validate_schedule, validate_compat, validate_summary, error_thresholds,
-              validation_log, first_errors, constraint_checks, cdc_diff, existing_state, cdc_stats, cdc_by_content, cdc_apply, cdc_duplicates,
-              dedupe_first, upsert_clients, upsert_sales, upsert_schedule, soft_delete, soft_delete_any_source,
+              validation_log, first_errors, constraint_checks, cdc_diff, existing_state, cdc_stats, cdc_by_content, cdc_apply, cdc_load, cdc_duplicates,
+              dedupe_first, upsert_clients, upsert_sales, upsert_schedule, soft_delete, soft_delete_any_source, soft_delete_absent,
               soft_delete_counts, undelete, distinct_employees, insert_absent, seed_lookup)
 }
 
@@ -305,17 +334,14 @@ QUERIES = {
 _BLANK = lambda c: f"(coalesce({q.strip(c)}, '') = '')"                                     # noqa: E731
 _INT_OK = lambda c: rf"regexp_matches({c}, '^{q.WS}*[+-]?\d+(\.0+)?{q.WS}*$')"              # noqa: E731
 _MONEY_OK = lambda c: rf"regexp_matches(replace(regexp_replace({c}, '[^\d,.-]', '', 'g'), ',', '.'), '{q.PLAIN}')"
-_DATES = {"DD.MM.YYYY": r"^\d\d\.\d\d\.\d{4}$", "DD.MM.YY": r"^\d\d\.\d\d\.\d\d$", "DD.MM.": r"^\d\d\.\d\d\.$",
-          "DD.MM": r"^\d\d\.\d\d$", "YYYY-MM-DD": r"^\d{4}-\d\d-\d\d$"}
 
 
 def _date_ok(c, formats):
     plain = q.strip(f"regexp_replace({q.strip(c)}, '(?i)^[а-яa-z]{{2,3}}{q.WS}+', '')")
-    return "(" + " OR ".join(f"regexp_matches({plain}, '{_DATES[f]}')" for f in formats) + ")"
+    return "(" + " OR ".join(f"regexp_matches({plain}, '{fv.DATE_SHAPES[f]}')" for f in formats) + ")"
 
 
-_SALES_FORMATS = ("DD.MM.YY", "DD.MM.YYYY", "YYYY-MM-DD")
-_SCHEDULE_FORMATS = ("DD.MM.", "DD.MM", "DD.MM.YY", "DD.MM.YYYY")
+_FORMATS = {name: next(formats for column, _, _, formats in rules if column == "date") for name, rules in fv.CONTRACTS.items() if name in ("sales", "schedule")}
 
 
 def _sales_errors(compat=False):
@@ -323,7 +349,7 @@ def _sales_errors(compat=False):
     seen = "quantity IS NOT NULL" if compat else f"NOT {_BLANK('quantity')}"
     return [
         ("client_full:MISSING_REQUIRED", _BLANK("client_full")),
-        ("date:INVALID_DATE", f"NOT {_BLANK('date')} AND NOT {_date_ok('date', _SALES_FORMATS)}"),
+        ("date:INVALID_DATE", f"NOT {_BLANK('date')} AND NOT {_date_ok('date', _FORMATS["sales"])}"),
         ("date:MISSING_REQUIRED", f"{late}{_BLANK('date')}"),
         ("final_price:INVALID_MONEY", f"NOT {_BLANK('final_price')} AND NOT {_MONEY_OK('final_price')}"),
         ("full_price:INVALID_MONEY", f"NOT {_BLANK('full_price')} AND NOT {_MONEY_OK('full_price')}"),
@@ -332,9 +358,9 @@ def _sales_errors(compat=False):
     ]
 
 
-_TIME_OK = lambda c: rf"regexp_matches({q.strip(c)}, '^\d{{1,2}}:\d\d(:\d\d)?$')"           # noqa: E731
+_TIME_OK = lambda c: f"regexp_matches({q.strip(c)}, '{fv.TIME_SHAPE}')"           # noqa: E731
 _SCHEDULE_ERRORS = [
-    ("date:INVALID_DATE", f"NOT {_BLANK('date')} AND NOT {_date_ok('date', _SCHEDULE_FORMATS)}"),
+    ("date:INVALID_DATE", f"NOT {_BLANK('date')} AND NOT {_date_ok('date', _FORMATS["schedule"])}"),
     ("date:MISSING_REQUIRED", _BLANK("date")),
     ("end_time:INVALID_TIME", f"NOT {_BLANK('end_time')} AND NOT {_TIME_OK('end_time')}"),
     ("end_time:MISSING_REQUIRED", _BLANK("end_time")),
@@ -358,9 +384,18 @@ def _by_errors(fixture_name, errors, blank):
         FROM checked GROUP BY ALL"""
 
 
-_MESSAGE = """CASE split_part(e, ':', 2) WHEN 'MISSING_REQUIRED' THEN 'Поле ' || split_part(e, ':', 1) || ' обязательно для заполнения'
-    WHEN 'INVALID_DATE' THEN 'Дата ''' || date || ''' не соответствует формату [''DD.MM.'', ''DD.MM'', ''DD.MM.YY'', ''DD.MM.YYYY'']'
-    ELSE 'Время ''' || val || ''' не соответствует формату HH:MM' END"""
+
+
+def _message(kind: str, value: str) -> str:
+    """A message as an SQL text, its gaps filled with expressions."""
+    fillings = {"value": value, "column": "split_part(e, ':', 1)", "formats": q.quoted(str(list(_FORMATS["schedule"])))}
+    parts = re.split(r"\{(\w+)\}", fv.MESSAGES[kind])
+    return " || ".join(fillings[p] if k % 2 else q.quoted(p) for k, p in enumerate(parts) if p)
+
+
+_MESSAGE = "CASE split_part(e, ':', 2) " + " ".join(
+    f"WHEN '{kind}' THEN {_message(kind, value)}" for kind, value in (("MISSING_REQUIRED", "val"), ("INVALID_DATE", "date"), ("INVALID_TIME", "val"))
+) + " END"
 _LOG = q.with_fixtures("schedule_checked", more=_checked_cte("schedule_checked", _SCHEDULE_ERRORS, _SCHEDULE_BLANK) + """,
     e AS (SELECT *, unnest(errors) AS e FROM checked),
     log AS (SELECT *, CASE split_part(e, ':', 1) WHEN 'date' THEN date WHEN 'start_time' THEN start_time WHEN 'end_time' THEN end_time ELSE status END AS val FROM e)""")
@@ -508,6 +543,10 @@ ORACLE = {
     "existing_state": q.with_fixtures("orders_stored") + f"""
         SELECT klient AS pk, arg_max({_HASH}, _row_index) AS old_hash FROM orders_stored WHERE status <> 'P' GROUP BY klient""",
     "cdc_stats": _DIFF + f"SELECT {_COUNTS} FROM diff",
+    "cdc_load": _DIFF.replace("WITH ", "WITH same AS (SELECT 'same' AS step, 0 AS inserted, 0 AS updated, 0 AS deleted, false AS rewritten),", 1) + f"""
+        SELECT step, s.inserted, s.updated, s.deleted, (SELECT count(*) FROM orders_stored) AS unchanged, rewritten,
+          (SELECT count(*) FROM diff WHERE action <> 'DELETE') AS rows_after FROM same s
+        UNION ALL SELECT 'next', {_COUNTS.replace(' AS unchanged', '')}, true, count(*) FILTER (action <> 'DELETE') FROM diff""",
     "cdc_by_content": q.with_fixtures("orders_stored", "orders_sheet", more=f"""
         stored AS (SELECT DISTINCT {_HASH} AS h FROM orders_stored),
         sheet AS (SELECT record_id, klient, status, {q.numeric_text('summa')} AS summa FROM orders_sheet),
@@ -540,6 +579,8 @@ ORACLE = {
         FROM t_new""",
     "soft_delete": _soft(_GONE_BY_SOURCE, "'active'"),
     "soft_delete_any_source": _soft(_GONE_ANY, "CASE WHEN g THEN 'deleted' ELSE 'active' END"),
+    "soft_delete_absent": _SOFT + """SELECT source, count(*) FILTER (source = 'sales_cur' AND coalesce(NOT is_deleted AND row_hash IS NOT NULL
+        AND row_hash NOT IN (SELECT h FROM hashed), false)) AS deleted FROM core GROUP BY source""",
     "soft_delete_counts": _SOFT + f"SELECT source, count(*) FILTER (coalesce({_GONE_BY_SOURCE}, false)) AS deleted FROM core GROUP BY source",
     "undelete": q.with_fixtures("clients_cur", "clients_hst", more=f"{CLIENT_CTES},\n{_OLD_CLIENTS},\n{_MERGED_CLIENTS}") + f"""
         SELECT legacy_id, name, status, balance, deleted_at, created_at, updated_at FROM merged WHERE created_at < '{AS_OF_SALES}' AND NOT is_deleted""",

@@ -78,7 +78,7 @@ def insert_absent(existing: DataFrame, new: DataFrame, key: str) -> DataFrame:
     """The new rows whose key is not there yet, one per key; to be appended."""
     order = [F.col(c) for c in new.columns if c != key]
     one = first_per_key(new, [key], order or [F.col(key)])
-    return one.join(existing.select(key).distinct(), key, "left_anti").select(*new.columns)
+    return one.join(existing.select(key), key, "left_anti").select(*new.columns)
 
 
 def distinct_names(*frames: tuple[DataFrame, str]) -> DataFrame:
@@ -108,16 +108,19 @@ def soft_delete(
     now: Column,
     sources: Sequence[str] | None = None,
     status: str | None = None,
+    only: Sequence[str] | None = None,
 ) -> DataFrame:
     """Stamps live rows whose hash is staged no more; adds `just_deleted`.
 
     With `sources`, a row is looked up among the hashes of its own source, and rows of other
-    sources are left alone; without, among all of them.  Rows without a hash are never
-    deleted, as under NOT IN.
+    sources are left alone; without, among all of them.  `only` names the sources whose rows
+    may be deleted at all: those of a sheet that was not staged must stay.  Rows without a hash
+    are never deleted, as under NOT IN.
     """
     on = ["source", "row_hash"] if sources else ["row_hash"]
     present = splittable(staged.select(*on).distinct(), "row_hash").withColumn("__staged", F.lit(True))
-    scope = F.col("source").isin(*sources) if sources else F.lit(True)
+    limits = sources or only
+    scope = F.col("source").isin(*limits) if limits else F.lit(True)
     gone = (
         F.col("__staged").isNull() & F.col("row_hash").isNotNull() & scope & (F.col("is_deleted") == F.lit(False))
     )

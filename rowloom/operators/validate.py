@@ -80,7 +80,7 @@ def validate(df: DataFrame, contract: Contract, compat: bool = False) -> DataFra
     """
     cells = {r: _cell(r, df.columns) for r in contract.rules}
     required = [cells[r] for r in contract.required if cells[r] is not None]
-    blank = reduce(lambda a, b: a & b, [is_blank(c) for c in required], F.lit(True))
+    blank = F.forall(F.array(*required), is_blank) if required else F.lit(True)
     checks = [_missing(r, cells[r], compat) for r in contract.required]
     present = [(r, c) for r, c in cells.items() if c is not None]
     checks += [_bad_integer(r, c, compat) for r, c in present if r.type == "integer"]

@@ -79,14 +79,19 @@ def balance_outliers(balances: DataFrame, low: int = fv.BALANCE_LOW, high: int =
     return balances.where((left < low) | (left > high))
 
 
-def unified_customers(messenger: DataFrame, clients: DataFrame) -> DataFrame:
+def unified_customers(messenger: DataFrame, clients: DataFrame, compat: bool = False) -> DataFrame:
     """CRM clients and messenger users side by side, matched on the digits of the phone.
 
     A full outer join, taken apart: pairs by inner join, then the rows of either side that
     match none.  Spark can split a hot number (such as the placeholder phone) in inner and
     anti joins, not in a full outer one; rows without a usable phone get a key of their own.
+
+    The placeholder phone says that a client has none, so it matches nobody; compat=True pairs
+    everyone who has it, as older views did (their number grows with its square).
     """
-    usable = F.col("phone").isNotNull() & (F.length("phone") > fv.MIN_PHONE_CHARS)
+    no_phone = "".join(c for c in fv.NO_PHONE if c.isdigit())
+    real = F.lit(True) if compat else digits_only(F.col("phone")) != no_phone
+    usable = F.col("phone").isNotNull() & (F.length("phone") > fv.MIN_PHONE_CHARS) & real
     t = messenger.select(
         F.col("id").alias("tg_id"), "username", F.col("phone").alias("tg_phone"),
         F.col("updated_at").alias("tg_updated"),
@@ -95,7 +100,7 @@ def unified_customers(messenger: DataFrame, clients: DataFrame) -> DataFrame:
     c = clients.select(
         F.col("legacy_id").alias("crm_id"), F.col("name").alias("crm_name"), F.col("phone").alias("crm_phone"),
         F.col("updated_at").alias("crm_updated"),
-        F.coalesce(digits_only(F.col("phone")), F.concat(F.lit("c"), F.col("legacy_id"))).alias("k"),
+        F.when(real, digits_only(F.col("phone"))).otherwise(F.concat(F.lit("c"), F.col("legacy_id"))).alias("k"),
     )
     pairs = t.join(c, "k")
     alone_t = t.join(splittable(c.select("k").distinct(), "k"), "k", "left_anti")

@@ -23,6 +23,8 @@ from rowloom.sources.tabular import is_modified, read_tabular, to_staging
 
 log = logging.getLogger(__name__)
 
+PARTIAL = "partial"              # status of a run in which some sources or transforms failed
+
 
 @dataclass(frozen=True)
 class Source:
@@ -63,6 +65,9 @@ class Settings:
     now: datetime | None = None
     raw_table: str = "raw.sheets_dump"
     log_table: str = "ops.validation_logs"
+    max_errors: int = fv.MAX_ERRORS           # a source with more is not loaded
+    max_errors_per_row: int = fv.MAX_ERRORS_PER_ROW
+    staging: str = "stg_gsheets"              # where the transforms look for staged sheets
     runs_table: str = "ops.elt_runs"
     stats_table: str = "ops.elt_table_stats"
     extra: list[tuple[str, Callable[[SparkSession], DataFrame]]] = field(default_factory=list)
@@ -107,7 +112,7 @@ def sync_table(spark: SparkSession, source: Source, run_id: str, s: Settings, no
     if contract is not None:
         known = contract_projection(columns, contract, source.mapping)
         checked = checks.validate(rows.select(*known, "_row_index"), contract)
-        summary = checks.error_thresholds(checks.validation_summary(checked)).first()
+        summary = checks.error_thresholds(checks.validation_summary(checked), s.max_errors, s.max_errors_per_row).first()
         figures["extracted"], figures["errors"] = summary["total_rows"], summary["total_errors"]
         if summary["total_errors"] and not s.dry_run:
             index = F.col("_row_index") - fv.FIRST_DATA_ROW
@@ -123,24 +128,40 @@ def sync_table(spark: SparkSession, source: Source, run_id: str, s: Settings, no
         figures |= {"status": "full_refresh", "inserted": figures["extracted"]}
     else:
         target = spark.table(source.table) if exists else staged.limit(0)
-        diff = cdc.cdc_diff(staged, target, source.pk)
-        if not s.dry_run:
-            diff = materialize(diff, "diff")
-            sinks.replace_table(cdc.cdc_apply(target, diff, source.pk, kept, now), source.table, s.root)
-        figures |= cdc.cdc_stats(diff).first().asDict() | {"status": "dry_run" if s.dry_run else "cdc"}
+        figures |= apply_changes(target, staged, source.table, source.pk, kept, now, s.root, s.dry_run)
+        figures["status"] = "dry_run" if s.dry_run else "cdc"
     return figures | {"duration_ms": int((time.monotonic() - started) * 1000)}
 
 
-def load_phase(spark: SparkSession, run_id: str, s: Settings, now: Column) -> list[dict[str, Any]]:
-    """All sources in scope, one after the other; a source that fails does not stop the others."""
+def apply_changes(target: DataFrame, staged: DataFrame, table: str, pk: str, columns: Sequence[str], now: Column,
+                  root: str | None = None, dry_run: bool = False) -> dict[str, int]:
+    """Brings a table up to its snapshot; inserted, updated, deleted and unchanged rows.
+
+    Only changed rows are written out in between, and a table without any is not rewritten.
+    """
+    diff = cdc.cdc_diff(staged, target, pk)
+    if dry_run:
+        return cdc.cdc_stats(diff).first().asDict()
+    changed = materialize(diff.where(F.col("action") != cdc.UNCHANGED), "changed")
+    figures = cdc.cdc_stats(changed).first().asDict()
+    keyed = staged.where(F.col(pk).isNotNull() & (F.col(pk).cast("string") != "")).count()
+    figures["unchanged"] = keyed - figures["inserted"] - figures["updated"]
+    if figures["inserted"] + figures["updated"] + figures["deleted"]:
+        sinks.replace_table(cdc.cdc_apply(target, changed, pk, columns, now), table, root)
+    return figures
+
+
+def load_phase(spark: SparkSession, run_id: str, s: Settings, now: Column, failed: dict[str, str]) -> list[dict[str, Any]]:
+    """All sources in scope, one after the other; one that fails is noted in `failed` and does not stop the others."""
     done = []
     for source in s.sources:
         if not in_scope(source.table, s.scope):
             continue
         try:
             figures = sync_table(spark, source, run_id, s, now)
-        except Exception:
+        except Exception as e:
             log.exception("%s could not be loaded", source.table)
+            failed[source.table] = str(e)
             continue
         if figures["status"] != "skipped":
             done.append(figures)
@@ -179,12 +200,13 @@ def _staged(spark: SparkSession, name: str) -> DataFrame | None:
     return spark.table(name) if spark.catalog.tableExists(name) else None
 
 
-def transform_phase(spark: SparkSession, s: Settings, now: Column) -> int:
+def transform_phase(spark: SparkSession, s: Settings, now: Column, failed: dict[str, str]) -> int:
     """Clients, then schedule and sales, which look clients up; each with its soft delete.
 
-    A transform that fails is logged and leaves its table as it was; how many succeeded.
+    A transform that fails, or whose sheets or tables have failed before, leaves its table as
+    it was and is noted in `failed`; how many succeeded.
     """
-    stg = {n: _staged(spark, f"stg_gsheets.{n}") for n in
+    stg = {n: _staged(spark, f"{s.staging}.{n}") for n in
            ("clients_cur", "clients_hst", "sales_cur", "sales_hst", "trainings_cur", "trainings_hst")}
 
     def clients() -> DataFrame:
@@ -213,7 +235,8 @@ def transform_phase(spark: SparkSession, s: Settings, now: Column) -> int:
         if not present:
             return merged
         hashes = merge.staged_hashes(*present)
-        marked = merge.soft_delete(merged, hashes, now, [n for n, _ in present] if by_source else None, status)
+        staged = [n for n, _ in present]
+        marked = merge.soft_delete(merged, hashes, now, staged if by_source else None, status, only=staged)
         return marked.drop("just_deleted")
 
     def balances() -> DataFrame:
@@ -222,22 +245,34 @@ def transform_phase(spark: SparkSession, s: Settings, now: Column) -> int:
             marts.client_usage(spark.table("core.schedule")), now,
         )
 
-    steps = [("core.clients", clients), ("core.schedule", schedule), ("core.sales", sales), ("analytics.v_client_balances", balances)]
-    steps += [(name, lambda make=make: make(spark)) for name, make in s.extra]
+    def sheets(*names: str) -> set[str]:
+        return {f"{s.staging}.{n}" for n in names}
+
+    steps = [
+        ("core.clients", clients, sheets("clients_cur", "clients_hst")),
+        ("core.schedule", schedule, sheets("trainings_cur", "trainings_hst") | {"core.clients"}),
+        ("core.sales", sales, sheets("sales_cur", "sales_hst") | {"core.clients"}),
+        ("analytics.v_client_balances", balances, {"core.clients", "core.schedule", "core.sales"}),
+    ]
+    steps += [(name, lambda make=make: make(spark), set()) for name, make in s.extra]
     done = 0
-    for name, make in steps:
+    for name, make, needs in steps:
+        if lacking := sorted(needs & set(failed)):
+            failed[name] = f"not built: {', '.join(lacking)} failed"
+            continue
         try:
             sinks.replace_table(make(), name, s.root)
             done += 1
-        except Exception:
+        except Exception as e:
             log.exception("%s could not be built", name)
+            failed[name] = str(e)
     return done
 
 
 def add_employees(spark: SparkSession, s: Settings, now: Column) -> None:
     """Adds the names in the training sheets that the employee table lacks."""
     named = [(df, c) for n, c in (("trainings_cur", "sotrudnik"), ("trainings_hst", "employee"))
-             if (df := _staged(spark, f"stg_gsheets.{n}")) is not None and c in df.columns]
+             if (df := _staged(spark, f"{s.staging}.{n}")) is not None and c in df.columns]
     if named:
         existing = _table(spark, "lookups.employees", layout.EMPLOYEES)
         fresh = transforms.new_employees(existing, *named).withColumn("id", F.md5("full_name"))
@@ -248,14 +283,15 @@ def add_employees(spark: SparkSession, s: Settings, now: Column) -> None:
 def run(spark: SparkSession, s: Settings) -> dict[str, Any]:
     """One run from the sources to the export; its totals.
 
-    Raises what stopped it, after the ledger has the failure.
+    Sources and transforms that fail make it `partial`; totals and ledger name them.  Raises what stopped it, after the ledger has the failure.
     """
     configure(spark)
-    for db in ("raw", "stg_gsheets", "core", "lookups", "analytics", "ops"):
+    for db in ("raw", s.staging, "core", "lookups", "analytics", "ops"):
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     run_id, started, clock = str(uuid.uuid4()), s.now or datetime.now(), time.monotonic()
     now = F.lit(started)
-    totals = {"run_id": run_id, "tables_processed": 0, "total_rows_synced": 0, "validation_errors": 0}
+    failed: dict[str, str] = {}
+    totals = {"run_id": run_id, "failed": failed, "tables_processed": 0, "total_rows_synced": 0, "validation_errors": 0}
 
     def book(status: str, **more: Any) -> None:
         event = {"run_id": run_id, "started_at": started, "status": status,
@@ -269,7 +305,7 @@ def run(spark: SparkSession, s: Settings) -> dict[str, Any]:
     status, error = "success", None
     try:
         if not s.skip_load:
-            done = load_phase(spark, run_id, s, now)
+            done = load_phase(spark, run_id, s, now, failed)
             totals["tables_processed"] = len(done)
             totals["total_rows_synced"] = sum(f["inserted"] + f["updated"] for f in done)
             totals["validation_errors"] = sum(f["errors"] for f in done)
@@ -284,7 +320,7 @@ def run(spark: SparkSession, s: Settings) -> dict[str, Any]:
                     raise QualityFailed("data quality check failed: critical issues found")
         if not s.skip_transform and not s.dry_run:
             add_employees(spark, s, now)
-            totals["transforms"] = transform_phase(spark, s, now)
+            totals["transforms"] = transform_phase(spark, s, now, failed)
         if s.run_exports and not s.dry_run:
             if spark.catalog.tableExists(s.raw_table):
                 totals["dumps_expired"] = sinks.expire_dumps(spark, s.raw_table, started)
@@ -292,6 +328,8 @@ def run(spark: SparkSession, s: Settings) -> dict[str, Any]:
                 order = fv.BALANCE_COLUMNS
                 mart = spark.table("analytics.v_client_balances")
                 totals["exported"] = sinks.export_mart(mart.orderBy(order["left"], order["name"]), s.export_path)
+        if failed:
+            status, error = PARTIAL, "; ".join(f"{name}: {why}" for name, why in failed.items())
     except Exception as e:
         status, error = "failed", str(e)
         raise

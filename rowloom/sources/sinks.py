@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 import uuid
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -16,6 +16,9 @@ from rowloom.sources.shared import materialize
 
 log = logging.getLogger(__name__)
 
+# Cells as sheets write them: quotes doubled, blanks at the ends kept.
+SHEET_CSV = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
 
 def load_full(df: DataFrame, path: str) -> None:
     """Replaces a table's rows.  `df` must not read from `path`; use swap_load for that."""
@@ -72,7 +75,7 @@ def export_mart(df: DataFrame, path: str) -> bool:
     if df.isEmpty():
         log.warning("mart is empty, %s is left as it is", path)
         return False
-    mart_cells(df).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    mart_cells(df).write.mode("overwrite").options(header=True, emptyValue="", **SHEET_CSV).csv(path)
     return True
 
 
@@ -84,34 +87,82 @@ class Swap:
     duplicate_hashes: int = 0
 
 
+_VERSION = "version"             # the property of a table's view that names the version it shows
+
+
 def stage_version(df: DataFrame, table: str, root: str | None = None) -> str:
-    """Writes the next version of a table beside it; the name of the new table.
+    """Writes the next version of a table beside it; the version's name.
 
     `root` is a folder that all executors share; without it the catalog's warehouse holds the
     data.
     """
-    spark, fresh = df.sparkSession, f"{table}_new"
-    spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+    version = f"{table}__{uuid.uuid4().hex}"
     writer = df.write.mode("overwrite")
     if root:
-        writer = writer.option("path", f"{root.rstrip('/')}/{table}/{uuid.uuid4().hex}")
-    writer.saveAsTable(fresh)
-    return fresh
+        writer = writer.option("path", f"{root.rstrip('/')}/{table}/{version.rpartition('__')[2]}")
+    writer.saveAsTable(version)
+    return version
+
+
+def shown_version(spark: SparkSession, view: str) -> str | None:
+    """The version that a view shows."""
+    if not spark.catalog.tableExists(view):
+        return None
+    rows = spark.sql(f"SHOW TBLPROPERTIES {view}").where(F.col("key") == _VERSION).collect()     # one row
+    return rows[0]["value"] if rows else None
+
+
+def _show(spark: SparkSession, view: str, version: str) -> None:
+    spark.sql(f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('{_VERSION}' = '{version}') AS SELECT * FROM {version}")
+
 
+def drop_version(spark: SparkSession, version: str) -> None:
+    """Drops a version and its files, also those in a folder the catalog does not own."""
+    place = spark.sql(f"DESCRIBE FORMATTED {version}").where("col_name = 'Location'").first()
+    spark.sql(f"DROP TABLE {version}")
+    if place:
+        path = spark._jvm.org.apache.hadoop.fs.Path(place["data_type"])
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
-def swap_in(spark: SparkSession, table: str) -> None:
-    """Puts the staged version in a table's place; the old one stays as `<table>_backup`."""
-    fresh, backup = f"{table}_new", f"{table}_backup"
-    spark.sql(f"DROP TABLE IF EXISTS {backup}")
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} RENAME TO {backup}")
-    spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+
+def free_versions(spark: SparkSession, table: str) -> int:
+    """Drops versions that neither the table nor its backup shows, as a stopped run leaves them; how many."""
+    db, _, base = table.rpartition(".")
+    used = {shown_version(spark, table), shown_version(spark, f"{table}_backup")}
+    names = spark.sql(f"SHOW TABLES {f'IN {db}' if db else ''} LIKE '{base}__*'").collect()           # a few
+    versions = {f"{db}.{r['tableName']}" if db else r["tableName"] for r in names} - used
+    for version in versions:
+        drop_version(spark, version)
+    return len(versions)
+
+
+def swap_in(spark: SparkSession, table: str, version: str) -> None:
+    """Shows a staged version under a table's name; the one before stays as `<table>_backup`.
+
+    A table is a view of its version, so one statement swaps it: at any time the name shows one
+    whole version.  A plain table of that name becomes the first version.
+    """
+    before = shown_version(spark, table)
+    if before is None and spark.catalog.tableExists(table):
+        before = f"{table}__{uuid.uuid4().hex}"
+        spark.sql(f"ALTER TABLE {table} RENAME TO {before}")
+        _show(spark, table, before)
+    if before:
+        _show(spark, f"{table}_backup", before)
+    _show(spark, table, version)
+    free_versions(spark, table)
 
 
 def replace_table(df: DataFrame, table: str, root: str | None = None) -> None:
     """A new version of a table; `df` may read the present one."""
-    stage_version(df, table, root)
-    swap_in(df.sparkSession, table)
+    swap_in(df.sparkSession, table, stage_version(df, table, root))
+
+
+def drop_table(spark: SparkSession, table: str) -> None:
+    """Drops a table that was loaded by versions, with its backup and all files."""
+    for view in (table, f"{table}_backup"):
+        spark.sql(f"DROP VIEW IF EXISTS {view}")
+    free_versions(spark, table)
 
 
 def swap_load(
@@ -131,7 +182,8 @@ def swap_load(
     live one is never half written.
     """
     present = spark.table(table).count() if spark.catalog.tableExists(table) else 0
-    loaded = spark.table(stage_version(new, table, root))
+    version = stage_version(new, table, root)
+    loaded = spark.table(version)
     rows = loaded.count()
     reason = ""
     if rows == 0:
@@ -141,13 +193,13 @@ def swap_load(
     elif not duplicate_keys(loaded, [pk], skip_null=False).isEmpty():
         reason = f"duplicate {pk}"
     if reason:
-        spark.sql(f"DROP TABLE {table}_new")
+        drop_version(spark, version)
         log.error("%s not replaced: %s", table, reason)
         return Swap(False, reason, rows)
     repeats = duplicate_hash_count(loaded, content_hash).first()[0] if content_hash else 0
     if repeats:
         log.warning("%s: %d repeated values of %s", table, repeats, content_hash)
-    swap_in(spark, table)
+    swap_in(spark, table, version)
     return Swap(True, "", rows, repeats)
 
 
@@ -159,7 +211,8 @@ def expire_dumps(spark: SparkSession, table: str, as_of: datetime, days: int = f
     if spark.catalog.getTable(table).tableType != "MANAGED":
         raise ValueError(f"the catalog does not own the files of {table}, so dropping days would leave them")
     dumps, at = spark.table(table), F.lit(as_of)
-    cut = (as_of - timedelta(days=days)).date()
+    # the day of the cut in the zone in which the rows' days were told
+    cut = spark.range(1).select(F.to_date(at - F.make_dt_interval(days=F.lit(days)))).first()[0]
     kept, gone = retention(dumps, "extracted_at", at, days)
     deleted = gone.first()["deleted"]
     if not deleted:

@@ -3,34 +3,28 @@
 from __future__ import annotations
 
 from datetime import datetime
-from functools import reduce
-from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from rowloom import fixed_values as fv
 from rowloom.functions.hashing import row_hash
 from rowloom.functions.slug import normalize_headers
 from rowloom.functions.text import is_blank, normalize_numeric_string, quoted, strip
+from rowloom.sources.shared import materialize
 
-# Offsets of the input blocks are sent to all tasks up to this many blocks.
-BROADCAST_BLOCKS = 50_000
-
-
-def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Deals the rows of a small input out to all cores.
-
-    Cleaning text cells costs far more than reading them, and a file of a few megabytes comes
-    as one or two splits.  Inputs with at least as many splits as cores, as large ones have,
-    are left as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key or df.columns[0])
+# CSV as sheets export it: quotes are doubled, cells may hold line breaks.  Files with line breaks in
+# cells cannot be split; machine-made ones without may be read with multiLine=False.
+SHEET_CSV = {"escape": '"', "multiLine": True}
 
 
 def drop_blank_rows(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Without rows that have no text in any cell."""
-    return df.where(~reduce(lambda a, b: a & b, [is_blank(F.col(quoted(c))) for c in columns or df.columns]))
+    return df.where(_filled([F.col(quoted(c)) for c in columns or df.columns]))
+
+
+def _filled(cells: list[Column]) -> Column:
+    """Whether any cell has text: one expression, however wide the sheet is."""
+    return F.exists(F.array(*cells), lambda c: ~is_blank(c)) if cells else F.lit(False)
 
 
 def with_row_index(df: DataFrame, start: int = fv.FIRST_DATA_ROW, name: str = "_row_index") -> DataFrame:
@@ -45,19 +39,15 @@ def with_row_index(df: DataFrame, start: int = fv.FIRST_DATA_ROW, name: str = "_
         F.col("_metadata.file_block_start").alias("__block"),
         F.monotonically_increasing_id().alias("__place"),
     )
-    blocks = (
+    block = Window.orderBy("__file", "__block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (
         placed.groupBy("__file", "__block")
         .agg(F.count("*").alias("n"), F.min("__place").alias("first"))
-        .orderBy("__file", "__block")
-        .collect()                        # one row per input block, as in the file listing
-    )
-    before = accumulate((b["n"] for b in blocks), initial=start)
-    offsets = df.sparkSession.createDataFrame(
-        [(b["__file"], b["__block"], n - b["first"]) for b, n in zip(blocks, before)],
-        "__file string, __block long, __shift long",
+        # one narrow row per input block, as in the file listing
+        .select("__file", "__block", (F.lit(start) + F.coalesce(F.sum("n").over(block), F.lit(0)) - F.col("first")).alias("__shift"))
     )
-    if len(blocks) <= BROADCAST_BLOCKS:
-        offsets = F.broadcast(offsets)
+    # written, so that Spark knows its size and decides on the join by that
+    offsets = materialize(offsets, "offsets")
     numbered = placed.join(offsets, ["__file", "__block"])
     return numbered.select(*[quoted(c) for c in df.columns], (F.col("__place") + F.col("__shift")).alias(name))
 
@@ -101,7 +91,7 @@ def read_tabular(
     skips all rows up to it.  Rows shorter than the header are filled with NULL, longer ones
     cut to its length.
     """
-    reader = spark.read.format(fmt).options(**options)
+    reader = spark.read.format(fmt).options(**(SHEET_CSV | options if fmt == "csv" else options))
     if modified_after is not None:
         reader = reader.option("modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S"))
     if header == "auto":
@@ -121,8 +111,8 @@ def read_tabular(
         fields = raw.columns
         names = names or fields
         text = [F.col(quoted(c)).cast("string").alias(f"_c{i}") for i, c in enumerate(fields)]
-        blank = reduce(lambda a, b: a & b, [is_blank(F.col(quoted(c)).cast("string")) for c in fields], F.lit(bool(fields)))
-        rows = with_row_index(raw.where(~blank)).select(*text, "_row_index")
+        filled = _filled([F.col(quoted(c)).cast("string") for c in fields])
+        rows = with_row_index(raw.where(filled)).select(*text, "_row_index")
     return rows.toDF(*normalize_headers(names, table, mapping), "_row_index")
 
 
@@ -130,15 +120,26 @@ def _text_schema(width: int) -> str:
     return ", ".join(f"_c{i} string" for i in range(width))
 
 
-def _scan_header(reader, path: str, max_columns: int = 702) -> tuple[list[str], int]:
+def _first_rows(reader, path: str) -> list:
+    """The first rows (cells, whether a header, whether filled), as wide as the widest of them needs."""
+    width, raw = 1024, "__raw"
+    while True:
+        # rows of another width are handed over raw, too, which tells how wide they are at most
+        schema = f"{_text_schema(width)}, {raw} string"
+        rows = reader.option("columnNameOfCorruptRecord", raw).schema(schema).load(path).limit(fv.HEADER_SCAN_ROWS)
+        cells = F.array(*[c for c in rows.columns if c != raw])
+        head = rows.select(
+            cells.alias("cells"), is_header_row(cells).alias("header"), F.exists(cells, lambda c: ~is_blank(c)).alias("filled"), raw
+        ).collect()                                        # at most HEADER_SCAN_ROWS rows
+        widest = max((row[raw].count(",") + 1 for row in head if row[raw]), default=0)
+        if widest <= width:
+            return head
+        width = widest
+
+
+def _scan_header(reader, path: str) -> tuple[list[str], int]:
     """Header cells, and how many non-blank rows there are down to the header."""
-    wide = reader.schema(_text_schema(max_columns)).load(path).limit(fv.HEADER_SCAN_ROWS)
-    cells = F.array(*wide.columns)
-    head = wide.select(
-        cells.alias("cells"),
-        is_header_row(cells).alias("header"),
-        F.exists(cells, lambda c: ~is_blank(c)).alias("filled"),
-    ).collect()                                            # at most HEADER_SCAN_ROWS rows
+    head = _first_rows(reader, path)
     found = [i for i, row in enumerate(head) if row["header"]]
     if not found:
         raise ValueError(f"no header row with {', '.join(fv.HEADER_MARKS)} in {path}")

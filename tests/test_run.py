@@ -4,7 +4,9 @@ from datetime import datetime, timedelta
 
 import pytest
 
+from rowloom.operators.ledger import run_state
 from rowloom.plans.run import QualityFailed, Settings, Source, run
+from rowloom.sources import sinks
 from rowloom.sources.contracts import Contract, Rule
 
 CUR_SALES = Contract("sales", (
@@ -36,8 +38,9 @@ def settings(folder, now, **more):
     def src(n, name):
         return Source(f"stg_gsheets.{n}", str(folder / f"{name}.csv"), pk="record_id", numeric=("polnaya_stoimost",) if "sales" in n else ())
 
+    more.setdefault("export_path", str(folder / "mart"))
     return Settings(sources=[src("clients_cur", "clients"), src("sales_cur", "sales"), src("trainings_cur", "trainings")],
-                    contracts=CONTRACTS, now=now, export_path=str(folder / "mart"), schedule_year=2024, **more)
+                    contracts=CONTRACTS, now=now, schedule_year=2024, **more)
 
 
 @pytest.fixture
@@ -94,3 +97,43 @@ def test_bad_sheets(spark, tmp_path, clean_catalog):
     # per row: the date and the three amounts filled
     assert spark.table("ops.validation_logs").count() == 60 * 4
     assert sorted(r.status for r in spark.table("ops.elt_runs").collect()) == ["failed", "running"]
+
+
+def test_a_broken_source_makes_the_run_partial(spark, tmp_path, clean_catalog):
+    day = datetime(2024, 5, 1, 6)
+    people = [["1", "Анна", "+7 900", "Оля", "01.02.2015", "vip"], ["2", "Борис", "", "", "", ""]]
+    sales = [sale(1, "01.04.24", "Анна", "Абонемент 8 занятий", "1 000 руб.")]
+    visits = [["1", "05.04.", "9:00", "10:00", "Посетили", "", "", "", "Анна", "Тренер"]]
+    sheets(tmp_path, people, sales, visits)
+    assert run(spark, settings(tmp_path, day))["status"] == "success"
+    # nothing has changed: no staged table is rewritten
+    before = {n: sinks.shown_version(spark, f"stg_gsheets.{n}") for n in ("clients_cur", "sales_cur", "trainings_cur")}
+    again = run(spark, settings(tmp_path, day))
+    assert again["total_rows_synced"] == 0 and before == {n: sinks.shown_version(spark, f"stg_gsheets.{n}") for n in before}
+
+    sheets(tmp_path, people, [sale(i, "плохо", "Анна", "x", "дорого") for i in range(60)], visits)
+    third = run(spark, settings(tmp_path, day))
+    assert third["status"] == "partial" and third["transforms"] == 2
+    assert list(third["failed"]) == ["stg_gsheets.sales_cur", "core.sales", "analytics.v_client_balances"]
+    state = run_state(spark.table("ops.elt_runs")).where("status = 'partial'").first()
+    assert "stg_gsheets.sales_cur" in state.error_message and "core.sales: not built" in state.error_message
+    assert spark.table("core.sales").where("NOT is_deleted").count() == 1
+    # with other limits the same sheet loads
+    assert run(spark, settings(tmp_path, day, max_errors=1000))["failed"] == {}
+
+
+def test_a_sheet_that_is_not_staged_deletes_nothing(spark, tmp_path, clean_catalog):
+    day = datetime(2024, 5, 1, 6)
+    sheets(tmp_path, [["1", "Анна", "+7 900", "", "", ""], ["2", "Борис", "", "", "", ""]], [sale(1, "01.04.24", "Анна", "Разовое", "1")],
+           [["1", "05.04.", "9:00", "10:00", "Посетили", "", "", "", "Анна", "Тренер"]])
+    (tmp_path / "old.csv").write_text("client_full,phone_mobile,child_name,child_birth_date,product_type\nГалина,+7 955,,,\n", "utf-8")
+    s = settings(tmp_path, day)
+    old = Source("stg_gsheets.clients_hst", str(tmp_path / "old.csv"))
+    s.sources = [*s.sources, old]
+    assert run(spark, s)["failed"] == {}
+    sinks.drop_table(spark, "stg_gsheets.clients_hst")
+    sheets(tmp_path, [["1", "Анна", "+7 900", "", "", ""]], [sale(1, "01.04.24", "Анна", "Разовое", "1")],
+           [["1", "05.04.", "9:00", "10:00", "Посетили", "", "", "", "Анна", "Тренер"]])
+    run(spark, settings(tmp_path, day))
+    assert {r.name for r in spark.table("core.clients").where("is_deleted").collect()} == {"Борис"}
+    assert {r.name for r in spark.table("core.clients").where("NOT is_deleted").collect()} == {"Анна", "Галина"}
