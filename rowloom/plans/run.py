@@ -19,7 +19,7 @@ from rowloom.session import configure
 from rowloom.sources import layout, sinks
 from rowloom.sources.contracts import Contract, contract_for, contract_projection
 from rowloom.sources.shared import materialize
-from rowloom.sources.tabular import is_modified, read_tabular, to_staging
+from rowloom.sources.tabular import last_modified, read_tabular, to_staging
 
 log = logging.getLogger(__name__)
 
@@ -39,7 +39,7 @@ class Source:
     mapping: dict[str, str] | None = None
     critical: tuple[str, ...] = ()            # columns that should not be NULL
     numeric: tuple[str, ...] | None = ()      # number columns; None: all, as older tables have it
-    seen: datetime | None = None              # skip if not modified since
+    seen: datetime | None = None              # skip if not modified since; else what the last load has noted
 
 
 @dataclass
@@ -70,6 +70,8 @@ class Settings:
     staging: str = "stg_gsheets"              # where the transforms look for staged sheets
     runs_table: str = "ops.elt_runs"
     stats_table: str = "ops.elt_table_stats"
+    state_table: str = "ops.source_state"     # how new each source was when it was loaded
+    seed: bool = True                         # add what the lookup tables always hold
     extra: list[tuple[str, Callable[[SparkSession], DataFrame]]] = field(default_factory=list)
 
 
@@ -91,7 +93,9 @@ def sync_table(spark: SparkSession, source: Source, run_id: str, s: Settings, no
     started = time.monotonic()
     figures = {"table": source.table, "status": "skipped", "extracted": 0, "inserted": 0, "updated": 0, "deleted": 0,
                "unchanged": 0, "errors": 0}
-    if s.check_modified and not is_modified(spark, source.path, source.seen):
+    # asked for before reading: what is written meanwhile is newer
+    modified = last_modified(spark, source.path) if s.check_modified else None
+    if modified is not None and (seen := source.seen or _last_seen(spark, s, source.table)) is not None and modified <= seen:
         return figures
     rows = materialize(
         read_tabular(spark, source.path, source.fmt, source.table.split(".")[-1], source.mapping, source.header), "sheet"
@@ -130,9 +134,18 @@ def sync_table(spark: SparkSession, source: Source, run_id: str, s: Settings, no
         target = spark.table(source.table) if exists else staged.limit(0)
         figures |= apply_changes(target, staged, source.table, source.pk, kept, now, s.root, s.dry_run)
         figures["status"] = "dry_run" if s.dry_run else "cdc"
+    if modified is not None and not s.dry_run:
+        state = spark.createDataFrame([(source.table, modified, run_id)], "table_name string, modified_at timestamp, run_id string")
+        sinks.append_table(state, s.state_table, s.root)
     return figures | {"duration_ms": int((time.monotonic() - started) * 1000)}
 
 
+def _last_seen(spark: SparkSession, s: Settings, table: str) -> datetime | None:
+    if not spark.catalog.tableExists(s.state_table):
+        return None
+    return spark.table(s.state_table).where(F.col("table_name") == table).agg(F.max("modified_at").alias("at")).first()["at"]
+
+
 def apply_changes(target: DataFrame, staged: DataFrame, table: str, pk: str, columns: Sequence[str], now: Column,
                   root: str | None = None, dry_run: bool = False) -> dict[str, int]:
     """Brings a table up to its snapshot; inserted, updated, deleted and unchanged rows.
@@ -269,6 +282,18 @@ def transform_phase(spark: SparkSession, s: Settings, now: Column, failed: dict[
     return done
 
 
+def add_seeds(spark: SparkSession, s: Settings, now: Column) -> None:
+    """Adds the rows that the lookup tables always hold and lack so far."""
+    for table, form, rows, columns, key in (
+        ("lookups.employees", layout.EMPLOYEES, fv.SEED_EMPLOYEES, "full_name string, role string, aliases array<string>", "full_name"),
+        ("lookups.expense_categories", layout.EXPENSE_CATEGORIES, fv.SEED_EXPENSE_CATEGORIES, "name string, aliases array<string>", "name"),
+    ):
+        fresh = transforms.seed_lookup(_table(spark, table, form), list(rows), columns, key).withColumn("id", F.md5(key))
+        fresh = materialize(layout.conform(fresh, form, now), "seeds")
+        if not fresh.isEmpty():
+            sinks.append_table(fresh, table, s.root)
+
+
 def add_employees(spark: SparkSession, s: Settings, now: Column) -> None:
     """Adds the names in the training sheets that the employee table lacks."""
     named = [(df, c) for n, c in (("trainings_cur", "sotrudnik"), ("trainings_hst", "employee"))
@@ -319,6 +344,8 @@ def run(spark: SparkSession, s: Settings) -> dict[str, Any]:
                 if summary["has_critical_issues"]:
                     raise QualityFailed("data quality check failed: critical issues found")
         if not s.skip_transform and not s.dry_run:
+            if s.seed:
+                add_seeds(spark, s, now)
             add_employees(spark, s, now)
             totals["transforms"] = transform_phase(spark, s, now, failed)
         if s.run_exports and not s.dry_run:

@@ -82,7 +82,6 @@ def read_tabular(
     table: str = "",
     mapping: dict[str, str] | None = None,
     header: str = "first",
-    modified_after: datetime | None = None,
     **options: str,
 ) -> DataFrame:
     """All cells as text under normalised names, blank rows left out, plus `_row_index`.
@@ -92,8 +91,6 @@ def read_tabular(
     cut to its length.
     """
     reader = spark.read.format(fmt).options(**(SHEET_CSV | options if fmt == "csv" else options))
-    if modified_after is not None:
-        reader = reader.option("modifiedAfter", modified_after.strftime("%Y-%m-%dT%H:%M:%S"))
     if header == "auto":
         names, rows_above = _scan_header(reader, path)
         raw = reader.schema(_text_schema(len(names))).load(path)

@@ -1,5 +1,6 @@
 """Whole runs on a small set of sheets, twice, with changes in between."""
 
+import os
 from datetime import datetime, timedelta
 
 import pytest
@@ -61,7 +62,8 @@ def test_two_runs(spark, tmp_path, clean_catalog):
     assert first["issue_count"] == 0
     balances = {r["Клиент"]: (r["Куплено"], r["Использовано"], r["Остаток"]) for r in spark.table("analytics.v_client_balances").collect()}
     assert balances == {"Анна": (8, 1, 7), "Борис": (1, 0, 1)}
-    assert {r.full_name for r in spark.table("lookups.employees").collect()} == {"Тренер"}
+    assert {r.full_name for r in spark.table("lookups.employees").collect()} == {"Тренер", "Система", "Администратор"}
+    assert {r.name for r in spark.table("lookups.expense_categories").collect()} == {"Аренда", "Зарплата", "Материалы"}
     assert spark.table("core.schedule").where("employee_id IS NOT NULL").count() == 2
 
     # Борис's sale is corrected, Вера leaves, a new sale comes, a training goes
@@ -83,6 +85,21 @@ def test_two_runs(spark, tmp_path, clean_catalog):
     ledger = sorted((r.status, r.mode) for r in spark.table("ops.elt_runs").collect())
     assert ledger == [("running", "cdc")] * 3 + [("success", "cdc")] * 3
     assert spark.table("ops.elt_table_stats").count() == 6
+    assert spark.table("lookups.employees").count() == spark.table("lookups.expense_categories").count() == 3
+
+
+def test_unmodified_sheets_are_passed_over(spark, tmp_path, clean_catalog):
+    day = datetime(2024, 5, 1, 6)
+    people = [["1", "Анна", "+7 900", "", "", ""]]
+    sheets(tmp_path, people, [sale(1, "01.04.24", "Анна", "Разовое", "1")], [["1", "05.04.", "9:00", "10:00", "Посетили", "", "", "", "Анна", "Тренер"]])
+    gate = {"check_modified": True, "skip_transform": True, "run_exports": False}
+    assert run(spark, settings(tmp_path, day, **gate))["tables_processed"] == 3
+    assert run(spark, settings(tmp_path, day, **gate))["tables_processed"] == 0
+    later = (tmp_path / "sales.csv").stat().st_mtime + 60
+    os.utime(tmp_path / "sales.csv", (later, later))
+    assert [t["table"] for t in run(spark, settings(tmp_path, day, **gate))["tables"]] == ["stg_gsheets.sales_cur"]
+    assert run(spark, settings(tmp_path, day, **gate))["tables_processed"] == 0
+    assert spark.table("ops.source_state").count() == 4
 
 
 def test_bad_sheets(spark, tmp_path, clean_catalog):
