@@ -38,7 +38,7 @@ MISS = 1e-5
 #: Texts on either side of a comparing task.
 CHUNK = 512
 #: Words a task remembers with their hashes; a full memory is emptied.
-REMEMBERED = 1_000_000
+REMEMBERED = 200_000
 
 
 class _Hashes(dict):

@@ -20,14 +20,18 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 MARK = "▁"  # stands for a space inside pieces; here both are written as a space
 
 #: Cuts a task remembers, about 250 bytes each; a full memory is emptied.
-REMEMBERED = 1_000_000
+REMEMBERED = 600_000
+#: Rows that leave a task together.
+ROWS_AT_ONCE = 200
 
 RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 ENCODED = "ids array<int>, decoded string"
@@ -138,7 +142,7 @@ class Encoder:
             if (decoded := self.vocabulary.decode(own)) != c:
                 self.other[c] = decoded
 
-    def encoded(self, texts: list[str | None], limit: int = 4_000_000) -> Iterator[tuple[str, str]]:
+    def encoded(self, texts: list[str | None], limit: int = 1_000_000) -> Iterator[tuple[str, str]]:
         """Ids joined by a space, end id included, and the decoded text."""
         waiting: list[list[str]] = []
         size = 0
@@ -171,18 +175,30 @@ def model_bytes(path: str) -> bytes:
         return file.read()
 
 
-def encode(df: DataFrame, text: str | Column, model_path: str, name: str = "encoded") -> DataFrame:
-    """Adds a struct (ids array<int>, decoded string); a column of that name is replaced."""
+def encode(df: DataFrame, text: str, model_path: str, name: str = "encoded") -> DataFrame:
+    """Adds a struct (ids array<int>, decoded string); a column of that name is replaced.
+
+    Ids and texts leave the task a few rows at a time, however many rows come in at once.
+    """
+    if name == text:
+        raise ValueError("the result would replace the text")
+    df = df.drop(name)
     model = df.sparkSession.sparkContext.broadcast(model_bytes(model_path))
+    schema = StructType([*df.schema.fields, StructField(name, StructType.fromDDL(ENCODED))])
 
-    @F.pandas_udf(ENCODED)
-    def ids_of(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(model.value)
-        for texts in batches:
-            rows = [(np.fromstring(ids, dtype=np.int32, sep=" "), decoded) for ids, decoded in encoder.encoded(texts.tolist())]
-            yield pd.DataFrame(rows, columns=["ids", "decoded"])
-
-    return df.withColumn(name, ids_of(F.col(text) if isinstance(text, str) else text))
+        for batch in batches:
+            for start in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = batch.slice(start, ROWS_AT_ONCE)
+                rows = list(encoder.encoded(part.column(text).to_pylist()))
+                ids = [np.fromstring(i, dtype=np.int32, sep=" ") for i, _ in rows]
+                starts = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(starts), pa.array(np.concatenate(ids)))
+                pair = pa.StructArray.from_arrays([lists, pa.array([d for _, d in rows], pa.string())], names=["ids", "decoded"])
+                yield pa.RecordBatch.from_arrays([*part.columns, pair], names=[*part.schema.names, name])
+
+    return df.mapInArrow(run, schema)
 
 
 def digests(df: DataFrame, text: str | Column, model_path: str, name: str = "encoded") -> DataFrame:
