@@ -25,9 +25,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that stand earlier; documents of which no word is left go."""
+    """Texts without lines that stand earlier, as they are or a few edits apart; documents of which no word is left go."""
     configure(spark)
-    found = line_dedup.dedup_lines(docs)
+    found = line_dedup.dedup_lines(docs, most_edits=line_dedup.MOST_EDITS)
     found = found.filter((F.col("n_exact") + F.col("n_near") == 0) | F.col("text").rlike(WORD))
     return found.withColumn("n_chars", F.when(F.col("n_exact") + F.col("n_near") == 0, F.col("n_chars")).otherwise(F.char_length("text"))).select(docs.columns)
 

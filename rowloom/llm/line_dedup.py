@@ -1,9 +1,10 @@
-"""Deduplication of lines that are equal or one edit apart, by a deletion-neighbourhood join.
+"""Deduplication of lines that are equal or a few edits apart, by a deletion-neighbourhood join and shared segments.
 
 A line stays where it stands first (least id, NULLs last, then a hash of the text, then the line's place) and
-goes everywhere else. A line's first standing goes too if a line within one edit (a character put in, taken
-out or changed) stands earlier; whether that one stays does not matter. Lines under MIN_CHARS characters are left
-alone: one edit makes too much of them.
+goes everywhere else. A line's first standing goes too if a line within the edit bound (characters put in, taken
+out or changed) stands earlier; whether that one stays does not matter. The bound of two lines grows with
+the shorter one: an edit, and another for every `chars_per_edit` characters, up to `most_edits` (1: one edit at
+every length). Lines under MIN_CHARS characters are left alone: one edit makes too much of them.
 
 Deletion variants (the line without one of its characters, and the line itself) meet as hashed keys:
 two lines of a length are one change apart if they agree without the same place, and a line is one
@@ -14,6 +15,11 @@ Before, lines that can have no such partner are set aside, without loss: one edi
 the second half of a line as it is, so a line that shares neither half (cut for its own length and for one less) with
 any other line needs no variants.
 
+Two and more edits: the shorter line is cut into one segment more than it may have edits, so one segment is found
+unchanged in the longer line, at most as many places away as edits lie before it and behind it. Lines
+meet by such segments; first all of a segment with its earliest line, then those without a partner so far with the other
+earlier ones. What meets is verified on the whole lines.
+
 NULL and empty texts have no lines to remove. Rows with equal id and text are one document and treated alike. An
 empty table gives an empty result. A text keeps its other lines in order; columns named like the counts are replaced.
 """
@@ -31,6 +37,9 @@ from rowloom.llm.common import fresh, let, row_hash, row_key
 from rowloom.sources.shared import materialize
 
 MIN_CHARS = 20
+#: Characters that allow another edit, and the most edits, where the bound grows.
+CHARS_PER_EDIT = 100
+MOST_EDITS = 3
 #: Rows of lines that may be broadcast, 40 bytes each; more are joined by a shuffle.
 BROADCAST_ROWS = 100_000
 #: Variants that a task hands on at a time.
@@ -117,15 +126,86 @@ def _small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
+def _texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """first, line of the chosen lines (line_id, first)."""
+    places = _small(chosen.select(F.col("line_id").alias("its_id"), "first"))
+    texts = _lines(docs).withColumn("line_id", _line_id(F.col("line")))
+    texts = texts.join(places, (texts["line_id"] == places["its_id"]) & (texts["key"] == places["first.key"]) & (texts["at"] == places["first.at"]))
+    return materialize(texts.select("first", "line").dropDuplicates(["first"]), "texts")
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """pairs (first, partner) with their lines a and b."""
+    one = texts.select("first", F.col("line").alias("a"))
+    two = texts.select(F.col("first").alias("partner"), F.col("line").alias("b"))
+    return pairs.join(one, "first").join(two, "partner")
+
+
+def edit_bound(n: Column, most_edits: int, chars_per_edit: int) -> Column:
+    """Edits that a line of n characters may be from an equal or longer one."""
+    return F.least(F.lit(most_edits), (F.lit(1) + F.floor(n / chars_per_edit)).cast("int"))
+
+
+def _segments(line: Column, most_edits: int, chars_per_edit: int) -> Column:
+    """Keys by which a line meets others at two or more edits: (key, own), own for the segments of its own cut.
+
+    As the longer line it has a key for each place where a segment of a line `less` characters shorter may be found.
+    """
+    wanted = [
+        (edits, less, i, shift)
+        for edits in range(2, most_edits + 1)
+        for less in range(edits + 1)
+        for i in range(edits + 1)
+        for shift in range(max(-i, less - (edits - i)), min(i, less + edits - i) + 1)
+    ]
+    names = ("edits", "less", "i", "shift")
+    wanted = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(names, w)]) for w in wanted])
+
+    def key(w: Column, m: Column) -> Column:
+        n = m - w["less"]
+        start = F.floor(w["i"] * n / (w["edits"] + 1)).cast("int")
+        end = F.floor((w["i"] + 1) * n / (w["edits"] + 1)).cast("int")
+        segment = F.substring(line, start + w["shift"] + 1, end - start)
+        return F.struct(row_hash(n, w["i"], segment, seed=33).alias("key"), ((w["less"] == 0) & (w["shift"] == 0)).alias("own"))
+
+    def keys(m: Column) -> Column:
+        fitting = F.filter(wanted, lambda w: edit_bound(m - w["less"], most_edits, chars_per_edit) == w["edits"])
+        return F.transform(fitting, lambda w: key(w, m))
+
+    return let(F.char_length(line), keys)
+
+
+def far_lines(docs: DataFrame, firsts: DataFrame, most_edits: int, chars_per_edit: int) -> DataFrame:
+    """`first` of all lines with an earlier line within their bound, where that is two or more."""
+    long = _lines(docs).filter(edit_bound(F.char_length("line"), most_edits, chars_per_edit) > 1)
+    keys = long.select(_line_id(F.col("line")).alias("line_id"), F.explode(_segments(F.col("line"), most_edits, chars_per_edit)).alias("s"))
+    keys = keys.select("line_id", F.col("s.key").alias("segment"), "s.own")
+    one = F.col("line_id.k1")
+    shared = keys.groupBy("segment").agg(F.min(one).alias("low"), F.max(one).alias("high"), F.max("own").alias("own")).filter("low < high and own")
+    shared = _small(materialize(shared.select("segment"), "shared"))
+    members = keys.join(shared, "segment").groupBy("segment", "line_id").agg(F.max("own").alias("own"))
+    members = materialize(members.join(firsts.select("line_id", "first"), "line_id"), "members")
+    texts = _texts(docs, materialize(members.select("line_id", "first").distinct(), "chosen"))
+
+    def verified(pairs: DataFrame, name: str) -> DataFrame:
+        bound = edit_bound(F.least(F.char_length("a"), F.char_length("b")), most_edits, chars_per_edit)
+        apart = F.levenshtein("a", "b", most_edits)
+        return materialize(_with_texts(pairs.distinct(), texts).filter((apart >= 0) & (apart <= bound)).select("first").distinct(), name)
+
+    earliest = F.min("first").over(Window.partitionBy("segment")).alias("partner")
+    found = verified(members.select("first", earliest).filter("partner < first"), "by_earliest")
+    rest = members.join(found, "first", "left_anti").select("segment", "first", "own")
+    others = members.select("segment", F.col("first").alias("partner"), F.col("own").alias("its_own"))
+    more = verified(rest.join(others, "segment").filter("partner < first and (own or its_own)").select("first", "partner"), "by_others")
+    return found.unionByName(more)
+
+
 def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """`first` of all lines with an earlier line one edit apart. firsts: line_id, first, halves of distinct lines."""
     halves = firsts.select("line_id", "first", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
     chosen = materialize(halves.join(shared, "half").select("line_id", "first").distinct(), "chosen")
-    places = _small(chosen.select(F.col("line_id").alias("its_id"), "first"))
-    texts = _lines(docs).withColumn("line_id", _line_id(F.col("line")))
-    texts = texts.join(places, (texts["line_id"] == places["its_id"]) & (texts["key"] == places["first.key"]) & (texts["at"] == places["first.at"]))
-    texts = materialize(texts.select("first", "line").dropDuplicates(["first"]), "texts")
+    texts = _texts(docs, chosen)
 
     emitted = texts.mapInArrow(_emit, f"key long, place long, first {dict(texts.dtypes)['first']}")
     of_key, of_place = Window.partitionBy("key"), Window.partitionBy("key", "place")
@@ -139,12 +219,12 @@ def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     )
     partner = F.when(F.col("itself"), F.col("longer")).otherwise(F.least("whole", "changed"))
     pairs = met.select("first", partner.alias("partner")).filter("partner < first").distinct()
-    one = texts.select("first", F.col("line").alias("a"))
-    two = texts.select(F.col("first").alias("partner"), F.col("line").alias("b"))
-    return pairs.join(one, "first").join(two, "partner").filter(F.levenshtein("a", "b", 1) >= 0).select("first").distinct()
+    return _with_texts(pairs, texts).filter(F.levenshtein("a", "b", 1) >= 0).select("first").distinct()
 
 
-def removals(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def removals(
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", most_edits: int = 1, chars_per_edit: int = CHARS_PER_EDIT
+) -> DataFrame:
     """Lines to remove per document: key (document_key), gone (their places), n_exact, n_near."""
     docs = df.select(F.col(doc_id).alias("doc_id"), F.coalesce(text, F.lit("")).alias("text")).withColumn("key", document_key("doc_id", "text"))
     id_type = dict(docs.dtypes)["doc_id"]
@@ -155,7 +235,10 @@ def removals(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataF
     firsts = materialize(
         standing.groupBy("line_id").agg(F.min("place").alias("first"), F.first("halves").alias("halves"), F.count("*").alias("n")), "firsts"
     )
-    near = materialize(near_lines(docs, firsts), "near").withColumn("near", F.lit(True))
+    near = near_lines(docs, firsts)
+    if most_edits > 1:
+        near = near.unionByName(far_lines(docs, firsts, most_edits, chars_per_edit)).distinct()
+    near = materialize(near, "near").withColumn("near", F.lit(True))
     # lines that stand once and have no near line are not looked up
     again = firsts.join(near, "first", "left").filter("n > 1 or near").select("line_id", "first", F.coalesce("near", F.lit(False)).alias("near"))
     again = materialize(again, "again")
@@ -185,9 +268,11 @@ def _without(text: Column, gone: Column) -> Column:
     return F.when(gone.isNull(), text).otherwise(let(F.split(text, "\n"), kept))
 
 
-def dedup_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def dedup_lines(
+    df: DataFrame, doc_id: str = "doc_id", text: str = "text", most_edits: int = 1, chars_per_edit: int = CHARS_PER_EDIT
+) -> DataFrame:
     """df with the lines taken out of `text`, and n_exact and n_near, the numbers of lines taken."""
-    gone = removals(df, doc_id, text)
+    gone = removals(df, doc_id, text, most_edits, chars_per_edit)
     key, its_key, places = fresh(df, "key"), fresh(df, "its_key"), fresh(df, "places")
     df = df.drop("n_exact", "n_near")
     gone = gone.select(F.col("key").alias(its_key), F.col("gone").alias(places), "n_exact", "n_near")
