@@ -20,7 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, on hosts that do."""
     configure(spark)
     measured = quality_rules.measure(docs)
-    judged = quality_rules.judge(measured, quality_rules.host_verdicts(measured))
+    judged = quality_rules.judge(measured, quality_rules.host_verdicts(measured, rules=quality_rules.HOST_RULES))
     return judged.filter("kept").select(docs.columns)
 
 

@@ -23,6 +23,11 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Symbols per 100 words above which a document counts against its host.
 MAX_SYMBOL_PERCENT = 50
+#: Repeated lines per 100 lines, and mean characters of a word, beyond which a document counts against its host.
+MAX_DUP_LINE_PERCENT = 30
+MEAN_WORD_LEAST, MEAN_WORD_MOST = 3, 10
+#: Scripts that do not put spaces between words; their texts have no long words.
+UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
 #: Shrunk failure rate above which a host is rejected.
 HOST_LIMIT = 0.5
 #: Bounds of the prior's weight, in documents.
@@ -30,6 +35,8 @@ PRIOR_LEAST, PRIOR_MOST = 1.0, 1000.0
 
 MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 RULES = ("few_words", "repeats", "symbols")
+#: All rules that can reject a host; the query's SQL has the first three.
+HOST_RULES = (*RULES, "dup_lines", "word_length")
 
 
 def _length(text: Column) -> Column:
@@ -60,16 +67,18 @@ def repeated_words(ws: Column) -> Column:
 def measures(text: Column) -> Column:
     """A struct of the measures of one text."""
     text = F.coalesce(text, F.lit(""))
-    lines = let(F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)), lambda x: F.size(x) - F.size(F.array_distinct(x)))
+    lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD))
+    lines = let(lines, lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("again")))
     of_words = let(words(text), lambda ws: F.struct(F.size(ws).alias("n"), repeated_words(ws).alias("r")))
     return let(
-        of_words,
-        lambda w: F.struct(
-            w["n"].cast("long").alias("n_words"),
+        F.struct(of_words.alias("w"), lines.alias("l")),
+        lambda m: F.struct(
+            m["w"]["n"].cast("long").alias("n_words"),
             _length(F.regexp_replace(text, GAP, "")).alias("word_chars"),
             F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
-            lines.cast("long").alias("n_dup_lines"),
-            w["r"].cast("long").alias("n_repeat_words"),
+            m["l"]["again"].cast("long").alias("n_dup_lines"),
+            m["w"]["r"].cast("long").alias("n_repeat_words"),
+            m["l"]["n"].cast("long").alias("__n_lines"),
         ),
     )
 
@@ -77,20 +86,23 @@ def measures(text: Column) -> Column:
 def measure(df: DataFrame, text: str = "text") -> DataFrame:
     """Adds the measures, each rule's failure, and base_failed (few words or too many repeats)."""
     m = measures(F.col(text))
-    kept = [c for c in df.columns if c.lower() not in {*MEASURES, *RULES, "base_failed"} or c == text]
+    kept = [c for c in df.columns if c.lower() not in {*MEASURES, *HOST_RULES, "base_failed"} or c == text]
     out = df.withColumn("__measures", m).select(*kept, "__measures.*")
     n = F.col("n_words")
     few, repeats = n < MIN_WORDS, 100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * n
+    chars = F.col("word_chars")
+    odd = (chars < MEAN_WORD_LEAST * n) | F.when(chars > MEAN_WORD_MOST * n, ~F.col(text).rlike(UNSPACED)).otherwise(False)
     return out.withColumns({
-        "few_words": few, "repeats": repeats, "symbols": 100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * n, "base_failed": few | repeats,
-    })
+        "few_words": few, "repeats": repeats, "symbols": 100 * F.col("n_symbols") > MAX_SYMBOL_PERCENT * n,
+        "dup_lines": 100 * F.col("n_dup_lines") > MAX_DUP_LINE_PERCENT * F.col("__n_lines"), "word_length": odd, "base_failed": few | repeats,
+    }).drop("__n_lines")
 
 
-def host_verdicts(measured: DataFrame, host: str = "source") -> DataFrame:
+def host_verdicts(measured: DataFrame, host: str = "source", rules: tuple[str, ...] = RULES) -> DataFrame:
     """Per host: documents, failures and shrunk rates of each rule, the worst rate, and whether it is rejected."""
     counts = materialize(
         measured.groupBy(F.col(host).alias("host")).agg(
-            F.count("*").alias("n_docs"), *(F.sum(F.col(r).cast("long")).alias(f"{r}_failed") for r in RULES)
+            F.count("*").alias("n_docs"), *(F.sum(F.col(r).cast("long")).alias(f"{r}_failed") for r in rules)
         ),
         "hosts",
     )
@@ -98,11 +110,11 @@ def host_verdicts(measured: DataFrame, host: str = "source") -> DataFrame:
     n = F.col("n_docs")
     sums = counts.agg(
         F.sum(n).alias("n"),
-        *(F.sum(f"{r}_failed").alias(r) for r in RULES),
-        *(F.sum(F.col(f"{r}_failed") * F.col(f"{r}_failed") / n).alias(f"{r}_square") for r in RULES),
+        *(F.sum(f"{r}_failed").alias(r) for r in rules),
+        *(F.sum(F.col(f"{r}_failed") * F.col(f"{r}_failed") / n).alias(f"{r}_square") for r in rules),
     ).first()
     rates = {}
-    for r in RULES:
+    for r in rules:
         mean = sums[r] / sums["n"] if sums["n"] else 0.0
         spread = sums[f"{r}_square"] / sums["n"] - mean * mean if sums["n"] else 0.0
         weight = mean * (1 - mean) / spread - 1 if spread > 1e-12 else PRIOR_MOST
