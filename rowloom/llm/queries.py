@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.llm import (
-    compression_classifier, fingerprints, line_dedup, minhash, mixing, oracles, pii, piece_encoding, quality_rules, sharding, token_counts,
+    bin_packing, compression_classifier, fingerprints, hard_negatives, line_dedup, minhash, mixing, oracles, pii, piece_encoding, quality_rules, sharding, token_alignment, token_counts,
 )
 from rowloom.llm.common import repeat_rows
 from rowloom.sources.shared import materialize
@@ -17,6 +17,7 @@ from rowloom.sources.shared import materialize
 #: Vocabulary files.
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 PIECE_VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 
 #: Bytes of a shard, small enough for a loader to fetch shards in random order.
 SHARD_BYTES = 1 << 20
@@ -32,6 +33,9 @@ LEAST_SCORE = 0.3
 #: Tokens a document may have.
 TOKEN_LIMIT = 2048
 
+#: A training sequence: its tokens decide, as many documents as it has tokens and attention over all of them are allowed.
+SEQUENCE = bin_packing.Capacity(tokens=2048, documents=2048, cost=2048 * 2048)
+
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -98,6 +102,22 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_encoding.digests(docs, "text", PIECE_VOCABULARY).select("doc_id", "encoded.*")
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors, F.col("vec_id"), label, F.col("embedding"), F.col("vec_id") % 100 == 0)
+
+
+def op12_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return bin_packing.pack_documents(docs, "text", BYTE_VOCABULARY, SEQUENCE)
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return token_alignment.align_documents(docs, "text", BYTE_VOCABULARY, PIECE_VOCABULARY)[0]
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_line_dedup": op2_line_dedup,
@@ -109,6 +129,9 @@ QUERIES = {
     "op8_fingerprints": op8_fingerprints,
     "op9_quality_classifier": op9_quality_classifier,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_packing": op12_packing,
+    "op13_alignment": op13_alignment,
 }
 
 #: The others have no SQL; tests hold them against the libraries, brute force or held-out labels.
@@ -116,4 +139,5 @@ ORACLE: dict[str, str] = {
     "op1_sharding": oracles.SHARDING.format(limit=SHARD_BYTES),
     "op2_line_dedup": oracles.LINE_DEDUP,
     "op5_quality_rules": oracles.QUALITY_RULES,
+    "op11_hard_negatives": oracles.HARD_NEGATIVES,
 }
