@@ -5,6 +5,8 @@ space there itself). Byte offsets at which a token of A and one of B both end cu
 in a group is linked with every token of B in it. The count of a pair of ids is the number of documents (rows) in which
 it is linked.
 
+Texts are cut where no token of either vocabulary can reach across, and workers remember how they have aligned a cut.
+
 First pass: tasks align their documents and hand on their distinct pairs with the number of documents, summed up in the task.
 The distinct pairs are dealt by their A id into shards and each shard gets a minimal perfect hash; counts are dense
 vectors indexed by it, a vector per part of a shard, summed up in a tree. Slots keep their keys, and a
@@ -20,6 +22,7 @@ documents of their own. An empty table gives an empty result. Columns named like
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,8 +40,11 @@ from rowloom.sources.shared import materialize
 
 MARK = "▁"  # stands for a space inside pieces
 
-#: Bytes of text that are aligned at a time.
+#: Characters of text that are aligned at a time, and of a run of cuts that is encoded as one text.
 TEXT_AT_ONCE = 1 << 20
+RUN = 1 << 13
+#: Cuts that a worker remembers, about 400 bytes each.
+REMEMBERED = 400_000
 #: Links of a group from which on its ids are counted before they are paired.
 LARGE_GROUP = 1 << 12
 #: Pairs that a task sums up before it hands them on.
@@ -52,75 +58,102 @@ FAN_IN = 16
 #: Pairs handed to all tasks, 17 bytes each and two bits for the hash.
 HEAD_PAIRS = 1 << 20
 
-DIGEST = "n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
+_SUMS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
+DIGEST = ", ".join(f"{name} long" for name in _SUMS) + ", groups_sha256 string"
 
 
 @dataclass
 class Links:
-    """Aligned texts: all links, in the order of the texts, and where each text's begin."""
+    """Aligned cuts: all links, in the order of the cuts, and where each cut's begin."""
 
     pairs: np.ndarray  # a * |B| + b
     times: np.ndarray  # how often the pair is linked there
-    starts: np.ndarray  # first link of each text, and the end
+    starts: np.ndarray  # first link of each cut, and the end
     n_a: np.ndarray
     n_b: np.ndarray
     n_groups: np.ndarray
-    groups: list[str] | None
+    groups: list[str]
+
+
+def _per_part(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sums of consecutive parts."""
+    before = np.concatenate([[0], np.cumsum(values)])
+    return before[starts[1:]] - before[starts[:-1]]
 
 
 class Aligner:
-    """Both vocabularies, with the bytes of their tokens."""
+    """Both vocabularies, with the bytes of their tokens.
+
+    Where a character that is not white space stands before a space, no token of A goes on, and none of B if no piece has
+    a space behind another character; so texts are cut there and equal cuts are aligned once.
+    """
 
     def __init__(self, file_a: str, model_b: bytes):
         self.a = ByteLevel(file_a)
         self.b = sentencepiece.SentencePieceProcessor(model_proto=model_b)
         self.size_b = self.b.get_piece_size()
-        self.bytes_b = []
+        self.mark, self.bytes_b = self.b.piece_to_id(MARK), []
         for i, piece in enumerate(self.b.id_to_piece(list(range(self.size_b)))):
             special = self.b.is_control(i) or self.b.is_unknown(i)
             self.bytes_b.append(b"" if special else bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace(MARK, " ").encode())
         self.lengths_b = np.array([len(t) for t in self.bytes_b], np.int64)
+        crossing = any(b" " in t.lstrip(b" ") for t in self.bytes_b)
+        self.cuts = (lambda text: [text]) if crossing else re.compile(r".(?:(?!(?<=\S) ).)*", re.DOTALL).findall
         # a token's number with what stands behind it: A "," or "|", B "," or ";" or nothing
         size_a = len(self.a.lengths)
         self.written = np.array([f"{i}{sep}" for i in range(size_a) for sep in ",|"] + [f"{i}{sep}" for i in range(self.size_b) for sep in (",", ";", "")], object)
         self.written_b = 2 * size_a
 
-    def encode(self, texts: list[str | None]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        asked = [t for t in texts if t]
-        found = iter(self.b.encode(asked, num_threads=1) if asked else [])
-        out: list[tuple[np.ndarray, np.ndarray] | None] = []
-        for t in texts:
-            if not t:
-                out.append(None)
-                continue
-            b, whole = next(found), (" " + t).encode()
-            a = self.a.encode_plain(" " + t)
-            same = b"".join(map(self.bytes_b.__getitem__, b)) == whole and b"".join(map(self.a.tokens.__getitem__, a.tolist())) == whole
-            out.append((a.astype(np.int64), np.array(b, np.int64)) if same else None)
-        return out
-
-    def align(self, texts: list[str | None], write: bool = False) -> Links:
-        encoded = self.encode(texts)
-        n_a = np.array([len(e[0]) if e else 0 for e in encoded], np.int64)
-        n_b = np.array([len(e[1]) if e else 0 for e in encoded], np.int64)
-        a = np.concatenate([e[0] for e in encoded if e] or [np.zeros(0, np.int64)])
-        b = np.concatenate([e[1] for e in encoded if e] or [np.zeros(0, np.int64)])
+    def _encode_b(self, parts: list[str]) -> list[list[int] | None]:
+        """Ids of texts that start with a space, which the model puts there; None where they do not give the text back."""
+        found = self.b.encode([p[1:] for p in parts], num_threads=1)
+        found = [[self.mark] if p == " " else ids for p, ids in zip(parts, found)]
+        return [ids if b"".join(map(self.bytes_b.__getitem__, ids)) == p.encode() else None for p, ids in zip(parts, found)]
+
+    def encode(self, cuts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A and of B of all cuts, one after the other, and which of the cuts have any.
+
+        Cuts that end in no white space are encoded many at a time: the next one starts with a space.
+        """
+        runs: list[list[int]] = []
+        size = TEXT_AT_ONCE
+        for k, cut in enumerate(cuts):
+            alone = cut[-1].isspace()
+            if size >= RUN or alone:
+                runs.append([])
+                size = 0
+            runs[-1].append(k)
+            size += RUN if alone else len(cut)
+        texts = ["".join([cuts[k] for k in run]) for run in runs]
+        of_b, there = self._encode_b(texts), np.ones(len(cuts), bool)
+        for r in [r for r, ids in enumerate(of_b) if ids is None]:
+            single = self._encode_b([cuts[k] for k in runs[r]])
+            there[[k for k, ids in zip(runs[r], single) if ids is None]] = False
+            of_b[r] = [i for ids in single for i in ids or []]
+            texts[r] = "".join([cuts[k] for k in runs[r] if there[k]])
+        of_a = [self.a.encode_plain(t) for t in texts]
+        nothing = [np.zeros(0, np.int64)]
+        return np.concatenate(nothing + of_a).astype(np.int64), np.concatenate(nothing + [np.array(ids, np.int64) for ids in of_b]), there
+
+    def align(self, cuts: list[str]) -> Links:
+        """Links of cuts. A cut that a vocabulary does not give back has no tokens."""
+        a, b, there = self.encode(cuts)
         ends_a, ends_b = np.cumsum(self.a.lengths[a]), np.cumsum(self.lengths_b[b])
-        # tokens are never empty, so ends rise, and every text ends on both sides
-        closes_a = ends_b[np.minimum(np.searchsorted(ends_b, ends_a), max(len(b) - 1, 0))] == ends_a if len(a) else np.zeros(0, bool)
-        closes_b = ends_a[np.minimum(np.searchsorted(ends_a, ends_b), max(len(a) - 1, 0))] == ends_b if len(b) else np.zeros(0, bool)
+        ends = np.cumsum([len(c.encode()) if t else 0 for c, t in zip(cuts, there)])
+        upto_a, upto_b = (np.searchsorted(e, ends, "right") for e in (ends_a, ends_b))
+        n_a, n_b = np.diff(upto_a, prepend=0), np.diff(upto_b, prepend=0)
+        # tokens are never empty, so ends rise, and every cut ends on both sides
+        closes_a, closes_b = np.isin(ends_a, ends_b, assume_unique=True), np.isin(ends_b, ends_a, assume_unique=True)
+        if not (np.isin(ends[ends > 0], ends_a[closes_a]).all()):
+            raise ValueError("a token reaches over a cut")
         of_a, of_b = np.cumsum(closes_a) - closes_a, np.cumsum(closes_b) - closes_b
         in_a, in_b = np.bincount(of_a), np.bincount(of_b)
         first_a, first_b = np.cumsum(in_a) - in_a, np.cumsum(in_b) - in_b
-        closed = np.concatenate([[0], np.cumsum(closes_a)])
-        text_ends = np.cumsum(n_a)
-        n_groups = closed[text_ends] - closed[text_ends - n_a]
+        closed = np.concatenate([[0], np.cumsum(closes_a)])[upto_a]
         pairs, times, size = self._linked(a, b, in_a, in_b, first_a, first_b)
-        before = np.concatenate([[0], np.cumsum(size)])
-        group_ends = np.cumsum(n_groups)
-        starts = np.concatenate([[0], before[group_ends]])
-        groups = self._written(a, b, of_a, of_b, closes_a, closes_b, in_a, first_a, first_b, n_a, n_b) if write else None
-        return Links(pairs, times, starts, n_a, n_b, n_groups, groups)
+        starts = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], closed])]
+        groups = self._written(a, b, of_a, of_b, closes_b, in_a, first_a, first_b, n_a, n_b)
+        return Links(pairs, times, starts, n_a, n_b, np.diff(closed, prepend=0), groups)
 
     def _linked(self, a, b, in_a, in_b, first_a, first_b) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Pairs, how often each is linked, and how many entries each group has."""
@@ -147,28 +180,85 @@ class Aligner:
             pairs[ends[g] - size[g] : ends[g]], times[ends[g] - size[g] : ends[g]] = p, t
         return pairs, times, size
 
-    def _written(self, a, b, of_a, of_b, closes_a, closes_b, in_a, first_a, first_b, n_a, n_b) -> list[str]:
-        """Groups as text: ids of A, a bar, ids of B."""
+    def _written(self, a, b, of_a, of_b, closes_b, in_a, first_a, first_b, n_a, n_b) -> list[str]:
+        """Groups of each cut as text: ids of A, a bar, ids of B."""
         last_a = np.append(of_a[1:] != of_a[:-1], True) if len(a) else np.zeros(0, bool)
         behind_b = closes_b.astype(np.int64)
         behind_b[np.cumsum(n_b)[n_b > 0] - 1] = 2
         codes = np.empty(len(a) + len(b), np.int64)
         codes[np.arange(len(a)) + first_b[of_a]] = 2 * a + last_a
         codes[np.arange(len(b)) + (first_a + in_a)[of_b]] = self.written_b + 3 * b + behind_b
-        words, ends = self.written[codes], np.cumsum(n_a + n_b)
-        return ["".join(words[e - n : e].tolist()) for e, n in zip(ends, n_a + n_b)]
-
-
-_ALIGNERS: dict[int, Aligner] = {}
-
-
-def _aligner(files: tuple[str, bytes]) -> Aligner:
+        words, ends = self.written[codes].tolist(), np.cumsum(n_a + n_b).tolist()
+        return ["".join(words[start:end]) for start, end in zip([0, *ends], ends)]
+
+
+class Memory:
+    """Cuts that a worker has aligned, with what follows from each; a full memory is emptied."""
+
+    def __init__(self, aligner: Aligner, head: dict | None = None):
+        self.aligner, self.head = aligner, head
+        self.hashed = MinimalHash(head["sizes"], head["levels"]) if head else None
+        self.clear()
+
+    def clear(self) -> None:
+        self.places: dict[str, int] = {}
+        self.groups: list[str] = []
+        self.sums = np.zeros((len(_SUMS), 0), np.int64)
+        self.starts = np.zeros(1, np.int64)
+        self.pairs = self.times = np.zeros(0, np.int64)
+        self.tail = np.zeros(0, bool)
+
+    def _learn(self, cuts: list[str]) -> None:
+        # the first bytes of a cut tell nothing of the others, so any order will do
+        cuts = sorted(cuts, key=lambda c: c[-1].isspace())
+        self.places.update(zip(cuts, range(len(self.places), len(self.places) + len(cuts))))
+        found = self.aligner.align(cuts)
+        links, best, docs, tail = _per_part(found.times, found.starts), [0] * len(cuts), [0] * len(cuts), np.zeros(len(found.pairs), bool)
+        if self.head is not None:
+            slots = self.hashed.slots(found.pairs)
+            there = verified(slots, self.head["keys"], found.pairs)
+            n, is_best = np.zeros(len(slots), np.int64), np.zeros(len(slots), bool)
+            n[there], is_best[there], tail = self.head["docs"][slots[there]], self.head["best"][slots[there]], ~there
+            best, docs = _per_part(found.times * is_best, found.starts), _per_part(found.times * n, found.starts)
+        self.sums = np.hstack([self.sums, np.array([found.n_a, found.n_b, found.n_groups, links, best, docs])])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + found.starts[1:]])
+        self.pairs, self.times = np.concatenate([self.pairs, found.pairs]), np.concatenate([self.times, found.times])
+        self.tail = np.concatenate([self.tail, tail])
+        self.groups += found.groups
+
+    def cut(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the texts' cuts, and where each text's begin; a text with a cut that has no tokens has none at all."""
+        if len(self.places) > REMEMBERED:
+            self.clear()
+        cuts = [self.aligner.cuts(" " + t) if t else [] for t in texts]
+        if new := {c for of_text in cuts for c in of_text if c not in self.places}:
+            self._learn(list(new))
+        places = np.array([p for of_text in cuts for p in map(self.places.__getitem__, of_text)], np.int64)
+        sizes = np.array([len(of_text) for of_text in cuts], np.int64)
+        row = np.repeat(np.arange(len(texts)), sizes)
+        lost = np.zeros(len(texts), bool)
+        lost[row[self.sums[0, places] == 0]] = True
+        if lost.any():
+            places, sizes = places[~lost[row]], np.where(lost, 0, sizes)
+        return places, np.concatenate([[0], np.cumsum(sizes)])
+
+    def links(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All links of some cuts, as places among the memory's, and the number of each cut's."""
+        sizes = self.starts[places + 1] - self.starts[places]
+        first = np.cumsum(sizes) - sizes
+        return np.arange(sizes.sum()) + np.repeat(self.starts[places] - first, sizes), sizes
+
+
+_MEMORIES: dict[tuple[int, int], Memory] = {}
+
+
+def _memory(files: tuple[str, bytes], head: dict | None = None) -> Memory:
     """One per worker process, kept from task to task."""
-    key = hash(files)
-    if key not in _ALIGNERS:
-        _ALIGNERS.clear()
-        _ALIGNERS[key] = Aligner(*files)
-    return _ALIGNERS[key]
+    key = (hash(files), id(head))
+    if key not in _MEMORIES:
+        _MEMORIES.clear()
+        _MEMORIES[key] = Memory(Aligner(*files), head)
+    return _MEMORIES[key]
 
 
 def _portions(texts: pa.Array) -> Iterator[tuple[int, list[str | None]]]:
@@ -200,7 +290,7 @@ def partial_counts(df: DataFrame, text: str, files) -> DataFrame:
     """(pair, docs): documents of a task in which a pair is linked. A pair may come from several tasks, and more than once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, pairs, docs, n = _aligner(files.value), [], [], 0
+        memory, pairs, docs, n = _memory(files.value), [], [], 0
 
         def out(keys: np.ndarray, total: np.ndarray) -> Iterator[pa.RecordBatch]:
             for k in range(0, len(keys), CHUNK):
@@ -208,10 +298,13 @@ def partial_counts(df: DataFrame, text: str, files) -> DataFrame:
 
         for batch in batches:
             for _, texts in _portions(batch.column(0)):
-                found = aligner.align(texts)
-                span = len(aligner.a.lengths) * aligner.size_b
-                row = np.repeat(np.arange(len(texts)), np.diff(found.starts))
-                keys, times = np.unique(np.unique(row * span + found.pairs) % span, return_counts=True)
+                places, starts = memory.cut(texts)
+                # once per document: its cuts, then their pairs
+                held = len(memory.groups)
+                once = np.unique(np.repeat(np.arange(len(texts)), np.diff(starts)) * held + places)
+                at, sizes = memory.links(once % held)
+                span = len(memory.aligner.a.lengths) * memory.aligner.size_b
+                keys, times = np.unique(np.unique(np.repeat(once // held, sizes) * span + memory.pairs[at]) % span, return_counts=True)
                 pairs.append(keys)
                 docs.append(times)
                 n += len(keys)
@@ -330,14 +423,6 @@ def head(counts: DataFrame, most: int = HEAD_PAIRS) -> tuple[int, dict]:
     return least, kept
 
 
-_HEADS: dict[int, MinimalHash] = {}
-
-
-def _per_text(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    before = np.concatenate([[0], np.cumsum(values)])
-    return before[starts[1:]] - before[starts[:-1]]
-
-
 def _looked_up(df: DataFrame, text: str, files, known, carried: list[str]) -> DataFrame:
     """Rows with their digest, and the pairs that the head lacks (tail_pairs, tail_times)."""
     names = [f.name for f in StructType.fromDDL(DIGEST).fields]
@@ -345,29 +430,19 @@ def _looked_up(df: DataFrame, text: str, files, known, carried: list[str]) -> Da
     at = fresh(df, "text_to_align")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner, table = _aligner(files.value), known.value
-        hashed = _HEADS.get(id(table))
-        if hashed is None:
-            _HEADS.clear()
-            hashed = _HEADS[id(table)] = MinimalHash(table["sizes"], table["levels"])
+        memory = _memory(files.value, known.value)
         for batch in batches:
             kept = batch.select(carried)
             for start, texts in _portions(batch.column(at)):
-                found = aligner.align(texts, write=True)
-                pairs, of = np.unique(found.pairs, return_inverse=True)
-                slots = hashed.slots(pairs)
-                there = verified(slots, table["keys"], pairs)
-                docs, best = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), bool)
-                docs[there], best[there] = table["docs"][slots[there]], table["best"][slots[there]]
-                values = {
-                    "n_a": found.n_a, "n_b": found.n_b, "n_groups": found.n_groups, "n_links": _per_text(found.times, found.starts),
-                    "n_best": _per_text(found.times * best[of], found.starts), "count_sum": _per_text(found.times * docs[of], found.starts),
-                    "groups_sha256": [hashlib.sha256(g.encode()).hexdigest() if n else "" for g, n in zip(found.groups, found.n_a)],
-                }
-                absent = ~there[of]
-                ends = np.cumsum(np.concatenate([[0], _per_text(absent.astype(np.int64), found.starts)])).astype(np.int32)
-                tails = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x[absent])) for x in (found.pairs, found.times)]
-                own = [pa.array(values[n]) for n in names]
+                places, starts = memory.cut(texts)
+                sums = [_per_part(values, starts) for values in memory.sums[:, places]]
+                groups = [";".join(map(memory.groups.__getitem__, places[a:b].tolist())) for a, b in zip(starts, starts[1:])]
+                digests = [hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups]
+                links, sizes = memory.links(places)
+                absent = memory.tail[links]
+                ends = np.cumsum(np.concatenate([[0], _per_part(absent, np.concatenate([[0], np.cumsum(sizes)])[starts])])).astype(np.int32)
+                tails = [pa.ListArray.from_arrays(pa.array(ends), pa.array(x[links[absent]])) for x in (memory.pairs, memory.times)]
+                own = [*map(pa.array, sums), pa.array(digests)]
                 yield pa.RecordBatch.from_arrays([*kept.slice(start, len(texts)).columns, *own, *tails], names=[f.name for f in schema.fields])
 
     return df.select(*[F.col(c) for c in carried], F.col(text).alias(at)).mapInArrow(look, schema)
