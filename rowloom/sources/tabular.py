@@ -10,10 +10,11 @@ from rowloom import fixed_values as fv
 from rowloom.functions.hashing import row_hash
 from rowloom.functions.slug import normalize_headers
 from rowloom.functions.text import is_blank, normalize_numeric_string, quoted, strip
+from rowloom.sources import quoted as records
 from rowloom.sources.shared import materialize
 
-# CSV as sheets export it: quotes are doubled, cells may hold line breaks.  Files with line breaks in
-# cells cannot be split; machine-made ones without may be read with multiLine=False.
+# CSV as sheets export it: quotes are doubled, cells may hold line breaks.  Spark's reader cannot split such
+# files; they are cut into records by `quoted`.  Machine-made ones without line breaks may be read with multiLine=False.
 SHEET_CSV = {"escape": '"', "multiLine": True}
 
 
@@ -91,8 +92,20 @@ def read_tabular(
     cut to its length.
     """
     reader = spark.read.format(fmt).options(**(SHEET_CSV | options if fmt == "csv" else options))
+    separator = str(options.get("sep", options.get("delimiter", ",")))
+    if fmt == "csv" and not options.keys() - {"sep", "delimiter"} and len(separator) == 1:
+        # sheets: files of any size are cut into records by many tasks, and parsed once
+        if header == "auto":
+            names, rows_above = _scan_header(reader, path, separator)
+        else:
+            names, rows_above = list(reader.option("header", False).load(path).first() or []), 0
+        if names:
+            found = records.numbered_cells(
+                records.read_records(spark, path, separator), SHEET_CSV | options, len(names), header != "auto", fv.FIRST_DATA_ROW - rows_above
+            )
+            return found.where(F.col("__nr") >= fv.FIRST_DATA_ROW).toDF(*normalize_headers(names, table, mapping), "_row_index")
     if header == "auto":
-        names, rows_above = _scan_header(reader, path)
+        names, rows_above = _scan_header(reader, path, separator)
         raw = reader.schema(_text_schema(len(names))).load(path)
         rows = with_row_index(drop_blank_rows(raw), start=fv.FIRST_DATA_ROW - rows_above)
         rows = rows.where(F.col("_row_index") >= fv.FIRST_DATA_ROW)
@@ -117,7 +130,7 @@ def _text_schema(width: int) -> str:
     return ", ".join(f"_c{i} string" for i in range(width))
 
 
-def _first_rows(reader, path: str) -> list:
+def _first_rows(reader, path: str, separator: str) -> list:
     """The first rows (cells, whether a header, whether filled), as wide as the widest of them needs."""
     width, raw = 1024, "__raw"
     while True:
@@ -128,15 +141,15 @@ def _first_rows(reader, path: str) -> list:
         head = rows.select(
             cells.alias("cells"), is_header_row(cells).alias("header"), F.exists(cells, lambda c: ~is_blank(c)).alias("filled"), raw
         ).collect()                                        # at most HEADER_SCAN_ROWS rows
-        widest = max((row[raw].count(",") + 1 for row in head if row[raw]), default=0)
+        widest = max((row[raw].count(separator) + 1 for row in head if row[raw]), default=0)
         if widest <= width:
             return head
         width = widest
 
 
-def _scan_header(reader, path: str) -> tuple[list[str], int]:
+def _scan_header(reader, path: str, separator: str) -> tuple[list[str], int]:
     """Header cells, and how many non-blank rows there are down to the header."""
-    head = _first_rows(reader, path)
+    head = _first_rows(reader, path, separator)
     found = [i for i, row in enumerate(head) if row["header"]]
     if not found:
         raise ValueError(f"no header row with {', '.join(fv.HEADER_MARKS)} in {path}")

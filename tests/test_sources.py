@@ -1,5 +1,6 @@
 """Reading sheets, numbering rows, writing and swapping tables."""
 
+import random
 import time
 import uuid
 from datetime import datetime, timedelta
@@ -8,6 +9,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from rowloom import fixed_values as fv
 from rowloom.sources import layout, sinks
 from rowloom.sources.shared import materialize, shared_folder
 from rowloom.sources.tabular import (
@@ -238,3 +240,58 @@ def test_shared_folder(spark):
     assert shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
     df = materialize(spark.range(5))
     assert df.count() == 5 and "Range" not in df._jdf.queryExecution().toString()
+
+
+def _by_reader(spark, path, sep=","):
+    """What Spark's own reader makes of a sheet, without rows that have no text, in file order."""
+    raw = spark.read.options(escape='"', multiLine=True, header=False, sep=sep).schema(", ".join(f"_c{i} string" for i in range(3))).csv(path)
+    return [tuple(r) for r in raw.collect() if any(c and c.strip() for c in r)]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("ends", ["\n", "\r\n"])
+def test_quoted_files_are_split(spark, tmp_path, seed, ends):
+    """Cells with line breaks, quotes and separators over blocks of a few bytes: each record once, in order."""
+    chance = random.Random(seed)
+    path = tmp_path / "sheets"
+    path.mkdir()
+    expected = []
+    for k in range(3):
+        rows = [["k", "v", "w"]]
+        for i in range(150):
+            cell = "".join(chance.choice(["a", "b ", '""', ",", "\n", "é😀", "x" * 30]) for _ in range(chance.choice([0, 1, 3, 12])))
+            rows.append([f"{k}-{i}", f'"{cell}"', chance.choice(["", "z", '" "', '""""'])] if chance.random() < 0.85 else chance.choice([["", " ", '" "'], ["", '"\n"', ""], [""]]))
+        (path / f"{k}.csv").write_text(ends.join(",".join(r) for r in rows), "utf-8", newline="")
+        expected += _by_reader(spark, str(path / f"{k}.csv"))[1:]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        rows = read_tabular(spark, str(path)).orderBy("_row_index").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [tuple(r)[:3] for r in rows] == expected
+    assert [r[3] for r in rows] == list(range(2, len(expected) + 2))
+
+
+def test_a_cell_over_many_blocks(spark, tmp_path):
+    lines = "\n".join(f"line {i} of a long cell" for i in range(400))
+    (tmp_path / "s.csv").write_text(f'a,b\n1,"{lines}"\n2,end\n3,"open', "utf-8")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        got = [tuple(r) for r in read_tabular(spark, str(tmp_path / "s.csv")).orderBy("_row_index").collect()]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got[:2] == [("1", lines, 2), ("2", "end", 3)] and got[2][0] == "3"
+
+
+@pytest.mark.parametrize("sep", [",", ";", "\t"])
+def test_wide_sheets_of_any_separator(spark, tmp_path, sep):
+    marks = [*fv.HEADER_MARKS]
+    names = marks + [f"c{i}" for i in range(2000 - len(marks))]
+    rows = [["Title"], names, [str(i) for i in range(2000)]]
+    (tmp_path / "s.csv").write_text("\n".join(sep.join(r) for r in rows), "utf-8")
+    found = read_tabular(spark, str(tmp_path / "s.csv"), header="auto", sep=sep)
+    assert len(found.columns) == 2001 and tuple(found.first()) == (*map(str, range(2000)), 2)
