@@ -62,8 +62,25 @@ def mart_preview(spark, sf):
     return flat(_balances(spark, sf).limit(5))
 
 
+def _identities(spark, sf):
+    return fixture(spark, sf, "messenger_users"), fixture(spark, sf, "core_clients")
+
+
 def unified_customers(spark, sf):
-    return flat(marts.unified_customers(fixture(spark, sf, "messenger_users"), fixture(spark, sf, "core_clients")))
+    return flat(marts.unified_customers(*_identities(spark, sf)))
+
+
+def unified_customers_known(spark, sf):
+    """The placeholder phone taken for none."""
+    return flat(marts.unified_customers(*_identities(spark, sf), skip_placeholder=True))
+
+
+def phone_classes(spark, sf):
+    return marts.phone_classes(*_identities(spark, sf))
+
+
+def phone_members(spark, sf):
+    return marts.phone_members(*_identities(spark, sf))
 
 
 def latest_message(spark, sf):
@@ -112,7 +129,7 @@ def export_cells(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (client_balances, core_balances, client_purchases, client_usage, balances_lookup, balance_outliers, mart_preview,
-              unified_customers, latest_message, api_sales, api_schedule, api_clients, api_lookups, api_auth_events, api_status)
+              unified_customers, unified_customers_known, phone_classes, phone_members, latest_message, api_sales, api_schedule, api_clients, api_lookups, api_auth_events, api_status)
 } | {"export_mart": export, "export_cells": export_cells}
 
 _UNITS = "CASE " + " ".join(f"WHEN contains(product_name, '{n}') THEN {n}" for n in fv.UNIT_MARKS) + " ELSE 1 END"
@@ -140,6 +157,23 @@ _COLS = ", ".join(f'"{c}"' for c in fv.BALANCE_COLUMNS.values())
 _SALES_COLS = ("product_name", "type", "category", "quantity", "comment", "client_id", "admin", "trainer")
 _SALES_MONEY = ("full_price", "discount", "final_price", "cash", "transfer", "terminal", "debt")
 
+_DIGITS = r"regexp_replace({}, '\D', '', 'g')"
+
+
+def _unified(more: str = "true") -> str:
+    """The identity view as one full join; `more` says which phones of users count."""
+    return q.with_fixtures("messenger_users", "core_clients", more=f"""
+        j AS (SELECT t.*, c.legacy_id, c.name, c.phone AS crm_phone, c.updated_at AS crm_updated,
+          sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('tg:' || CAST(t.id AS VARCHAR))) AS h
+        FROM messenger_users t FULL JOIN core_clients c
+          ON {_DIGITS.format('t.phone')} = {_DIGITS.format('c.phone')} AND length(t.phone) > 5 AND {more})""") + f"""
+        SELECT coalesce(legacy_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' ||
+            substr('89ab', 1 + (position(substr(h, 17, 1) IN '0123456789abcdef') - 1) % 4, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12)) AS id,
+          name AS crm_name, crm_phone, username AS tg_username, phone AS tg_phone, id AS tg_user_id,
+          CASE WHEN legacy_id IS NOT NULL THEN 'client' WHEN phone IS NOT NULL THEN 'warm_lead' ELSE 'guest' END AS lifecycle_stage,
+          {q.ts('coalesce(crm_updated, updated_at)')} AS last_activity FROM j"""
+
+
 ORACLE = {
     "client_balances": q.with_fixtures(
         "clients_cur", "clients_hst", "sales_cur", "sales_hst", "trainings_cur", "trainings_hst", "employees",
@@ -158,16 +192,15 @@ ORACLE = {
         + _mart("core_clients", "sold", "core_schedule", units="coalesce(units, 1)")) + f"SELECT {_COLS} FROM mart",
     "balance_outliers": _CORE + f'SELECT {_COLS} FROM mart WHERE "Остаток" < 200 OR "Остаток" > 1500',
     "mart_preview": _CORE + f'SELECT {_COLS} FROM mart ORDER BY "Остаток", "Клиент" NULLS LAST, legacy_id LIMIT 5',
-    "unified_customers": q.with_fixtures("messenger_users", "core_clients", more=r"""
-        j AS (SELECT t.*, c.legacy_id, c.name, c.phone AS crm_phone, c.updated_at AS crm_updated,
-          sha1(unhex('6ba7b8119dad11d180b400c04fd430c8') || encode('tg:' || CAST(t.id AS VARCHAR))) AS h
-        FROM messenger_users t FULL JOIN core_clients c
-          ON regexp_replace(t.phone, '\D', '', 'g') = regexp_replace(c.phone, '\D', '', 'g') AND length(t.phone) > 5 AND t.phone NOT LIKE '%70000000000')""") + f"""
-        SELECT coalesce(legacy_id, substr(h, 1, 8) || '-' || substr(h, 9, 4) || '-5' || substr(h, 14, 3) || '-' ||
-            substr('89ab', 1 + (position(substr(h, 17, 1) IN '0123456789abcdef') - 1) % 4, 1) || substr(h, 18, 3) || '-' || substr(h, 21, 12)) AS id,
-          name AS crm_name, crm_phone, username AS tg_username, phone AS tg_phone, id AS tg_user_id,
-          CASE WHEN legacy_id IS NOT NULL THEN 'client' WHEN phone IS NOT NULL THEN 'warm_lead' ELSE 'guest' END AS lifecycle_stage,
-          {q.ts('coalesce(crm_updated, updated_at)')} AS last_activity FROM j""",
+    "unified_customers": _unified(),
+    "unified_customers_known": _unified(f"{_DIGITS.format('t.phone')} <> '70000000000'"),
+    "phone_classes": q.with_fixtures("messenger_users", "core_clients") + f"""
+        SELECT phone, count(*) FILTER (user) AS users, count(*) FILTER (NOT user) AS clients, count(*) FILTER (user) * count(*) FILTER (NOT user) AS pairs
+        FROM (SELECT {_DIGITS.format('phone')} AS phone, true AS user FROM messenger_users WHERE length(phone) > 5
+          UNION ALL SELECT {_DIGITS.format('phone')}, false FROM core_clients WHERE phone IS NOT NULL) GROUP BY phone""",
+    "phone_members": q.with_fixtures("messenger_users", "core_clients") + f"""
+        SELECT {_DIGITS.format('phone')} AS phone, 'user' AS side, CAST(id AS VARCHAR) AS id FROM messenger_users WHERE length(phone) > 5
+        UNION ALL SELECT {_DIGITS.format('phone')}, 'client', legacy_id FROM core_clients WHERE phone IS NOT NULL""",
     "latest_message": "SELECT conv_id AS chat_id, max(turn) AS last_message_id FROM conversations GROUP BY conv_id",
     "api_sales": q.with_fixtures("core_sales") + f"""
         SELECT legacy_id AS id, {q.ts('date')} AS date, {', '.join(_SALES_COLS)}, {', '.join(q.dbl(c) + ' AS ' + c for c in _SALES_MONEY)}

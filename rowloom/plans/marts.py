@@ -79,18 +79,10 @@ def balance_outliers(balances: DataFrame, low: int = fv.BALANCE_LOW, high: int =
     return balances.where((left < low) | (left > high))
 
 
-def unified_customers(messenger: DataFrame, clients: DataFrame, compat: bool = False) -> DataFrame:
-    """CRM clients and messenger users side by side, matched on the digits of the phone.
-
-    A full outer join, taken apart: pairs by inner join, then the rows of either side that
-    match none.  Spark can split a hot number (such as the placeholder phone) in inner and
-    anti joins, not in a full outer one; rows without a usable phone get a key of their own.
-
-    The placeholder phone says that a client has none, so it matches nobody; compat=True pairs
-    everyone who has it, as older views did (their number grows with its square).
-    """
+def _by_phone(messenger: DataFrame, clients: DataFrame, skip_placeholder: bool) -> tuple[DataFrame, DataFrame]:
+    """Messenger users and clients with the key `k` on which they match; rows without a usable phone get a key of their own."""
     no_phone = "".join(c for c in fv.NO_PHONE if c.isdigit())
-    real = F.lit(True) if compat else digits_only(F.col("phone")) != no_phone
+    real = digits_only(F.col("phone")) != no_phone if skip_placeholder else F.lit(True)
     usable = F.col("phone").isNotNull() & (F.length("phone") > fv.MIN_PHONE_CHARS) & real
     t = messenger.select(
         F.col("id").alias("tg_id"), "username", F.col("phone").alias("tg_phone"),
@@ -102,6 +94,39 @@ def unified_customers(messenger: DataFrame, clients: DataFrame, compat: bool = F
         F.col("updated_at").alias("crm_updated"),
         F.when(real, digits_only(F.col("phone"))).otherwise(F.concat(F.lit("c"), F.col("legacy_id"))).alias("k"),
     )
+    return t, c
+
+
+def phone_members(messenger: DataFrame, clients: DataFrame, skip_placeholder: bool = False) -> DataFrame:
+    """Who belongs to which phone: phone (digits), side (user or client), id. Rows that can match nobody by phone are left out."""
+    t, c = _by_phone(messenger, clients, skip_placeholder)
+    users = t.select(F.col("k").alias("phone"), F.lit("user").alias("side"), F.col("tg_id").cast("string").alias("id"))
+    people = c.select(F.col("k").alias("phone"), F.lit("client").alias("side"), F.col("crm_id").alias("id"))
+    return users.unionByName(people).where(~F.substring("phone", 1, 1).isin("t", "c"))
+
+
+def phone_classes(messenger: DataFrame, clients: DataFrame, skip_placeholder: bool = False) -> DataFrame:
+    """The identity match without its pairs: phone, how many users and clients have it, and how many pairs they make.
+
+    A phone is one row however many people have it, so the placeholder costs no more than others; with
+    phone_members() the pairs of a phone follow where they are asked for.
+    """
+    n = {"users": "user", "clients": "client"}
+    classes = phone_members(messenger, clients, skip_placeholder).groupBy("phone").agg(*[F.count_if(F.col("side") == s).alias(c) for c, s in n.items()])
+    return classes.withColumn("pairs", F.col("users") * F.col("clients"))
+
+
+def unified_customers(messenger: DataFrame, clients: DataFrame, skip_placeholder: bool = False) -> DataFrame:
+    """CRM clients and messenger users side by side, matched on the digits of the phone.
+
+    A full outer join, taken apart: pairs by inner join, then the rows of either side that
+    match none.  Spark can split a hot number (such as the placeholder phone) in inner and
+    anti joins, not in a full outer one.
+
+    The placeholder phone pairs everyone who has it, which are as many rows as there are pairs; skip_placeholder=True
+    takes it for no phone.  phone_classes() has the same links as one row per phone.
+    """
+    t, c = _by_phone(messenger, clients, skip_placeholder)
     pairs = t.join(c, "k")
     alone_t = t.join(splittable(c.select("k").distinct(), "k"), "k", "left_anti")
     alone_c = c.join(splittable(t.select("k").distinct(), "k"), "k", "left_anti")

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import logging
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -13,6 +15,7 @@ from rowloom import fixed_values as fv
 from rowloom.operators.ledger import retention
 from rowloom.operators.quality import duplicate_hash_count, duplicate_keys
 from rowloom.sources.shared import materialize
+from rowloom.sources.versions import ConcurrentLoad, Registry
 
 log = logging.getLogger(__name__)
 
@@ -90,13 +93,16 @@ class Swap:
 _VERSION = "version"             # the property of a table's view that names the version it shows
 
 
-def stage_version(df: DataFrame, table: str, root: str | None = None) -> str:
+def stage_version(df: DataFrame, table: str, root: str | None = None, holder: str | None = None) -> str:
     """Writes the next version of a table beside it; the version's name.
 
     `root` is a folder that all executors share; without it the catalog's warehouse holds the
-    data.
+    data.  The registry has the version before it is written, with a lease for the load that `holder` names.
     """
-    version = f"{table}__{uuid.uuid4().hex}"
+    version, registry = f"{table}__{uuid.uuid4().hex}", Registry(df.sparkSession, table)
+    registry.own(version)
+    if holder:
+        registry.lease(version, holder)
     writer = df.write.mode("overwrite")
     if root:
         writer = writer.option("path", f"{root.rstrip('/')}/{table}/{version.rpartition('__')[2]}")
@@ -126,36 +132,63 @@ def drop_version(spark: SparkSession, version: str) -> None:
 
 
 def free_versions(spark: SparkSession, table: str) -> int:
-    """Drops versions that neither the table nor its backup shows, as a stopped run leaves them; how many."""
-    db, _, base = table.rpartition(".")
-    used = {shown_version(spark, table), shown_version(spark, f"{table}_backup")}
-    names = spark.sql(f"SHOW TABLES {f'IN {db}' if db else ''} LIKE '{base}__*'").collect()           # a few
-    versions = {f"{db}.{r['tableName']}" if db else r["tableName"] for r in names} - used
-    for version in versions:
-        drop_version(spark, version)
-    return len(versions)
+    """Drops versions of the table's own that neither it nor its backup shows and no load or reader needs; how many.
 
+    What counts is the registry: tables that other loads or users have made are left alone, whatever they are called.
+    """
+    registry = Registry(spark, table)
+    used = {shown_version(spark, table), shown_version(spark, f"{table}_backup")} | registry.leased()
+    free = [version for version in registry.owned() if version not in used]
+    for version in free:
+        if spark.catalog.tableExists(version):
+            drop_version(spark, version)
+        registry.disown(version)
+    return len(free)
+
+
+_ANY = "any"                     # swap_in() without asking what was shown before
 
-def swap_in(spark: SparkSession, table: str, version: str) -> None:
+
+def swap_in(spark: SparkSession, table: str, version: str, expected: str | None = _ANY) -> None:
     """Shows a staged version under a table's name; the one before stays as `<table>_backup`.
 
     A table is a view of its version, so one statement swaps it: at any time the name shows one
-    whole version.  A plain table of that name becomes the first version.
+    whole version.  A plain table of that name becomes the first version.  With `expected`, the version the load has
+    started from, a table that shows another one by now stays as it is (ConcurrentLoad).
     """
-    before = shown_version(spark, table)
-    if before is None and spark.catalog.tableExists(table):
-        before = f"{table}__{uuid.uuid4().hex}"
-        spark.sql(f"ALTER TABLE {table} RENAME TO {before}")
-        _show(spark, table, before)
-    if before:
-        _show(spark, f"{table}_backup", before)
-    _show(spark, table, version)
+    registry = Registry(spark, table)
+    with registry.lock():
+        before = shown_version(spark, table)
+        if expected not in (_ANY, before):
+            raise ConcurrentLoad(f"{table} has been replaced meanwhile")
+        if before is None and spark.catalog.tableExists(table):
+            before = f"{table}__{uuid.uuid4().hex}"
+            registry.own(before)
+            spark.sql(f"ALTER TABLE {table} RENAME TO {before}")
+            _show(spark, table, before)
+        if before:
+            _show(spark, f"{table}_backup", before)
+        _show(spark, table, version)
     free_versions(spark, table)
 
 
+@contextmanager
+def reading(spark: SparkSession, table: str) -> Iterator[DataFrame]:
+    """The version a table shows now, kept from being dropped as long as it is read."""
+    registry = Registry(spark, table)
+    with registry.holder() as holder:
+        version = shown_version(spark, table)
+        if version:
+            registry.lease(version, holder)
+        yield spark.table(version or table)
+
+
 def replace_table(df: DataFrame, table: str, root: str | None = None) -> None:
     """A new version of a table; `df` may read the present one."""
-    swap_in(df.sparkSession, table, stage_version(df, table, root))
+    spark = df.sparkSession
+    with Registry(spark, table).holder() as holder:
+        before = shown_version(spark, table)
+        swap_in(spark, table, stage_version(df, table, root, holder), before)
 
 
 def drop_table(spark: SparkSession, table: str) -> None:
@@ -181,26 +214,29 @@ def swap_load(
     (unless forced) or if `pk` repeats.  They are written and checked beside the table, so the
     live one is never half written.
     """
-    present = spark.table(table).count() if spark.catalog.tableExists(table) else 0
-    version = stage_version(new, table, root)
-    loaded = spark.table(version)
-    rows = loaded.count()
-    reason = ""
-    if rows == 0:
-        reason = "no rows"
-    elif rows < present * min_ratio and not force:
-        reason = f"{rows} rows are under {min_ratio:.0%} of {present}"
-    elif not duplicate_keys(loaded, [pk], skip_null=False).isEmpty():
-        reason = f"duplicate {pk}"
-    if reason:
-        drop_version(spark, version)
-        log.error("%s not replaced: %s", table, reason)
-        return Swap(False, reason, rows)
-    repeats = duplicate_hash_count(loaded, content_hash).first()[0] if content_hash else 0
-    if repeats:
-        log.warning("%s: %d repeated values of %s", table, repeats, content_hash)
-    swap_in(spark, table, version)
-    return Swap(True, "", rows, repeats)
+    with Registry(spark, table).holder() as holder:
+        before = shown_version(spark, table)
+        present = spark.table(table).count() if spark.catalog.tableExists(table) else 0
+        version = stage_version(new, table, root, holder)
+        loaded = spark.table(version)
+        rows = loaded.count()
+        reason = ""
+        if rows == 0:
+            reason = "no rows"
+        elif rows < present * min_ratio and not force:
+            reason = f"{rows} rows are under {min_ratio:.0%} of {present}"
+        elif not duplicate_keys(loaded, [pk], skip_null=False).isEmpty():
+            reason = f"duplicate {pk}"
+        if reason:
+            drop_version(spark, version)
+            Registry(spark, table).disown(version)
+            log.error("%s not replaced: %s", table, reason)
+            return Swap(False, reason, rows)
+        repeats = duplicate_hash_count(loaded, content_hash).first()[0] if content_hash else 0
+        if repeats:
+            log.warning("%s: %d repeated values of %s", table, repeats, content_hash)
+        swap_in(spark, table, version, before)
+        return Swap(True, "", rows, repeats)
 
 
 def expire_dumps(spark: SparkSession, table: str, as_of: datetime, days: int = fv.RETENTION_DAYS) -> int:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowloom import fixed_values as fv
-from rowloom.sources import layout, sinks
+from rowloom.sources import layout, sinks, versions as versions_of
 from rowloom.sources.shared import materialize, shared_folder
 from rowloom.sources.tabular import (
     align_cells, drop_blank_rows, find_header, is_modified, last_modified, prepare_rows, read_tabular, to_staging,
@@ -242,6 +242,54 @@ def test_shared_folder(spark):
     assert df.count() == 5 and "Range" not in df._jdf.queryExecution().toString()
 
 
+def test_tables_of_others_are_left_alone(spark):
+    """Names that look like versions, and a loaded table whose own versions do."""
+    name, root = f"t_{uuid.uuid4().hex}", shared_folder(spark)
+    foreign = [f"{name}__archive_2023", f"{name}__{'0' * 32}"]
+    for other in foreign:
+        spark.range(7).write.saveAsTable(other)
+    sinks.replace_table(spark.range(2), f"{name}__x", root)
+    for n in (3, 4, 5):
+        sinks.replace_table(spark.range(n), name, root)
+    assert [spark.table(t).count() for t in (*foreign, f"{name}__x", name, f"{name}_backup")] == [7, 7, 2, 5, 4]
+    sinks.drop_table(spark, name)
+    assert [spark.table(t).count() for t in (*foreign, f"{name}__x")] == [7, 7, 2]
+    sinks.drop_table(spark, f"{name}__x")
+    for other in foreign:
+        spark.sql(f"DROP TABLE {other}")
+
+
+def test_concurrent_loads_and_readers(spark):
+    name, root = f"t_{uuid.uuid4().hex}", shared_folder(spark)
+    sinks.replace_table(spark.range(3), name, root)
+    registry = versions_of.Registry(spark, name)
+    with registry.holder() as holder, sinks.reading(spark, name) as first:
+        before = sinks.shown_version(spark, name)
+        staged = sinks.stage_version(spark.range(9), name, root, holder)
+        for n in (4, 5, 6):
+            sinks.replace_table(spark.range(n), name, root)
+        # neither the version that is being read nor the one that is being loaded went
+        assert first.count() == 3 and spark.table(staged).count() == 9
+        with pytest.raises(versions_of.ConcurrentLoad, match="meanwhile"):
+            sinks.swap_in(spark, name, staged, before)
+        assert spark.table(name).count() == 6
+    with registry.lock(), pytest.raises(versions_of.ConcurrentLoad, match="just being"):
+        sinks.replace_table(spark.range(1), name, root)
+    sinks.replace_table(spark.range(7), name, root)
+    assert versions(spark, name) == 2 and len(registry.owned()) == 2
+
+
+def test_leases_of_other_sessions_expire(spark, monkeypatch):
+    name, root = f"t_{uuid.uuid4().hex}", shared_folder(spark)
+    sinks.replace_table(spark.range(3), name, root)
+    crashed = sinks.stage_version(spark.range(9), name, root, "other-application.1")
+    sinks.replace_table(spark.range(4), name, root)
+    assert spark.table(crashed).count() == 9
+    monkeypatch.setattr(versions_of.time, "time", lambda now=time.time: now() + versions_of.LEASE_SECONDS + 9)
+    sinks.replace_table(spark.range(5), name, root)
+    assert not spark.catalog.tableExists(crashed) and versions(spark, name) == 2
+
+
 def _by_reader(spark, path, sep=","):
     """What Spark's own reader makes of a sheet, without rows that have no text, in file order."""
     raw = spark.read.options(escape='"', multiLine=True, header=False, sep=sep).schema(", ".join(f"_c{i} string" for i in range(3))).csv(path)
