@@ -98,7 +98,7 @@ class Aligner:
             self.bytes_b.append(b"" if special else bytes([int(piece[3:-1], 16)]) if self.b.is_byte(i) else piece.replace(MARK, " ").encode())
         self.lengths_b = np.array([len(t) for t in self.bytes_b], np.int64)
         crossing = any(b" " in t.lstrip(b" ") for t in self.bytes_b)
-        self.cuts = (lambda text: [text]) if crossing else re.compile(r".(?:(?!(?<=\S) ).)*", re.DOTALL).findall
+        self.cuts = (lambda text: [text]) if crossing else re.compile(r"(?<=\S)(?= )").split
         # a token's number with what stands behind it: A "," or "|", B "," or ";" or nothing
         size_a = len(self.a.lengths)
         self.written = np.array([f"{i}{sep}" for i in range(size_a) for sep in ",|"] + [f"{i}{sep}" for i in range(self.size_b) for sep in (",", ";", "")], object)
@@ -135,8 +135,8 @@ class Aligner:
         nothing = [np.zeros(0, np.int64)]
         return np.concatenate(nothing + of_a).astype(np.int64), np.concatenate(nothing + [np.array(ids, np.int64) for ids in of_b]), there
 
-    def align(self, cuts: list[str]) -> Links:
-        """Links of cuts. A cut that a vocabulary does not give back has no tokens."""
+    def align(self, cuts: list[str], write: bool = True) -> Links:
+        """Links of cuts, and perhaps their groups as text. A cut that a vocabulary does not give back has no tokens."""
         a, b, there = self.encode(cuts)
         ends_a, ends_b = np.cumsum(self.a.lengths[a]), np.cumsum(self.lengths_b[b])
         ends = np.cumsum([len(c.encode()) if t else 0 for c, t in zip(cuts, there)])
@@ -152,7 +152,7 @@ class Aligner:
         closed = np.concatenate([[0], np.cumsum(closes_a)])[upto_a]
         pairs, times, size = self._linked(a, b, in_a, in_b, first_a, first_b)
         starts = np.concatenate([[0], np.cumsum(size)])[np.concatenate([[0], closed])]
-        groups = self._written(a, b, of_a, of_b, closes_b, in_a, first_a, first_b, n_a, n_b)
+        groups = self._written(a, b, of_a, of_b, closes_b, in_a, first_a, first_b, n_a, n_b) if write else [""] * len(cuts)
         return Links(pairs, times, starts, n_a, n_b, np.diff(closed, prepend=0), groups)
 
     def _linked(self, a, b, in_a, in_b, first_a, first_b) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -212,7 +212,7 @@ class Memory:
         # the first bytes of a cut tell nothing of the others, so any order will do
         cuts = sorted(cuts, key=lambda c: c[-1].isspace())
         self.places.update(zip(cuts, range(len(self.places), len(self.places) + len(cuts))))
-        found = self.aligner.align(cuts)
+        found = self.aligner.align(cuts, write=self.head is not None)
         links, best, docs, tail = _per_part(found.times, found.starts), [0] * len(cuts), [0] * len(cuts), np.zeros(len(found.pairs), bool)
         if self.head is not None:
             slots = self.hashed.slots(found.pairs)
