@@ -4,7 +4,8 @@ A line stays where it stands first (least id, NULLs last, then a hash of the tex
 goes everywhere else. A line's first standing goes too if a line within the edit bound (characters put in, taken
 out or changed) stands earlier; whether that one stays does not matter. The bound of two lines grows with
 the shorter one: an edit, and another for every `chars_per_edit` characters, up to `most_edits` (1: one edit at
-every length). Lines under MIN_CHARS characters are left alone: one edit makes too much of them.
+every length). Lines under MIN_CHARS characters have no near lines: one edit makes too much of them. Equal lines go at any
+length, if they have a word; lines of white space alone stay.
 
 Deletion variants (the line without one of its characters, and the line itself) meet as hashed keys:
 two lines of a length are one change apart if they agree without the same place, and a line is one
@@ -17,8 +18,9 @@ any other line needs no variants.
 
 Two and more edits: the shorter line is cut into one segment more than it may have edits, so one segment is found
 unchanged in the longer line, at most as many places away as edits lie before it and behind it. Lines
-meet by such segments; first all of a segment with its earliest line, then those without a partner so far with the other
-earlier ones. What meets is verified on the whole lines.
+meet by such segments; first all of a segment with its earliest line, which leaves the lines that have no partner so
+far. Where a segment has more lines, those are compared with its other earlier ones inside tasks, a part of PART lines with another
+at a time, up to a line's first partner: pairs are never rows. Letter counts tell most lines apart before they are compared.
 
 NULL and empty texts have no lines to remove. Rows with equal id and text are one document and treated alike. An
 empty table gives an empty result. A text keeps its other lines in order; columns named like the counts are replaced.
@@ -26,6 +28,7 @@ empty table gives an empty result. A text keeps its other lines in order; column
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,15 +36,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rowloom.llm.common import fresh, let, row_hash, row_key
+from rowloom.llm.common import WORD, fresh, let, row_hash, row_key
 from rowloom.sources.shared import materialize
 
 MIN_CHARS = 20
 #: Characters that allow another edit, and the most edits, where the bound grows.
 CHARS_PER_EDIT = 100
 MOST_EDITS = 3
-#: Rows of lines that may be broadcast, 40 bytes each; more are joined by a shuffle.
-BROADCAST_ROWS = 100_000
+#: Lines of a segment that are compared with others at a time.
+PART = 512
 #: Variants that a task hands on at a time.
 AT_ONCE = 200_000
 
@@ -112,23 +115,18 @@ def _halves(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """Lines that count, with their place: key, doc_id, at, line."""
+    """Lines that have a word, with their place: key, doc_id, at, line."""
     found = docs.select("key", "doc_id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    return found.filter(F.char_length("line") >= MIN_CHARS)
+    return found.filter(F.col("line").rlike(WORD))
 
 
 def _line_id(line: Column) -> Column:
     return row_key(line)
 
 
-def _small(df: DataFrame) -> DataFrame:
-    """For a written table: broadcast if its counted rows are few, else left to a shuffle."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def _texts(docs: DataFrame, chosen: DataFrame) -> DataFrame:
     """first, line of the chosen lines (line_id, first)."""
-    places = _small(chosen.select(F.col("line_id").alias("its_id"), "first"))
+    places = chosen.select(F.col("line_id").alias("its_id"), "first")
     texts = _lines(docs).withColumn("line_id", _line_id(F.col("line")))
     texts = texts.join(places, (texts["line_id"] == places["its_id"]) & (texts["key"] == places["first.key"]) & (texts["at"] == places["first.at"]))
     return materialize(texts.select("first", "line").dropDuplicates(["first"]), "texts")
@@ -175,34 +173,123 @@ def _segments(line: Column, most_edits: int, chars_per_edit: int) -> Column:
     return let(F.char_length(line), keys)
 
 
+def _apart(a: str, b: str, most: int) -> bool:
+    """Whether more than `most` edits lie between two texts: for each number of edits, how far every diagonal gets."""
+    n, m = len(a), len(b)
+    if abs(n - m) > most:
+        return True
+    reached = {0: -1}
+    for edits in range(most + 1):
+        here = {}
+        for d in range(-edits, edits + 1):
+            i = max(reached.get(d, -2) + (edits > 0), reached.get(d - 1, -2), reached.get(d + 1, -2) + 1) if edits else 0
+            if i < 0 or i > n or i + d > m or i + d < 0:
+                continue
+            step = 64
+            while step:  # equal characters from here on, in strides
+                while i + step <= n and i + d + step <= m and a[i : i + step] == b[i + d : i + d + step]:
+                    i += step
+                step >>= 1
+            if i == n and i + d == m:
+                return False
+            here[d] = i
+        reached = here
+    return True
+
+
+def _letters(lines: list[str]) -> np.ndarray:
+    """How often characters stand in each line, dealt to 32 classes; an edit changes two counts by one."""
+    out = np.zeros((len(lines), 32), np.int16)
+    for k, line in enumerate(lines):
+        points = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
+        out[k] = np.minimum(np.bincount(points % 31, minlength=32), 30_000)
+    return out
+
+
+def _compared(bound):
+    """Lines of a part (asking) against those of another (earlier ones): `first` of those that have a partner.
+
+    Rows come sorted by segment and the two parts, those that are asked first.
+    """
+
+    def order(place: dict) -> tuple:
+        return place["unknown"], place["doc_id"], place["key"]["k1"], place["key"]["k2"], place["at"]
+
+    def settle(rows: list[dict]) -> list[dict]:
+        asked, asking = ([r for r in rows if r["asking"] == flag] for flag in (False, True))
+        if not asked or not asking:
+            return []
+        asked.sort(key=lambda r: order(r["first"]))
+        letters, sizes, own = _letters([r["line"] for r in asked]), np.array([len(r["line"]) for r in asked]), np.array([r["own"] for r in asked])
+        ranks, found = [order(r["first"]) for r in asked], []
+        for r, mine in zip(asking, _letters([r["line"] for r in asking])):
+            earlier = bisect_left(ranks, order(r["first"]))
+            bounds = bound(np.minimum(sizes[:earlier], len(r["line"])))
+            fits = np.abs(letters[:earlier] - mine).sum(axis=1, dtype=np.int32) <= 2 * bounds
+            fits &= (np.abs(sizes[:earlier] - len(r["line"])) <= bounds) & (own[:earlier] | r["own"])
+            if any(not _apart(r["line"], asked[k]["line"], int(bounds[k])) for k in np.flatnonzero(fits)):
+                found.append(r["first"])
+        return found
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, rows = None, []
+        for batch in batches:
+            found, kind = [], batch.schema.field("first").type
+            for row in batch.to_pylist():
+                if (at := (row["segment"], row["part"], row["other"])) != group:
+                    found += settle(rows)
+                    group, rows = at, []
+                rows.append(row)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(found, kind)], names=["first"])
+        if rows and (found := settle(rows)):
+            yield pa.RecordBatch.from_arrays([pa.array(found, kind)], names=["first"])
+
+    return compare
+
+
 def far_lines(docs: DataFrame, firsts: DataFrame, most_edits: int, chars_per_edit: int) -> DataFrame:
     """`first` of all lines with an earlier line within their bound, where that is two or more."""
-    long = _lines(docs).filter(edit_bound(F.char_length("line"), most_edits, chars_per_edit) > 1)
-    keys = long.select(_line_id(F.col("line")).alias("line_id"), F.explode(_segments(F.col("line"), most_edits, chars_per_edit)).alias("s"))
-    keys = keys.select("line_id", F.col("s.key").alias("segment"), "s.own")
-    one = F.col("line_id.k1")
-    shared = keys.groupBy("segment").agg(F.min(one).alias("low"), F.max(one).alias("high"), F.max("own").alias("own")).filter("low < high and own")
-    shared = _small(materialize(shared.select("segment"), "shared"))
-    members = keys.join(shared, "segment").groupBy("segment", "line_id").agg(F.max("own").alias("own"))
-    members = materialize(members.join(firsts.select("line_id", "first"), "line_id"), "members")
-    texts = _texts(docs, materialize(members.select("line_id", "first").distinct(), "chosen"))
+    long = _lines(docs).filter((F.char_length("line") >= MIN_CHARS) & (edit_bound(F.char_length("line"), most_edits, chars_per_edit) > 1))
+    # equal lines have equal keys, so each line's are taken where it stands first
+    long = long.withColumn("line_id", _line_id(F.col("line"))).join(
+        firsts.select(F.col("line_id").alias("its_id"), "first"), (F.col("line_id") == F.col("its_id")) & (F.col("key") == F.col("first.key")) & (F.col("at") == F.col("first.at"))
+    )
+    texts = materialize(long.select("first", "line").dropDuplicates(["first"]), "texts")
+    keys = texts.select("first", F.explode(_segments(F.col("line"), most_edits, chars_per_edit)).alias("s"))
+    keys = materialize(keys.groupBy(F.col("s.key").alias("segment"), "first").agg(F.max("s.own").alias("own")), "keys")
+    # combined before they are shuffled, so a segment that very many lines have lies in no task
+    shared = keys.groupBy("segment").agg(F.count("*").alias("n"), F.min("first").alias("earliest"), F.max("own").alias("any_own")).filter("n > 1 and any_own")
+    members = materialize(keys.join(materialize(shared.drop("any_own"), "shared"), "segment"), "members")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         bound = edit_bound(F.least(F.char_length("a"), F.char_length("b")), most_edits, chars_per_edit)
         apart = F.levenshtein("a", "b", most_edits)
         return materialize(_with_texts(pairs.distinct(), texts).filter((apart >= 0) & (apart <= bound)).select("first").distinct(), name)
 
-    earliest = F.min("first").over(Window.partitionBy("segment")).alias("partner")
-    found = verified(members.select("first", earliest).filter("partner < first"), "by_earliest")
-    rest = members.join(found, "first", "left_anti").select("segment", "first", "own")
-    others = members.select("segment", F.col("first").alias("partner"), F.col("own").alias("its_own"))
-    more = verified(rest.join(others, "segment").filter("partner < first and (own or its_own)").select("first", "partner"), "by_others")
-    return found.unionByName(more)
+    found = verified(members.filter("earliest < first").select("first", F.col("earliest").alias("partner")), "by_earliest")
+    # where a segment has two lines, they have met
+    more = members.filter("n > 2").withColumn("parts", F.ceil(F.col("n") / PART).cast("int"))
+    more = more.withColumn("own_part", F.pmod(F.xxhash64("first"), F.col("parts")).cast("int"))
+    others = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    asking = more.join(found, "first", "left_anti").filter("earliest < first")
+    asking = asking.select("segment", "first", "own", F.lit(True).alias("asking"), F.col("own_part").alias("part"), others.alias("other"))
+    asked = more.filter("earliest < first").select("segment", "first", "own", F.lit(False).alias("asking"), others.alias("part"), F.col("own_part").alias("other"))
+    # a segment in which no line is left asks for none
+    asked = asked.join(materialize(asking.select("segment").distinct(), "open"), "segment", "left_semi")
+    met = asking.unionByName(asked).join(texts, "first")
+    met = met.repartition("segment", "part", "other").sortWithinPartitions("segment", "part", "other", "asking")
+
+    def bound(n: np.ndarray) -> np.ndarray:
+        return np.minimum(most_edits, 1 + n // chars_per_edit)
+
+    compared = met.select("segment", "part", "other", "asking", "first", "own", "line").mapInArrow(_compared(bound), f"first {dict(texts.dtypes)['first']}")
+    return found.unionByName(materialize(compared, "by_others").distinct())
 
 
 def near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """`first` of all lines with an earlier line one edit apart. firsts: line_id, first, halves of distinct lines."""
-    halves = firsts.select("line_id", "first", F.explode("halves").alias("half"))
+    halves = firsts.filter("n_chars >= {}".format(MIN_CHARS)).select("line_id", "first", F.explode("halves").alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).filter("n > 1").select("half")
     chosen = materialize(halves.join(shared, "half").select("line_id", "first").distinct(), "chosen")
     texts = _texts(docs, chosen)
@@ -231,9 +318,10 @@ def removals(
     place = F.struct(
         F.col("doc_id").isNull().alias("unknown"), F.coalesce("doc_id", F.lit(0).cast(id_type)).alias("doc_id"), F.col("key").alias("key"), F.col("at").alias("at")
     )
-    standing = materialize(_lines(docs).select(place.alias("place"), _line_id(F.col("line")).alias("line_id"), _halves(F.col("line")).alias("halves")), "lines")
+    standing = _lines(docs).select(place.alias("place"), _line_id(F.col("line")).alias("line_id"), _halves(F.col("line")).alias("halves"), F.char_length("line").alias("n_chars"))
+    standing = materialize(standing, "lines")
     firsts = materialize(
-        standing.groupBy("line_id").agg(F.min("place").alias("first"), F.first("halves").alias("halves"), F.count("*").alias("n")), "firsts"
+        standing.groupBy("line_id").agg(F.min("place").alias("first"), F.first("halves").alias("halves"), F.first("n_chars").alias("n_chars"), F.count("*").alias("n")), "firsts"
     )
     near = near_lines(docs, firsts)
     if most_edits > 1:

@@ -28,15 +28,15 @@ WITH lines AS (
     SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS nr
     FROM documents
 ), counted AS (
-    SELECT *, length(line) >= {line_dedup.MIN_CHARS} AS counts FROM lines
+    SELECT *, regexp_matches(line, '[^\\x20\\x09-\\x0D]') AS counts FROM lines
 ), firsts AS (
     SELECT line, min(struct_pack(d := doc_id, a := nr)) AS first FROM counted WHERE counts GROUP BY line
 ), variants AS (
-    SELECT line, first, i, substr(line, 1, i - 1) || substr(line, i + 1) AS v FROM firsts, LATERAL (SELECT unnest(range(1, length(line) + 1)) AS i)
+    SELECT line, first, i, substr(line, 1, i - 1) || substr(line, i + 1) AS v FROM firsts, LATERAL (SELECT unnest(range(1, length(line) + 1)) AS i) WHERE length(line) >= {line_dedup.MIN_CHARS}
 ), changed AS (
     SELECT line, first, min(first) OVER (PARTITION BY i, v) AS partner FROM variants
 ), inserted AS (
-    SELECT x.line, x.first, y.line AS other, y.first AS its_first FROM variants x JOIN firsts y ON x.v = y.line
+    SELECT x.line, x.first, y.line AS other, y.first AS its_first FROM variants x JOIN firsts y ON x.v = y.line AND length(y.line) >= {line_dedup.MIN_CHARS}
 ), near AS (
     SELECT line FROM changed WHERE partner < first
     UNION SELECT line FROM inserted WHERE its_first < first

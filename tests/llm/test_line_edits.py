@@ -1,10 +1,13 @@
 """Line dedup at a bound that grows with the line, against brute force."""
 
 import random
+import re
 
 import pytest
 
 import corpus_pipeline
+from rowloom.llm import line_dedup
+from rowloom.llm.common import WORD
 from rowloom.llm.line_dedup import MIN_CHARS, dedup_lines
 
 
@@ -22,15 +25,15 @@ def brute(docs, most, chars):
     standing = {}
     for i, (_, text) in enumerate(docs):
         for k, line in enumerate(text.split("\n")):
-            if len(line) >= MIN_CHARS:
+            if re.search(WORD, line):
                 standing.setdefault(line, (i, k))
 
     def near(x, y):
         bound = min(most, 1 + min(len(x), len(y)) // chars)
         return abs(len(x) - len(y)) <= bound and distance(x, y) <= bound
 
-    gone = {x for x in standing for y in standing if standing[y] < standing[x] and near(x, y)}
-    return ["\n".join(x for k, x in enumerate(t.split("\n")) if len(x) < MIN_CHARS or (standing[x] == (i, k) and x not in gone)) for i, (_, t) in enumerate(docs)]
+    gone = {x for x in standing for y in standing if min(len(x), len(y)) >= MIN_CHARS and standing[y] < standing[x] and near(x, y)}
+    return ["\n".join(x for k, x in enumerate(t.split("\n")) if x not in standing or (standing[x] == (i, k) and x not in gone)) for i, (_, t) in enumerate(docs)]
 
 
 @pytest.mark.parametrize("seed, most, alphabet", [(3, 3, "ab"), (4, 4, "abcd 😀é")])
@@ -57,3 +60,35 @@ def test_pipeline_takes_near_copies_of_long_lines(spark, make):
     docs = make((1, line, "a"), (2, f"{two}\nstays: this is another line", "a"), (3, three + "\nstays as well: one more line", "a"), (4, four, "a"))
     got = {r.doc_id: r.text for r in dict(corpus_pipeline.STAGES)["line dedup"](spark, docs, "").collect()}
     assert got == {1: line, 2: "stays: this is another line", 3: "stays as well: one more line", 4: four}
+
+
+def test_edit_distance_within_a_bound():
+    chance = random.Random(9)
+    for _ in range(4000):
+        a = "".join(chance.choice("ab") for _ in range(chance.randrange(12)))
+        b = "".join(chance.choice("ab") for _ in range(chance.randrange(12)))
+        most = chance.randrange(5)
+        assert line_dedup._apart(a, b, most) == (distance(a, b) > most), (a, b, most)
+
+
+def test_a_common_opening_makes_no_pairs(spark, make, monkeypatch):
+    """Lines that share a long opening and are not near: rows in proportion to the lines, and nothing lost in parts."""
+    monkeypatch.setattr(line_dedup, "PART", 64)
+    opening = "an opening of boilerplate that stands in front of every one of these lines, as on many pages of a site "
+    chance, sizes = random.Random(4), {}
+    plain = line_dedup.materialize
+
+    def counted(df, name="table"):
+        out = plain(df, name)
+        sizes[-1] = sizes.get(-1, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "materialize", counted)
+    for n in (200, 400):
+        lines = [opening + "".join(chance.choice("abcdefgh") for _ in range(100)) for _ in range(n)]
+        near = [x[:150] + "XY" + x[152:] for x in lines[::10]]
+        sizes[-1] = 0
+        got = {r.doc_id: r.text for r in dedup_lines(make(*[(k, x, "a") for k, x in enumerate(lines + near)]), most_edits=3).collect()}
+        sizes[n] = sizes[-1]
+        assert [got[k] for k in range(n)] == lines and all(got[n + k] == "" for k in range(len(near)))
+    assert sizes[400] < 2.3 * sizes[200]

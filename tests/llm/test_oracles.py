@@ -19,7 +19,8 @@ def as_rows(columns, rows):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{DATA}/documents.parquet')")
+    for table in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{DATA}/{table}.parquet')")
     df = QUERIES[name](spark, str(DATA))
     cursor = con.execute(ORACLE[name])
     columns = [c[0] for c in cursor.description]
