@@ -11,8 +11,8 @@ Blocks are dealt by a hash and hold about BLOCK documents, so a source with most
 like any other. Chance is a hash of the documents and the seed: reruns agree.
 
 Sources are ranked by code point, NULL (a source of its own) last. Documents without words (NULL
-texts too) carry nothing and are taken once. Rows equal in id, source and text are one unit and are
-taken equally often. An empty table gives an empty result.
+texts too) carry nothing and are taken once. Rows equal in id, source and text are counted: with r as above for n of them,
+floor(n * (r - floor(r))) are taken once more for certain, and one trades for what is left. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -125,7 +125,8 @@ def _fold(rows: DataFrame) -> DataFrame:
 def plan_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 11) -> DataFrame:
     """How often each document is taken: doc_id, key, source, size, n_rows, source_size, target, copies.
 
-    `key` is `document_key` of the row; n_rows is the number of rows that share it.
+    `key` is `document_key` of the row; n_rows is the number of rows that share it and are taken so often. Rows that
+    repeat may come as several such parts.
     """
     units = materialize(
         df.select(
@@ -151,9 +152,18 @@ def plan_copies(df: DataFrame, doc_id: str = "doc_id", text: str = "text", sourc
     columns = [*_UNIT, "source", "source_size", "target", "copies"]
     plain = F.when(F.col("size") > 0, F.col("base")).otherwise(F.lit(1).cast("long"))
     decided = [rows.filter(~open_).withColumn("copies", plain).select(columns)]
+    # of rows that repeat, one at most is left to chance
+    sure = F.floor(F.col("p") * F.col("n_rows") + 1e-9).cast("long")
+    rows = rows.filter(open_).withColumn("sure", sure).withColumn("rest", F.greatest(F.col("p") * F.col("n_rows") - F.col("sure"), F.lit(0.0)))
+    chosen = F.when(F.col("rest") > 1e-9, 1).otherwise(0)
+    for n, extra in ((F.col("sure"), 1), (F.col("n_rows") - F.col("sure") - chosen, 0)):
+        part = rows.filter("n_rows > 1").withColumn("n_rows", n).filter("n_rows > 0")
+        decided.append(part.withColumn("copies", F.col("base") + extra).select(columns))
+    rows = rows.filter((F.col("n_rows") == 1) | (chosen == 1)).withColumns({"p": F.when(F.col("n_rows") == 1, F.col("p")).otherwise(F.col("rest")), "n_rows": F.lit(1).cast("long")})
+    rows = rows.drop("sure", "rest")
 
     most = sources.agg(F.max("n_blocks")).first()[0] or 1
-    level = rows.filter(open_).withColumns({
+    level = rows.withColumns({
         "chance": _chance(F.col("key"), seed=seed), "block": F.pmod(row_hash(F.col("key"), seed=seed + 1), F.col("n_blocks")),
     })
     while True:
@@ -177,8 +187,26 @@ def document_key(doc_id: str, source: str, text: str) -> Column:
 
 def mix(df: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", seed: int = 11) -> DataFrame:
     """The mixed table: every row as often as it is taken, with the columns of the input."""
-    copies = plan_copies(df, doc_id, text, source, seed).select(F.col("key").alias("its_key"), F.col("copies").alias("its_copies"))
-    key, times = fresh(df, "key"), fresh(df, "copies")
-    copies = copies.withColumnsRenamed({"its_key": f"{key}_", "its_copies": times})
+    key, low, more, times = fresh(df, "key"), fresh(df, "low"), fresh(df, "more"), fresh(df, "copies")
+    copies = plan_copies(df, doc_id, text, source, seed).groupBy(F.col("key").alias(f"{key}_")).agg(
+        F.min("copies").alias(low), F.sum(F.col("copies") * F.col("n_rows")).alias("all_copies"), F.sum("n_rows").alias("all_rows")
+    )
+    # of equal rows, so many are taken once more than the others
+    copies = copies.withColumn(more, F.col("all_copies") - F.col(low) * F.col("all_rows")).drop("all_copies", "all_rows")
     rows = df.withColumn(key, document_key(doc_id, source, text))
-    return repeat_rows(rows.join(copies, rows[key] == copies[f"{key}_"]).drop(key, f"{key}_"), times)
+    rows = rows.join(copies, rows[key] == copies[f"{key}_"]).drop(f"{key}_")
+    alike = rows.filter(F.col(more) == 0).withColumn(times, F.col(low))
+    apart = rows.filter(F.col(more) > 0)
+    if apart.isEmpty():
+        return repeat_rows(alike.drop(key, low, more), times)
+    # numbered by parts and their counts, so a row that repeats very often is not numbered in one task
+    part, nth, before = (fresh(rows, n) for n in ("part", "nth", "before"))
+    apart = materialize(apart.withColumn(part, F.spark_partition_id()), "repeats")
+    counts = apart.groupBy(F.col(key).alias(f"{key}_"), F.col(part).alias(f"{part}_")).agg(F.count("*").alias("n"))
+    in_order = Window.partitionBy(f"{key}_").orderBy(f"{part}_").rowsBetween(Window.unboundedPreceding, -1)
+    counts = materialize(counts.withColumn(before, F.coalesce(F.sum("n").over(in_order), F.lit(0))).drop("n"), "counts")
+    apart = apart.withColumn(nth, F.row_number().over(Window.partitionBy(key, part).orderBy(F.lit(1))) - 1)
+    apart = apart.join(counts, (F.col(key) == F.col(f"{key}_")) & (F.col(part) == F.col(f"{part}_")))
+    taken = F.col(low) + F.when(F.col(nth) + F.col(before) < F.col(more), 1).otherwise(0)
+    apart = apart.withColumn(times, taken).select(*[F.col(f"`{c}`") for c in df.columns], times)
+    return repeat_rows(alike.drop(key, low, more).unionByName(apart), times)

@@ -32,12 +32,18 @@ _TITLES = {
 }
 _TITLE = "|".join(t for ts in _TITLES.values() for t in ts)
 _SETS = r"(?:password|passwd|token|secret|api[_-]?key)[\"']?\s{0,3}[=:]\s{0,3}[\"']?"
+_ADDRESS = rf"(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9])"
+#: Digits behind a country code: a phone is complete with them, and a further number is none of its groups.
+_DIGITS = {"1": 10, "7": 10, "44": 10, "91": 10, "33": 9, "34": 9, "48": 9, "31": 9, "86": 11}
+_SHAPES = "|".join(rf"\+{code}(?:[ .()-]{{0,2}}[0-9]){{{n}}}(?![0-9])" for code, n in _DIGITS.items())
+#: Country codes of one and two digits; all others have three.
+_COUNTRY = r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[0-9]{3})"
 PATTERNS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": rf"(?<![0-9.])(?:{_OCTET}\.){{3}}{_OCTET}(?![0-9]|\.[0-9])",
     "card": r"(?<![0-9])(?:[0-9]{4}(?:[ -]?[0-9]{4}){3}|3[47][0-9]{13})(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "phone": r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){2,4}|\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4})(?![0-9])",
+    "phone": rf"(?<![0-9+])(?:{_SHAPES}|\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)|[0-9]{{1,4}})(?:[ .-]?(?!{_ADDRESS})[0-9]{{2,4}}){{2,4}}|\(?[0-9]{{3}}\)?[ .-][0-9]{{3}}[ .-][0-9]{{4}})(?![0-9])",
     "access_key": r"(?<![A-Z0-9])AKIA[A-Z0-9]{16}(?![A-Z0-9])",
     "secret": rf"(?i:{_SETS})[A-Za-z0-9_/+=.-]{{8,}}",
     "name": rf"(?<!\p{{L}})(?:{_TITLE})\.?\x20\p{{Lu}}\p{{Ll}}+(?:\x20\p{{Lu}}\p{{Ll}}+){{0,2}}",
@@ -170,7 +176,7 @@ def surrogate(type_: Column, canonical: Column, salt: Column, key: str) -> Colum
             _mapped(F.regexp_extract(domain, r"^@(.*)\.example$", 1), F.concat(seed, F.lit("@")), F.lit(False)),
             F.lit(".example"),
         )
-        country = F.regexp_extract(canonical, r"^(\+?[0-9])", 1)
+        country = F.regexp_extract(canonical, rf"^({_COUNTRY}|[0-9])", 1)
         phone = F.concat(country, F.substring(_mapped(canonical, seed, F.lit(False)), F.char_length(country) + 1, F.char_length(canonical)))
         return (
             F.when(type_ == "email", mail)

@@ -67,3 +67,21 @@ def test_awkward_and_empty(awkward, empty):
     assert mixed.columns == awkward.columns
     assert mixed.count() == sum(r.n_rows * r.copies for r in rows)
     assert mixing.mix(empty).count() == 0 and mixing.plan_copies(empty).count() == 0
+
+
+def test_repeated_rows_meet_their_target(make):
+    docs = [(1, "ten words " * 5, "a")] * 1000 + [(2, "one two three", "b")] * 700 + [(k, "w " * (k % 9), "ab"[k % 2]) for k in range(3, 60)]
+    df, sizes, taken = make(*docs).repartition(5), Counter(), Counter()
+    for _, t, s in docs:
+        sizes[s] += len(t.split())
+    rows, expected = mixing.plan_copies(df).collect(), targets(sizes)
+    assert sum(r.n_rows for r in rows) == len(docs)
+    for r in rows:
+        taken[r.source] += r.size * r.copies * r.n_rows
+        assert 0 <= r.copies <= 3
+    assert all(abs(taken[s] - expected[s]) <= 10 for s in sizes)
+    mixed = Counter(r.doc_id for r in mixing.mix(df).collect())
+    planned = Counter()
+    for r in rows:
+        planned[r.doc_id] += r.copies * r.n_rows
+    assert mixed == Counter({k: n for k, n in planned.items() if n})

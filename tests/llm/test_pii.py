@@ -80,3 +80,13 @@ def test_long_words_take_linear_time(make):
 def test_no_python_in_the_plan(make):
     df = pii.replace_entities(make((1, "x.y@a.com 10.1.1.1", "a")), "k")
     assert not re.search("Python|Pandas|Arrow", df._jdf.queryExecution().executedPlan().toString())
+
+
+def test_a_phone_ends_at_its_own_groups(make):
+    texts = ["call +1 (269) 555-3296 10.20.30.40 now", "call +1 (269) 555-3296 2024 now", "call +1 (269) 555-3296 now", "call +49 30 1234 10.20.30.40 now", "tel +44 20 7946 0958 1234"]
+    got = {r.doc_id: r.text for r in pii.replace_entities(make(*[(k, t, "a") for k, t in enumerate(texts)]), "key").collect()}
+    phone = re.fullmatch(r"call (\+1 \(\d{3}\) \d{3}-\d{4}) now", got[2])[1]
+    address = re.fullmatch(re.escape(f"call {phone} ") + r"(\d+\.\d+\.\d+\.\d+) now", got[0])[1]
+    assert address != "10.20.30.40" and got[1] == f"call {phone} 2024 now"
+    assert re.fullmatch(r"call \+49 \d\d \d{4} " + re.escape(address) + " now", got[3]) and got[4].endswith(" 1234")
+    assert not any(x in t for t in got.values() for x in ("555-3296", "20.30.40", "7946 0958"))
