@@ -258,16 +258,18 @@ def _compared(bound):
 def far_lines(docs: DataFrame, firsts: DataFrame, most_edits: int, chars_per_edit: int) -> DataFrame:
     """`first` of all lines with an earlier line within their bound, where that is two or more."""
     long = _lines(docs).filter((F.char_length("line") >= MIN_CHARS) & (edit_bound(F.char_length("line"), most_edits, chars_per_edit) > 1))
-    # equal lines have equal keys, so each line's are taken where it stands first
-    long = long.withColumn("line_id", _line_id(F.col("line"))).join(
-        firsts.select(F.col("line_id").alias("its_id"), "first"), (F.col("line_id") == F.col("its_id")) & (F.col("key") == F.col("first.key")) & (F.col("at") == F.col("first.at"))
-    )
-    texts = materialize(long.select("first", "line").dropDuplicates(["first"]), "texts")
-    keys = texts.select("first", F.explode(_segments(F.col("line"), most_edits, chars_per_edit)).alias("s"))
-    keys = materialize(keys.groupBy(F.col("s.key").alias("segment"), "first").agg(F.max("s.own").alias("own")), "keys")
+    # keys are made twice, which costs less than to write them: few are shared
+    keys = long.select(_line_id(F.col("line")).alias("line_id"), F.explode(_segments(F.col("line"), most_edits, chars_per_edit)).alias("s"))
+    keys = keys.select("line_id", F.col("s.key").alias("segment"), "s.own")
+    one = F.col("line_id.k1")
     # combined before they are shuffled, so a segment that very many lines have lies in no task
-    shared = keys.groupBy("segment").agg(F.count("*").alias("n"), F.min("first").alias("earliest"), F.max("own").alias("any_own")).filter("n > 1 and any_own")
-    members = materialize(keys.join(materialize(shared.drop("any_own"), "shared"), "segment"), "members")
+    shared = keys.groupBy("segment").agg(F.min(one).alias("low"), F.max(one).alias("high"), F.max("own").alias("own")).filter("low < high and own")
+    shared = _small(materialize(shared.select("segment"), "shared"))
+    members = keys.join(shared, "segment").groupBy("segment", "line_id").agg(F.max("own").alias("own"))
+    members = materialize(members.join(firsts.select("line_id", "first"), "line_id"), "members_of_segments")
+    texts = _texts(docs, materialize(members.select("line_id", "first").distinct(), "chosen"))
+    sizes = materialize(members.groupBy("segment").agg(F.count("*").alias("n"), F.min("first").alias("earliest")), "segments")
+    members = materialize(members.drop("line_id").join(sizes, "segment"), "members")
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
         bound = edit_bound(F.least(F.char_length("a"), F.char_length("b")), most_edits, chars_per_edit)
