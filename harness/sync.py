@@ -15,7 +15,7 @@ from rowloom.functions.hashing import row_hash
 from rowloom.operators import cdc, merge, validate as v
 from rowloom.plans import transforms
 from rowloom.plans.run import apply_changes
-from rowloom.sources import layout, sinks
+from rowloom.sources import buckets, layout, sinks
 from rowloom.sources.contracts import CONTRACTS, contract_for, contract_projection
 from rowloom.sources.shared import materialize, shared_folder
 from rowloom.sources.tabular import prepare_rows, to_staging
@@ -164,6 +164,29 @@ def cdc_load(spark, sf):
     return out.withColumn("rows_after", F.lit(rows).cast("long"))
 
 
+def cdc_buckets(spark, sf):
+    """A table in buckets, brought up to a snapshot in which one order differs, then to the next sheet: rows and fate of each bucket."""
+    name, n = f"orders_{uuid.uuid4().hex}", 64
+    now, stored = as_of("2024-02-02 00:00:00"), _stored(spark, sf)
+    first = stored.agg(F.min("record_id")).first()[0]
+    one = fixture(spark, sf, "orders_stored").withColumn("status", F.when(F.col("record_id") == first, "X").otherwise(F.col("status")))
+    one = to_staging(one, _SHEET, as_of("2024-01-01 00:00:00"), numeric=["summa"])
+    sinks.replace_in_buckets(stored, name, "record_id", n, shared_folder(spark))
+    out = None
+    for step, rows in (("one", one), ("next", _sheet(spark, sf))):
+        before = buckets.buckets_of(spark, sinks.shown_version(spark, name))
+        apply_changes(spark.table(name), rows, name, "record_id", _SHEET, now)
+        version = sinks.shown_version(spark, name)
+        kept = buckets.manifest(spark, before).select("place", F.lit(False).alias("rewritten"))
+        fate = buckets.manifest(spark, buckets.buckets_of(spark, version)).join(kept, "place", "left")
+        found = spark.table(version).groupBy(F.col(buckets.BUCKET).alias("bucket")).agg(F.count("*").alias("rows"))
+        found = found.join(fate, "bucket").select(F.lit(step).alias("step"), "bucket", "rows", F.coalesce("rewritten", F.lit(True)).alias("rewritten"))
+        found = materialize(found, step)
+        out = found if out is None else out.unionByName(found)
+    sinks.drop_table(spark, name)
+    return out
+
+
 def cdc_duplicates(spark, sf):
     """A snapshot in which every client's key repeats once per order."""
     source = _sheet(spark, sf).select("klient", "summa", "_row_index", row_hash(["klient", "summa"]).alias("__row_hash"))
@@ -324,7 +347,8 @@ def seed_lookup(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (contract_project, validate_rows, validate_schedule, validate_compat, validate_summary, error_thresholds,
-              validation_log, first_errors, constraint_checks, cdc_diff, existing_state, cdc_stats, cdc_by_content, cdc_apply, cdc_load, cdc_duplicates,
+              validation_log, first_errors, constraint_checks, cdc_diff, existing_state, cdc_stats, cdc_by_content, cdc_apply, cdc_load,
+              cdc_buckets, cdc_duplicates,
               dedupe_first, upsert_clients, upsert_sales, upsert_schedule, soft_delete, soft_delete_any_source, soft_delete_absent,
               soft_delete_counts, undelete, distinct_employees, insert_absent, seed_lookup)
 }
@@ -421,6 +445,11 @@ _COUNTS = """count(*) FILTER (action = 'INSERT') AS inserted, count(*) FILTER (a
     count(*) FILTER (action = 'DELETE') AS deleted, count(*) FILTER (action = 'UNCHANGED') AS unchanged"""
 
 
+_BUCKET = "CAST(CAST('0x' || substr(md5(record_id), 1, 8) AS BIGINT) % 64 AS INTEGER)"
+# the order that the first step has changed differs from the sheet's, unless the sheet has no longer got it
+_CHANGED = "FROM diff WHERE action <> 'UNCHANGED' OR record_id = (SELECT min(record_id) FROM stored)"
+
+
 def _dedupe(select: str, name: str) -> str:
     return f"""{name} AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY legacy_id ORDER BY _row_index, row_hash) AS rn
         FROM ({select})) WHERE rn = 1)"""
@@ -547,6 +576,11 @@ ORACLE = {
         SELECT step, s.inserted, s.updated, s.deleted, (SELECT count(*) FROM orders_stored) AS unchanged, rewritten,
           (SELECT count(*) FROM diff WHERE action <> 'DELETE') AS rows_after FROM same s
         UNION ALL SELECT 'next', {_COUNTS.replace(' AS unchanged', '')}, true, count(*) FILTER (action <> 'DELETE') FROM diff""",
+    "cdc_buckets": _DIFF + f"""
+        SELECT 'one' AS step, {_BUCKET} AS bucket, count(*) AS rows, bool_or(record_id = (SELECT min(record_id) FROM stored)) AS rewritten
+        FROM stored GROUP BY {_BUCKET}
+        UNION ALL SELECT 'next', bucket, rows, bucket IN (SELECT {_BUCKET} FROM changed) FROM (
+          SELECT {_BUCKET} AS bucket, count(*) AS rows FROM diff WHERE action <> 'DELETE' GROUP BY {_BUCKET})""".replace("FROM changed", _CHANGED),
     "cdc_by_content": q.with_fixtures("orders_stored", "orders_sheet", more=f"""
         stored AS (SELECT DISTINCT {_HASH} AS h FROM orders_stored),
         sheet AS (SELECT record_id, klient, status, {q.numeric_text('summa')} AS summa FROM orders_sheet),

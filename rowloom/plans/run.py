@@ -17,6 +17,7 @@ from rowloom.operators import cdc, merge, quality, validate as checks
 from rowloom.plans import marts, transforms
 from rowloom.session import configure
 from rowloom.sources import layout, sinks
+from rowloom.sources.buckets import buckets_of
 from rowloom.sources.contracts import Contract, contract_for, contract_projection
 from rowloom.sources.shared import materialize
 from rowloom.sources.tabular import last_modified, read_tabular, to_staging
@@ -39,6 +40,7 @@ class Source:
     mapping: dict[str, str] | None = None
     critical: tuple[str, ...] = ()            # columns that should not be NULL
     numeric: tuple[str, ...] | None = ()      # number columns; None: all, as older tables have it
+    buckets: int = 0                          # keep the table in so many buckets by pk; 0: write it whole
     seen: datetime | None = None              # skip if not modified since; else what the last load has noted
 
 
@@ -128,7 +130,10 @@ def sync_table(spark: SparkSession, source: Source, run_id: str, s: Settings, no
     staged = to_staging(rows, kept, now, list(source.numeric) if source.numeric is not None else None)
     exists = spark.catalog.tableExists(source.table)
     if not s.dry_run and (s.full_refresh or source.mode == "replace" or not exists):
-        sinks.replace_table(staged, source.table, s.root)
+        if source.buckets:
+            sinks.replace_in_buckets(staged, source.table, source.pk, source.buckets, s.root)
+        else:
+            sinks.replace_table(staged, source.table, s.root)
         figures |= {"status": "full_refresh", "inserted": figures["extracted"]}
     else:
         target = spark.table(source.table) if exists else staged.limit(0)
@@ -150,7 +155,8 @@ def apply_changes(target: DataFrame, staged: DataFrame, table: str, pk: str, col
                   root: str | None = None, dry_run: bool = False) -> dict[str, int]:
     """Brings a table up to its snapshot; inserted, updated, deleted and unchanged rows.
 
-    Only changed rows are written out in between, and a table without any is not rewritten.
+    Only changed rows are written out in between, and a table without any is not rewritten.  Of a table that is
+    kept in buckets by `pk`, only the buckets with changed rows are.
     """
     diff = cdc.cdc_diff(staged, target, pk)
     if dry_run:
@@ -160,7 +166,11 @@ def apply_changes(target: DataFrame, staged: DataFrame, table: str, pk: str, col
     keyed = staged.where(F.col(pk).isNotNull() & (F.col(pk).cast("string") != "")).count()
     figures["unchanged"] = keyed - figures["inserted"] - figures["updated"]
     if figures["inserted"] + figures["updated"] + figures["deleted"]:
-        sinks.replace_table(cdc.cdc_apply(target, changed, pk, columns, now), table, root)
+        layout = buckets_of(target.sparkSession, sinks.shown_version(target.sparkSession, table))
+        if layout and layout.key == pk:
+            sinks.change_buckets(target.sparkSession, table, changed.select(pk), lambda part: cdc.cdc_apply(part, changed, pk, columns, now))
+        else:
+            sinks.replace_table(cdc.cdc_apply(target, changed, pk, columns, now), table, root)
     return figures
 
 

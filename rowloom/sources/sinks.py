@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from rowloom import fixed_values as fv
 from rowloom.operators.ledger import retention
 from rowloom.operators.quality import duplicate_hash_count, duplicate_keys
+from rowloom.sources import buckets
 from rowloom.sources.shared import materialize
 from rowloom.sources.versions import ConcurrentLoad, Registry
 
@@ -119,11 +120,21 @@ def shown_version(spark: SparkSession, view: str) -> str | None:
 
 
 def _show(spark: SparkSession, view: str, version: str) -> None:
-    spark.sql(f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('{_VERSION}' = '{version}') AS SELECT * FROM {version}")
+    cells = f"* EXCEPT ({buckets.BUCKET})" if buckets.buckets_of(spark, version) else "*"
+    spark.sql(f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('{_VERSION}' = '{version}') AS SELECT {cells} FROM {version}")
 
 
 def drop_version(spark: SparkSession, version: str) -> None:
-    """Drops a version and its files, also those in a folder the catalog does not own."""
+    """Drops a version and its files, also those in a folder the catalog does not own.
+
+    Of a version in buckets, those stay that other versions of the table share.
+    """
+    if layout := buckets.buckets_of(spark, version):
+        owned = Registry(spark, version.rpartition("__")[0]).owned()
+        others = [found for v in owned if v != version and (found := buckets.buckets_of(spark, v))]
+        spark.sql(f"DROP TABLE {version}")
+        buckets.drop_files(spark, layout, others)
+        return
     place = spark.sql(f"DESCRIBE FORMATTED {version}").where("col_name = 'Location'").first()
     spark.sql(f"DROP TABLE {version}")
     if place:
@@ -191,6 +202,54 @@ def replace_table(df: DataFrame, table: str, root: str | None = None) -> None:
         swap_in(spark, table, stage_version(df, table, root, holder), before)
 
 
+@dataclass(frozen=True)
+class Rewritten:
+    """Buckets that a load has written, of all that the table is kept in."""
+
+    buckets: int
+    of: int
+
+
+def _stage_buckets(df: DataFrame, table: str, layout: buckets.Buckets, holder: str, before: buckets.Buckets | None = None,
+                   changed: list[int] | None = None) -> str:
+    version, registry = f"{table}__{layout.folder.rpartition('/')[2]}", Registry(df.sparkSession, table)
+    registry.own(version)
+    registry.lease(version, holder)
+    buckets.write_version(df, version, layout, before, changed)
+    return version
+
+
+def replace_in_buckets(df: DataFrame, table: str, key: str, n: int = buckets.BUCKETS, root: str | None = None) -> None:
+    """A new version of a table, kept in `n` buckets by `key`; `df` may read the present one."""
+    spark = df.sparkSession
+    base = (root or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    with Registry(spark, table).holder() as holder:
+        before = shown_version(spark, table)
+        layout = buckets.Buckets(key, n, f"{base}/{table}/{uuid.uuid4().hex}")
+        swap_in(spark, table, _stage_buckets(df, table, layout, holder), before)
+
+
+def change_buckets(spark: SparkSession, table: str, keys: DataFrame, change: Callable[[DataFrame], DataFrame]) -> Rewritten:
+    """A new version in which only the buckets of `keys` (one column; repeats do no harm) are read and written again.
+
+    `change` takes the table's rows in those buckets and returns what they become; it may change, drop and add rows of
+    these keys.  Rows it adds to other buckets are refused (ValueError), and the table stays as it is.
+    """
+    registry = Registry(spark, table)
+    with registry.holder() as holder:
+        before = shown_version(spark, table)
+        layout = buckets.buckets_of(spark, before)
+        if layout is None:
+            raise ValueError(f"{table} is not kept in buckets")
+        registry.lease(before, holder)
+        changed = buckets.hit(keys, layout)
+        if changed:
+            part = spark.table(before).where(F.col(buckets.BUCKET).isin(changed)).drop(buckets.BUCKET)
+            fresh = buckets.Buckets(layout.key, layout.n, f"{layout.folder.rpartition('/')[0]}/{uuid.uuid4().hex}")
+            swap_in(spark, table, _stage_buckets(change(part), table, fresh, holder, layout, changed), before)
+    return Rewritten(len(changed), layout.n)
+
+
 def drop_table(spark: SparkSession, table: str) -> None:
     """Drops a table that was loaded by versions, with its backup and all files."""
     for view in (table, f"{table}_backup"):
