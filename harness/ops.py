@@ -15,7 +15,7 @@ from rowloom.functions.hashing import row_hash
 from rowloom.operators import ledger, quality
 from rowloom.sources import layout, sinks
 from rowloom.sources.shared import materialize, shared_folder
-from rowloom.sources.tabular import is_modified, last_modified, read_tabular
+from rowloom.sources.tabular import file_changes, is_modified, last_modified, read_tabular, source_files
 
 _STAGED = ["stg_gsheets.sales_cur", "stg_gsheets.sales_hst", "stg_gsheets.trainings_cur", "stg_gsheets.clients_cur"]
 
@@ -230,6 +230,26 @@ def read_gate(spark, sf):
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
+def source_changes(spark, sf):
+    """Orders as a source of several files, of which one is added, removed, or replaced by an older one since they were noted."""
+    path = f"{shared_folder(spark)}/orders"
+    o = table(spark, sf, "orders")
+    o.write.partitionBy("o_orderstatus").parquet(path)
+    status = F.regexp_extract("file", r"o_orderstatus=(\w)", 1)
+    files = materialize(source_files(spark, f"{path}/*/*.parquet"), "files").withColumn("status", status)
+    later = F.when(F.col("status") == "O", F.col("modified_at") + F.expr("INTERVAL 1 DAY")).otherwise(F.col("modified_at"))
+    cases = {
+        "same": (files, files), "added": (files, files.where("status <> 'P'")), "removed": (files.where("status <> 'F'"), files),
+        "older": (files, files.withColumn("modified_at", later)),
+    }
+    rows = o.groupBy(F.col("o_orderstatus").alias("status")).agg(F.count("*").alias("rows"))
+    out = None
+    for label, (here, noted) in cases.items():
+        changes = file_changes(here, noted).select(F.lit(label).alias("step"), "change", status.alias("status")).distinct()
+        out = changes if out is None else out.unionByName(changes)
+    return out.join(rows, "status")
+
+
 def read_sheet(spark, sf):
     """A sheet written as CSV and read as text: names normalised, blank rows gone, rows numbered."""
     path = f"{shared_folder(spark)}/sheet"
@@ -280,7 +300,7 @@ QUERIES = {
     f.__name__: f
     for f in (dup_keys, dup_hashes, cross_source_dups, null_counts, row_counts, last_stats, volume_anomaly, dq_issues, dq_summary,
               dq_trend, run_kpis, runs_by_day, runs_window, recent_runs, run_totals, scope_tables, run_state, error_breakdown,
-              product_profile, sample_rows, retention, expire_dumps, purge_logs, raw_dump, load_full, load_append, swap_load, read_gate,
+              product_profile, sample_rows, retention, expire_dumps, purge_logs, raw_dump, load_full, load_append, swap_load, read_gate, source_changes,
               read_sheet, sheet_texts, header_auto, conform)
 }
 
@@ -397,6 +417,9 @@ ORACLE = {
         UNION ALL SELECT 'backup', history, count(*), CAST(sum(o_orderkey) AS BIGINT) FROM orders, h GROUP BY history""",
     "read_gate": """
         SELECT count(*) AS rows, 'unseen' AS seen FROM orders UNION ALL SELECT 0, 'seen_before' UNION ALL SELECT count(*), 'seen_long_ago' FROM orders""",
+    "source_changes": """
+        SELECT step, change, status, count(*) AS rows FROM orders
+        JOIN (VALUES ('added', 'added', 'P'), ('removed', 'removed', 'F'), ('older', 'replaced', 'O')) c(step, change, status) ON status = o_orderstatus GROUP BY ALL""",
     "read_sheet": """
         SELECT CAST(o_orderkey AS VARCHAR) AS record_id, o_orderstatus AS status, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) AS summa_rub,
           row_number() OVER (ORDER BY o_orderkey) + 1 AS row_index FROM orders WHERE NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'P')""",

@@ -20,7 +20,7 @@ from rowloom.sources import layout, sinks
 from rowloom.sources.buckets import buckets_of
 from rowloom.sources.contracts import Contract, contract_for, contract_projection
 from rowloom.sources.shared import materialize
-from rowloom.sources.tabular import last_modified, read_tabular, to_staging
+from rowloom.sources.tabular import file_changes, last_modified, read_tabular, source_files, to_staging
 
 log = logging.getLogger(__name__)
 
@@ -73,6 +73,7 @@ class Settings:
     runs_table: str = "ops.elt_runs"
     stats_table: str = "ops.elt_table_stats"
     state_table: str = "ops.source_state"     # how new each source was when it was loaded
+    files_table: str = "ops.source_files"     # the files each source had when it was loaded
     seed: bool = True                         # add what the lookup tables always hold
     extra: list[tuple[str, Callable[[SparkSession], DataFrame]]] = field(default_factory=list)
 
@@ -97,7 +98,8 @@ def sync_table(spark: SparkSession, source: Source, run_id: str, s: Settings, no
                "unchanged": 0, "errors": 0}
     # asked for before reading: what is written meanwhile is newer
     modified = last_modified(spark, source.path) if s.check_modified else None
-    if modified is not None and (seen := source.seen or _last_seen(spark, s, source.table)) is not None and modified <= seen:
+    files = materialize(source_files(spark, source.path), "files") if s.check_modified else None
+    if modified is not None and not _is_new(spark, source, s, modified, files):
         return figures
     rows = materialize(
         read_tabular(spark, source.path, source.fmt, source.table.split(".")[-1], source.mapping, source.header), "sheet"
@@ -142,13 +144,24 @@ def sync_table(spark: SparkSession, source: Source, run_id: str, s: Settings, no
     if modified is not None and not s.dry_run:
         state = spark.createDataFrame([(source.table, modified, run_id)], "table_name string, modified_at timestamp, run_id string")
         sinks.append_table(state, s.state_table, s.root)
+        noted = files.select(F.lit(source.table).alias("table_name"), "file", "length", "modified_at", F.lit(run_id).alias("run_id"),
+                             F.current_timestamp().alias("noted_at"))
+        sinks.append_table(noted, s.files_table, s.root)
     return figures | {"duration_ms": int((time.monotonic() - started) * 1000)}
 
 
-def _last_seen(spark: SparkSession, s: Settings, table: str) -> datetime | None:
-    if not spark.catalog.tableExists(s.state_table):
-        return None
-    return spark.table(s.state_table).where(F.col("table_name") == table).agg(F.max("modified_at").alias("at")).first()["at"]
+def _is_new(spark: SparkSession, source: Source, s: Settings, modified: datetime, files: DataFrame) -> bool:
+    """Whether a source has changed since `seen` or, without that, since its last load.
+
+    A load notes all files, so one that is removed, or replaced by an older one, is a change too.
+    """
+    if source.seen is not None:
+        return modified > source.seen
+    if not spark.catalog.tableExists(s.files_table):
+        return True
+    notes = spark.table(s.files_table).where(F.col("table_name") == source.table)
+    last = notes.agg(F.max("noted_at").alias("at")).first()["at"]
+    return last is None or not file_changes(files, notes.where(F.col("noted_at") == F.lit(last))).isEmpty()
 
 
 def apply_changes(target: DataFrame, staged: DataFrame, table: str, pk: str, columns: Sequence[str], now: Column,

@@ -170,6 +170,24 @@ def is_modified(spark: SparkSession, path: str, seen: datetime | None) -> bool:
     return at is None or seen is None or at > seen
 
 
+def source_files(spark: SparkSession, path: str) -> DataFrame:
+    """(file, length, modified_at) of a source's files; their contents are not read."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select(F.col("path").alias("file"), "length", F.col("modificationTime").alias("modified_at"))
+
+
+def file_changes(files: DataFrame, noted: DataFrame) -> DataFrame:
+    """(file, change) of what differs from the files noted before: `added`, `removed`, or `replaced`.
+
+    A file is replaced if its length or time differs, also where the new one is older or shorter.
+    """
+    here = files.select("file", F.struct("length", "modified_at").alias("__now"))
+    before = noted.select("file", F.struct("length", "modified_at").alias("__then"))
+    change = F.when(F.col("__then").isNull(), "added").when(F.col("__now").isNull(), "removed").otherwise("replaced")
+    differing = here.join(before, "file", "full_outer").where(~F.col("__now").eqNullSafe(F.col("__then")))
+    return differing.select("file", change.alias("change"))
+
+
 def prepare_rows(df: DataFrame, columns: list[str], numeric: list[str] | None = None) -> DataFrame:
     """Cells ready for staging, with `__row_hash`; other columns stay.
 

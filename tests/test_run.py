@@ -100,6 +100,14 @@ def test_unmodified_sheets_are_passed_over(spark, tmp_path, clean_catalog):
     assert [t["table"] for t in run(spark, settings(tmp_path, day, **gate))["tables"]] == ["stg_gsheets.sales_cur"]
     assert run(spark, settings(tmp_path, day, **gate))["tables_processed"] == 0
     assert spark.table("ops.source_state").count() == 4
+    # an older file in its place is a change as well, and so is one of another length at the same time
+    os.utime(tmp_path / "sales.csv", (later - 9000, later - 9000))
+    assert [t["table"] for t in run(spark, settings(tmp_path, day, **gate))["tables"]] == ["stg_gsheets.sales_cur"]
+    assert run(spark, settings(tmp_path, day, **gate))["tables_processed"] == 0
+    with open(tmp_path / "sales.csv", "a", encoding="utf-8") as f:
+        f.write("\n")
+    os.utime(tmp_path / "sales.csv", (later - 9000, later - 9000))
+    assert [t["table"] for t in run(spark, settings(tmp_path, day, **gate))["tables"]] == ["stg_gsheets.sales_cur"]
 
 
 def test_bad_sheets(spark, tmp_path, clean_catalog):

@@ -1,5 +1,6 @@
 """Reading sheets, numbering rows, writing and swapping tables."""
 
+import os
 import random
 import time
 import uuid
@@ -13,8 +14,8 @@ from rowloom import fixed_values as fv
 from rowloom.sources import layout, sinks, versions as versions_of
 from rowloom.sources.shared import materialize, shared_folder
 from rowloom.sources.tabular import (
-    align_cells, drop_blank_rows, find_header, is_modified, last_modified, prepare_rows, read_tabular, to_staging,
-    with_row_index,
+    align_cells, drop_blank_rows, file_changes, find_header, is_modified, last_modified, prepare_rows, read_tabular, source_files,
+    to_staging, with_row_index,
 )
 
 
@@ -100,6 +101,23 @@ def test_gate(spark, tmp_path):
     assert is_modified(spark, path, at - timedelta(seconds=5))
 
 
+def test_changes_of_files(spark, tmp_path):
+    for name in "abc":
+        (tmp_path / f"{name}.csv").write_text(f"{name}\n1\n")
+    noted = materialize(source_files(spark, str(tmp_path)))
+
+    def changes():
+        return sorted((r["file"].rpartition("/")[2], r["change"]) for r in file_changes(source_files(spark, str(tmp_path)), noted).collect())
+
+    assert changes() == []
+    old = (tmp_path / "a.csv").stat().st_mtime - 500
+    os.utime(tmp_path / "a.csv", (old, old))
+    (tmp_path / "b.csv").rename(tmp_path / "d.csv")
+    assert changes() == [("a.csv", "replaced"), ("b.csv", "removed"), ("d.csv", "added")]
+    assert file_changes(noted, noted.limit(0)).where("change = 'added'").count() == 3
+    assert file_changes(noted.limit(0), noted).where("change = 'removed'").count() == 3
+
+
 def test_conform(spark):
     df = spark.createDataFrame([("k", "5", "x", None)], "legacy_id string, quantity string, full_price string, cash string")
     row = layout.conform(df, layout.SALES, F.lit(datetime(2024, 1, 1))).first()
