@@ -68,13 +68,21 @@ def n(c: str) -> str:
     return f"nullif(trim({c}), '')"
 
 
-def money(c: str) -> str:
+def amount(c: str) -> str:
     kept = rf"regexp_replace(replace(regexp_replace({c}, '[^0-9,.-]', '', 'g'), ',', '.'), '(\d)\.$', '\1')"
-    return f"coalesce(CASE WHEN regexp_matches({kept}, '{PLAIN}') THEN try_cast({kept} AS DECIMAL(18,2)) END, 0)"
+    return f"(CASE WHEN regexp_matches({kept}, '{PLAIN}') THEN try_cast({kept} AS DECIMAL(18,2)) END)"
+
+
+def money(c: str) -> str:
+    return f"coalesce({amount(c)}, 0)"
+
+
+def whole(c: str) -> str:
+    return rf"(CASE WHEN regexp_matches(trim({c}), '^[+-]?\d+$') THEN try_cast(trim({c}) AS INTEGER) END)"
 
 
 def integer(c: str) -> str:
-    return rf"coalesce(CASE WHEN regexp_matches(trim({c}), '^[+-]?\d+$') THEN try_cast(trim({c}) AS INTEGER) END, 1)"
+    return f"coalesce({whole(c)}, 1)"
 
 
 def _full(found: str) -> str:
@@ -105,6 +113,10 @@ def _first(c: str) -> str:
     return f"WHEN length({found}) = 10 THEN {_full(found)} WHEN length({found}) = 8 THEN {_short(found)}"
 
 
+def found_date(c: str) -> str:
+    return f"(CASE {_first(c)} END)"
+
+
 def sales_date(c: str, as_of: str, compat: bool = False) -> str:
     short = f"WHEN {has(c, D2)} THEN {_short(find(c, D2))}"
     now = f"CAST(TIMESTAMP '{as_of}' AS DATE)"

@@ -12,7 +12,7 @@ from harness.clean import as_of, flat
 from harness.fixtures import AS_OF_EVENTS, AS_OF_SALES, fixture, table
 from rowloom import fixed_values as fv
 from rowloom.functions.hashing import row_hash
-from rowloom.operators import cdc, merge, validate as v
+from rowloom.operators import cdc, losses, merge, validate as v
 from rowloom.plans import transforms
 from rowloom.plans.run import apply_changes
 from rowloom.sources import buckets, layout, sinks
@@ -241,6 +241,22 @@ def core_clients(spark, sf):
     return transforms.merge_current_then_history(before, current, history, as_of(AS_OF_SALES))
 
 
+def cell_losses(spark, sf):
+    """Cells of all sheets that the transforms turn into 0, NULL or a default."""
+    out = None
+    for name in SHEETS:
+        sheet = fixture(spark, sf, name)
+        counts = losses.loss_counts(sheet, transforms.lost_cells(name, sheet.columns)).withColumn("sheet", F.lit(name))
+        out = counts if out is None else out.unionByName(counts)
+    return out
+
+
+def conform_losses(spark, sf):
+    """Cells of the sales sheet that its typed layout cannot hold."""
+    o = fixture(spark, sf, "sales_hst").withColumnRenamed("record_id", "legacy_id")
+    return losses.loss_counts(o, layout.misfits(o, layout.SALES))
+
+
 def upsert_clients(spark, sf):
     return flat(core_clients(spark, sf))
 
@@ -349,7 +365,7 @@ QUERIES = {
     for f in (contract_project, validate_rows, validate_schedule, validate_compat, validate_summary, error_thresholds,
               validation_log, first_errors, constraint_checks, cdc_diff, existing_state, cdc_stats, cdc_by_content, cdc_apply, cdc_load,
               cdc_buckets, cdc_duplicates,
-              dedupe_first, upsert_clients, upsert_sales, upsert_schedule, soft_delete, soft_delete_any_source, soft_delete_absent,
+              dedupe_first, cell_losses, conform_losses, upsert_clients, upsert_sales, upsert_schedule, soft_delete, soft_delete_any_source, soft_delete_absent,
               soft_delete_counts, undelete, distinct_employees, insert_absent, seed_lookup)
 }
 
@@ -450,6 +466,32 @@ _BUCKET = "CAST(CAST('0x' || substr(md5(record_id), 1, 8) AS BIGINT) % 64 AS INT
 _CHANGED = "FROM diff WHERE action <> 'UNCHANGED' OR record_id = (SELECT min(record_id) FROM stored)"
 
 
+def _bare_day(c: str) -> str:
+    """What a cell without a year gives: its day in the schedule's year."""
+    return rf"CASE WHEN NOT {q.has(c, q.ANY)} AND {q.has(c, '^[0-9]{2}[.][0-9]{2}[.]')} THEN try_strptime(left({c}, 6) || '{fv.DEFAULT_SCHEDULE_YEAR}', '%d.%m.%Y') END"
+
+
+def _clock(c: str) -> str:
+    found = f"regexp_extract(trim({c}), '^([0-9][0-9]?):([0-9][0-9])', {{}})"
+    hour, minute = (f"try_cast({found.format(i)} AS INTEGER)" for i in (1, 2))
+    return f"CASE WHEN {minute} < 60 AND ({hour} < 24 OR {hour} = 24 AND {minute} = 0) THEN 1 END"
+
+
+def _born(c: str) -> str:
+    return f"CASE WHEN regexp_full_match({c}, '[0-9]{{2}}[.][0-9]{{2}}[.][0-9]{{4}}') THEN {q.found_date(c)} END"
+
+
+_TYPED = [
+    ("clients_cur", "data_rozhdeniya_rebenka", _born), ("clients_hst", "child_birth_date", _born),
+    ("sales_cur", "data", q.found_date), ("sales_cur", "kolichestvo", q.whole), ("sales_cur", "polnaya_stoimost", q.amount), ("sales_cur", "skidka", q.amount),
+    ("sales_cur", "okonchatelnaya_stoimost", q.amount), ("sales_cur", "nalichnye", q.amount), ("sales_cur", "perevod", q.amount),
+    ("sales_cur", "terminal", q.amount), ("sales_cur", "vdolg", q.amount),
+    ("sales_hst", "date", q.found_date), ("sales_hst", "quantity", q.whole), ("sales_hst", "full_price", q.amount), ("sales_hst", "final_price", q.amount),
+    ("trainings_cur", "data", lambda c: f"coalesce({q.found_date(c)}, {_bare_day(c)})"), ("trainings_cur", "nachalo", _clock), ("trainings_cur", "konets", _clock),
+    ("trainings_hst", "date", q.found_date), ("trainings_hst", "start_time", _clock), ("trainings_hst", "end_time", _clock),
+]
+
+
 def _dedupe(select: str, name: str) -> str:
     return f"""{name} AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER (PARTITION BY legacy_id ORDER BY _row_index, row_hash) AS rn
         FROM ({select})) WHERE rn = 1)"""
@@ -604,6 +646,12 @@ ORACLE = {
           UNION ALL SELECT 'DELETE', klient, NULL FROM stored WHERE klient NOT IN (SELECT klient FROM sheet))""") + """
         SELECT action, count(*) AS rows, CAST(sum(_row_index) AS BIGINT) AS index_sum, count(DISTINCT klient) AS keys FROM diff GROUP BY action""",
     "dedupe_first": """SELECT DISTINCT ON (user_id, event_type) user_id, event_type, event_id, value FROM events ORDER BY user_id, event_type, ts, event_id""",
+    "cell_losses": q.with_fixtures(*SHEETS) + " UNION ALL ".join(
+        f"SELECT '{sheet}' AS sheet, '{c}' AS column_name, count(*) FILTER (trim({c}) <> '' AND {read(c)} IS NULL) AS lost_cells FROM {sheet}" for sheet, c, read in _TYPED),
+    "conform_losses": q.with_fixtures("sales_hst") + """
+        SELECT 'date' AS column_name, count(*) FILTER (NOT regexp_matches(date, '^[0-9]{4}-')) AS lost_cells FROM sales_hst
+        UNION ALL SELECT 'quantity', count(*) FILTER (quantity = 'три') FROM sales_hst
+        UNION ALL SELECT 'full_price', count(*) FROM sales_hst UNION ALL SELECT 'final_price', 0""",
     "upsert_clients": q.with_fixtures("clients_cur", "clients_hst", more=f"{CLIENT_CTES},\n{_OLD_CLIENTS},\n{_MERGED_CLIENTS}") + "SELECT * FROM merged",
     "upsert_sales": q.with_fixtures("clients_cur", "clients_hst", "sales_cur", "sales_hst", more=f"{CLIENT_CTES},\n{sales_ctes()}") + f"""
         SELECT legacy_id, {q.ts('date')} AS date, client_id, product_name, type, category, quantity, {_MONIES}, comment, admin, trainer, {_TRACK(AS_OF_SALES)}

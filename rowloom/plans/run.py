@@ -13,7 +13,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowloom import fixed_values as fv
-from rowloom.operators import cdc, merge, quality, validate as checks
+from rowloom.operators import cdc, losses, merge, quality, validate as checks
 from rowloom.plans import marts, transforms
 from rowloom.session import configure
 from rowloom.sources import layout, sinks
@@ -74,6 +74,7 @@ class Settings:
     stats_table: str = "ops.elt_table_stats"
     state_table: str = "ops.source_state"     # how new each source was when it was loaded
     files_table: str = "ops.source_files"     # the files each source had when it was loaded
+    losses_table: str = "ops.cell_losses"     # cells of each run that became 0, NULL or a default
     seed: bool = True                         # add what the lookup tables always hold
     extra: list[tuple[str, Callable[[SparkSession], DataFrame]]] = field(default_factory=list)
 
@@ -305,6 +306,23 @@ def transform_phase(spark: SparkSession, s: Settings, now: Column, failed: dict[
     return done
 
 
+def book_losses(spark: SparkSession, run_id: str, s: Settings, now: Column) -> int:
+    """Notes, per staged sheet and column, how many cells the transforms cannot read; their sum."""
+    found = None
+    for name in ("clients_cur", "clients_hst", "sales_cur", "sales_hst", "trainings_cur", "trainings_hst"):
+        staged = _staged(spark, f"{s.staging}.{name}")
+        if staged is None:
+            continue
+        counts = losses.loss_counts(staged, transforms.lost_cells(name, staged.columns, s.schedule_year)).where("lost_cells > 0")
+        counts = counts.withColumn("table_name", F.lit(f"{s.staging}.{name}"))
+        found = counts if found is None else found.unionByName(counts)
+    if found is None:
+        return 0
+    found = materialize(layout.conform(found.withColumn("run_id", F.lit(run_id)), layout.CELL_LOSSES, now), "losses")
+    sinks.append_table(found, s.losses_table, s.root)
+    return found.agg(F.coalesce(F.sum("lost_cells"), F.lit(0))).first()[0]
+
+
 def add_seeds(spark: SparkSession, s: Settings, now: Column) -> None:
     """Adds the rows that the lookup tables always hold and lack so far."""
     for table, form, rows, columns, key in (
@@ -371,6 +389,7 @@ def run(spark: SparkSession, s: Settings) -> dict[str, Any]:
                 add_seeds(spark, s, now)
             add_employees(spark, s, now)
             totals["transforms"] = transform_phase(spark, s, now, failed)
+            totals["lost_cells"] = book_losses(spark, run_id, s, now)
         if s.run_exports and not s.dry_run:
             if spark.catalog.tableExists(s.raw_table):
                 totals["dumps_expired"] = sinks.expire_dumps(spark, s.raw_table, started)

@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from rowloom import fixed_values as fv
 from rowloom.functions import dates
 from rowloom.functions.hashing import legacy_key
-from rowloom.functions.numbers import MONEY, integer, money
+from rowloom.functions.numbers import MONEY, amount, integer, money, whole
 from rowloom.functions.text import blank_to, blank_to_null
+from rowloom.operators.losses import lost
 from rowloom.operators.merge import distinct_names, first_per_key, insert_absent, lookup_by_name, upsert
 
 _ORDER = ("_row_index", "row_hash")
@@ -148,6 +149,25 @@ def schedule_rows(
     )
 
 
+def lost_cells(sheet: str, columns: list[str], year: int = fv.DEFAULT_SCHEDULE_YEAR, compat: bool = False) -> dict[str, Column]:
+    """For each typed column of a staged sheet that is there: whether the transforms lose the cell's text to 0, NULL or a default."""
+    no_time, no_day = F.lit(None).cast("timestamp"), F.lit(None).cast("date")
+    readings = {"money": amount, "whole": whole, "born": dates.birth_date, "clock": lambda c: dates.clock_time(c, ""),
+                "sold": lambda c: dates.sales_date(c, no_time, compat),
+                "held": lambda c: dates.schedule_date(c, no_day, year, compat),
+                "was_held": lambda c: dates.schedule_date_history(c, no_day, compat)}
+    typed = {
+        "clients_cur": {"born": ["data_rozhdeniya_rebenka"]},
+        "clients_hst": {"born": ["child_birth_date"]},
+        "sales_cur": {"sold": ["data"], "whole": ["kolichestvo"],
+                      "money": ["polnaya_stoimost", "skidka", "okonchatelnaya_stoimost", "nalichnye", "perevod", "terminal", "vdolg"]},
+        "sales_hst": {"sold": ["date"], "whole": ["quantity"], "money": ["full_price", "final_price"]},
+        "trainings_cur": {"held": ["data"], "clock": ["nachalo", "konets"]},
+        "trainings_hst": {"was_held": ["date"], "clock": ["start_time", "end_time"]},
+    }[sheet]
+    return {c: lost(F.col(c), readings[kind](F.col(c))) for kind, names in typed.items() for c in names if c in columns}
+
+
 def merge_current_then_history(target: DataFrame, current: DataFrame | None, history: DataFrame | None, now: Column) -> DataFrame:
     """Upserts the current rows, then the historical ones: on equal keys history wins.
 

@@ -7,6 +7,8 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
+from rowloom.operators.losses import lost
+
 _TRACKING = (
     "row_hash string, source string, is_deleted boolean, deleted_at timestamp, "
     "created_at timestamp, updated_at timestamp"
@@ -50,6 +52,7 @@ TABLE_STATS = (
     "rows_deleted bigint, rows_unchanged bigint, validation_errors bigint, duration_ms bigint, "
     "created_at timestamp"
 )
+CELL_LOSSES = "run_id string, table_name string, column_name string, lost_cells bigint, created_at timestamp"
 VALIDATION_LOG = (
     "run_id string, table_name string, row_index bigint, column_name string, invalid_value string, "
     "error_type string, message string, created_at timestamp"
@@ -92,6 +95,13 @@ def conform(
     return df.select(*[fitted(f) for f in StructType.fromDDL(layout).fields])
 
 
+def misfits(df: DataFrame, layout: str) -> dict[str, Column]:
+    """For each column that conform() casts: whether the cell has text that does not fit, as loss_counts() takes them."""
+    fields = {f.name: f.dataType for f in StructType.fromDDL(layout).fields}
+    cast = [f.name for f in df.schema.fields if f.name in fields and f.dataType != fields[f.name]]
+    return {name: lost(F.col(name), F.col(name).try_cast(fields[name].simpleString())) for name in cast}
+
+
 def empty(spark: SparkSession, layout: str) -> DataFrame:
     """A table of a layout without rows; Spark plans joins with it away."""
     return conform(spark.range(0), layout, F.current_timestamp())
