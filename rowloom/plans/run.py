@@ -258,14 +258,14 @@ def transform_phase(spark: SparkSession, s: Settings, now: Column, failed: dict[
         parts = [None if stg[n] is None else transforms.schedule_rows(stg[n], known, people, now, h, s.schedule_year)
                  for n, h in (("trainings_cur", False), ("trainings_hst", True))]
         merged = transforms.merge_current_then_history(_table(spark, "core.schedule", layout.SCHEDULE), *parts, now)
-        return _drop_gone(merged, ("trainings_cur", "trainings_hst"))
+        return sinks.clustered(_drop_gone(merged, ("trainings_cur", "trainings_hst")), "date", "legacy_id")
 
     def sales() -> DataFrame:
         known = spark.table("core.clients")
         parts = [None if stg[n] is None else transforms.sales_rows(stg[n], known, now, h)
                  for n, h in (("sales_cur", False), ("sales_hst", True))]
         merged = transforms.merge_current_then_history(_table(spark, "core.sales", layout.SALES), *parts, now)
-        return _drop_gone(merged, ("sales_cur", "sales_hst"))
+        return sinks.clustered(_drop_gone(merged, ("sales_cur", "sales_hst")), "date", "legacy_id")
 
     def _drop_gone(merged: DataFrame, names: tuple[str, ...], by_source: bool = True, status: str | None = None) -> DataFrame:
         present = [(n, stg[n]) for n in names if stg[n] is not None]

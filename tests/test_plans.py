@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registry
 from harness import sync
 from harness.fixtures import fixture, table
+from rowloom import fixed_values as fv
 from rowloom.operators import cdc, merge
 from rowloom.plans import marts
+from rowloom.sources import layout, sinks
 from rowloom.sources.shared import materialize
 
 SF = "/root/testdata/sf0.001"
@@ -128,12 +130,41 @@ def test_first_per_key_on_events(spark):
     assert plan.count("WindowGroupLimit") == 2
 
 
+@pytest.fixture
+def all_partitions(spark):
+    """As on a large table, whose partitions are not put together."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_recent_days_leave_out_the_rest(spark, all_partitions):
+    """Of a core table written in ranges of its dates, the API views read what their days need, also with one day that has a third of the rows."""
+    day = F.when(F.col("id") % 3 == 0, F.lit("2022-06-01").cast("date")).otherwise(F.date_add(F.lit("2021-01-01").cast("date"), (F.col("id") % 1200).cast("int")))
+    rows = spark.range(60_000).select(F.col("id").cast("string").alias("legacy_id"), day.cast("timestamp").alias("date"), F.lit("p").alias("product_name"))
+    core = layout.conform(rows, layout.SALES, F.lit("2024-01-01").cast("timestamp"))
+    written = materialize(sinks.clustered(core, "date", "legacy_id"), "by_date")
+    as_of = F.lit("2024-04-01").cast("timestamp")
+    view = marts.api_sales(written, as_of)
+    assert view.count() == marts.api_sales(core, as_of).count() > 0
+    assert "GreaterThanOrEqual(date" in physical(view)
+    files = written.groupBy(F.input_file_name()).agg(F.min("date").alias("low"), F.max("date").alias("high"), F.count("*").alias("n"))
+    since = F.date_sub(F.to_date(as_of), fv.API_DAYS)
+    read = files.where(F.col("high") >= since)
+    assert read.count() <= files.count() / 2
+    # the hot day lies in several files
+    assert files.where("low <= TIMESTAMP'2022-06-01' AND high >= TIMESTAMP'2022-06-01'").count() >= 2
+
+
 def test_what_is_collected():
     """Lines that bring rows to the driver: a few by their nature."""
     import pathlib
 
     allowed = [
         "for row in spark.sql(f\"SHOW PARTITIONS {table}\").collect():          # one row per day",
+        "found = {r[\"key\"]: r[\"value\"] for r in spark.sql(f\"SHOW TBLPROPERTIES {version}\").collect()}",
+        "return {r[\"bucket\"]: r[\"place\"] for r in manifest(spark, layout).collect()}          # at most layout.n",
+        "return sorted(r[0] for r in found.collect())",
         "rows = spark.sql(f\"SHOW TBLPROPERTIES {view}\").where(F.col(\"key\") == _VERSION).collect()     # one row",
         "totals[\"issues\"] = [r.asDict() for r in quality.first_issues(issues).collect()]   # at most ten",
         ").collect()                                        # at most HEADER_SCAN_ROWS rows",

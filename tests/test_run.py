@@ -54,7 +54,7 @@ def clean_catalog(spark):
 def test_two_runs(spark, tmp_path, clean_catalog):
     day1 = datetime(2024, 5, 1, 6)
     sheets(tmp_path,
-           [["1", "Анна", "+7 900", "Оля", "01.02.2015", "vip"], ["2", "Борис", "", "", "", ""], ["3", "Вера", "+7 901", "", "", ""]],
+           [["1", "Анна", "+7 900", "Оля", "01.02.2015", "vip"], ["2", "Борис", "", "", "", ""], ["3", "Вера", "+7 901", "", "весной", ""]],
            [sale(1, "01.04.24", "Анна", "Абонемент 8 занятий", "1 000 руб."), sale(2, "02.04.24", "Борис", "Разовое", "200"), sale(3, "03.04.24", "Нет такого", "Разовое", "1")],
            [["1", "05.04.", "9:00", "10:00", "Посетили", "", "", "", "Анна", "Тренер"], ["2", "06.04.", "9:00", "10:00", "Отмена", "", "", "", "Борис", "Тренер"]])
     first = run(spark, settings(tmp_path, day1))
@@ -78,6 +78,10 @@ def test_two_runs(spark, tmp_path, clean_catalog):
     figures = {t["table"]: (t["inserted"], t["updated"], t["deleted"], t["unchanged"]) for t in second["tables"]}
     assert figures == {"stg_gsheets.clients_cur": (0, 0, 1, 2), "stg_gsheets.sales_cur": (1, 1, 1, 1), "stg_gsheets.trainings_cur": (0, 0, 1, 1)}
     assert second["dumps_expired"] == 8
+    # Вера's birthday could not be read; Вера is gone since
+    assert (first["lost_cells"], second["lost_cells"]) == (1, 0)
+    lost = spark.table("ops.cell_losses").collect()
+    assert [(r.run_id, r.table_name, r.column_name, r.lost_cells) for r in lost] == [(first["run_id"], "stg_gsheets.clients_cur", "data_rozhdeniya_rebenka", 1)]
     balances = {r["Клиент"]: (r["Куплено"], r["Использовано"], r["Остаток"]) for r in spark.table("analytics.v_client_balances").collect()}
     assert balances == {"Анна": (9, 1, 8), "Борис": (4, 0, 4)}
     gone = {r.name: r.status for r in spark.table("core.clients").where("is_deleted").collect()}
