@@ -164,3 +164,15 @@ def test_upsert_in_buckets_equals_the_whole_table(spark, place):
     sinks.replace_in_buckets(target, name, "k", 32, root)
     done = sinks.change_buckets(spark, name, source.select("k"), lambda part: merge.upsert(part, source, "k", F.lit(NOW)))
     assert done.buckets <= 2 and rows(spark.table(name)) == rows(merge.upsert(target, source, "k", F.lit(NOW)))
+
+
+def test_in_the_warehouse_of_another_database(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS stg_buckets")
+    name = "stg_buckets.sales"
+    sinks.replace_in_buckets(table(spark, [(f"k{i}", i) for i in range(30)]), name, "k", 4)
+    change = table(spark, [("k1", -1)])
+    assert sinks.change_buckets(spark, name, change.select("k"), lambda part: part.where("k <> 'k1'").unionByName(change)).buckets == 1
+    assert spark.table(name).count() == 30 and spark.table(name).where("v = -1").count() == 1
+    sinks.drop_table(spark, name)
+    assert spark.sql("SHOW TABLES IN stg_buckets").isEmpty()
+    spark.sql("DROP DATABASE stg_buckets")
