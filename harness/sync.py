@@ -332,6 +332,16 @@ def soft_delete_counts(spark, sf):
     return merge.soft_delete_counts(merge.soft_delete(core, hashes, as_of(AS_OF_SALES), sources=["sales_cur", "sales_hst"]))
 
 
+def soft_delete_untouched(spark, sf):
+    """Upsert and soft delete in one: sheet rows that are pending are staged, but not merged."""
+    core, hashes = _deleted(spark, sf)
+    sheet = _sheet(spark, sf).where("coalesce(record_id, '') <> '' AND status <> 'P'")
+    rows = merge.first_per_key(
+        sheet.select(F.col("record_id").alias("legacy_id"), F.col("__row_hash").alias("row_hash"), F.lit("sales_cur").alias("source"),
+                     F.lit("active").alias("status"), "_row_index"), ["legacy_id"], ["_row_index", "row_hash"]).drop("_row_index")
+    return flat(merge.upsert_and_delete(core, rows, "legacy_id", as_of(AS_OF_SALES), hashes, ["sales_cur", "sales_hst"], "deleted"))
+
+
 def undelete(spark, sf):
     """Clients that were deleted, and came back with this run's sheets."""
     after = core_clients(spark, sf)
@@ -366,7 +376,7 @@ QUERIES = {
               validation_log, first_errors, constraint_checks, cdc_diff, existing_state, cdc_stats, cdc_by_content, cdc_apply, cdc_load,
               cdc_buckets, cdc_duplicates,
               dedupe_first, cell_losses, conform_losses, upsert_clients, upsert_sales, upsert_schedule, soft_delete, soft_delete_any_source, soft_delete_absent,
-              soft_delete_counts, undelete, distinct_employees, insert_absent, seed_lookup)
+              soft_delete_counts, soft_delete_untouched, undelete, distinct_employees, insert_absent, seed_lookup)
 }
 
 # ---------------------------------------------------------------- oracles
@@ -664,6 +674,14 @@ ORACLE = {
     "soft_delete_absent": _SOFT + """SELECT source, count(*) FILTER (source = 'sales_cur' AND coalesce(NOT is_deleted AND row_hash IS NOT NULL
         AND row_hash NOT IN (SELECT h FROM hashed), false)) AS deleted FROM core GROUP BY source""",
     "soft_delete_counts": _SOFT + f"SELECT source, count(*) FILTER (coalesce({_GONE_BY_SOURCE}, false)) AS deleted FROM core GROUP BY source",
+    "soft_delete_untouched": _SOFT + f""",
+        numbered AS (SELECT record_id, klient, status, {q.numeric_text('summa')} AS summa, _row_index FROM orders_sheet),
+        merged AS (SELECT DISTINCT ON (record_id) record_id, {_HASH} AS h FROM numbered WHERE coalesce(record_id, '') <> '' AND status <> 'P'
+          ORDER BY record_id, _row_index)
+        SELECT coalesce(legacy_id, record_id) AS legacy_id, CASE WHEN record_id IS NULL THEN row_hash ELSE h END AS row_hash,
+          CASE WHEN record_id IS NULL THEN source ELSE 'sales_cur' END AS source, record_id IS NULL AND (is_deleted OR g) AS is_deleted,
+          CASE WHEN record_id IS NULL AND g THEN '{AS_OF_SALES}' END AS deleted_at, CASE WHEN record_id IS NULL AND g THEN 'deleted' ELSE 'active' END AS status
+        FROM (SELECT *, coalesce({_GONE_BY_SOURCE}, false) AS g FROM core) FULL JOIN merged ON legacy_id = record_id""",
     "undelete": q.with_fixtures("clients_cur", "clients_hst", more=f"{CLIENT_CTES},\n{_OLD_CLIENTS},\n{_MERGED_CLIENTS}") + f"""
         SELECT legacy_id, name, status, balance, deleted_at, created_at, updated_at FROM merged WHERE created_at < '{AS_OF_SALES}' AND NOT is_deleted""",
     "distinct_employees": q.with_fixtures("trainings_cur", "trainings_hst") + """

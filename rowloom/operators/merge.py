@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rowloom.functions.text import quoted
+from rowloom.sources.shared import materialize
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column | str]) -> DataFrame:
@@ -41,32 +42,43 @@ def lookup_by_name(rows: DataFrame, name: Column, lookup: DataFrame, lookup_name
     return rows.join(splittable(ids, "__name"), name == F.col("__name"), how).drop("__name")
 
 
-def upsert(target: DataFrame, source: DataFrame, key: str, now: Column) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, key: str, now: Column, gone: DataFrame | None = None,
+           status: str | None = None) -> DataFrame:
     """MERGE on a unique key, as a new version of the target.
 
     Matched rows take all of the source's columns and are no longer deleted, `updated_at` is
     `now`; unmatched source rows are added with `created_at` and `updated_at` set; all other
     target rows stay as they are.  Both sides are unique on the key, so one full outer join
     does it without skew; target rows without a key cannot match and go around it.
+
+    `gone` has keys of the target, none of them in the source (`gone_keys`): their rows are stamped
+    deleted by the same join, and take `status` if one is given.
     """
-    hit, old = "s.__now IS NOT NULL", "t.__old"
-    s = source.withColumn("__now", now).alias("s")
+    hit, old, lost = "NOT s.__gone", "t.__old", "s.__gone"
+    s = source.withColumn("__gone", F.lit(False))
+    if gone is not None:
+        s = s.unionByName(gone.select(key, F.lit(True).alias("__gone")), allowMissingColumns=True)
+    s = s.withColumn("__now", now).alias("s")
     t = target.where(F.col(key).isNotNull()).withColumn("__old", F.lit(True)).alias("t")
     joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
     stamps = {"is_deleted": "false", "deleted_at": "NULL", "updated_at": "s.__now"}
+    marks = {} if gone is None else {"is_deleted": "true", "deleted_at": "s.__now"}
+    if marks and status:
+        marks["status"] = f"'{status}'"
 
     def value(name: str) -> str:
         kind, c = target.schema[name].dataType.simpleString(), quoted(name)
+        mark = f" WHEN {lost} THEN {marks[name]}" if name in marks else ""
         if name == key:
             picked = f"coalesce(s.{c}, t.{c})"
         elif name in source.columns:
-            picked = f"CASE WHEN {hit} THEN s.{c} ELSE t.{c} END"
+            picked = f"CASE WHEN {hit} THEN s.{c}{mark} ELSE t.{c} END"
         elif name in stamps:
-            picked = f"CASE WHEN {hit} THEN {stamps[name]} ELSE t.{c} END"
+            picked = f"CASE WHEN {hit} THEN {stamps[name]}{mark} ELSE t.{c} END"
         elif name == "created_at":
             picked = f"CASE WHEN {old} THEN t.{c} ELSE s.__now END"
         else:
-            picked = f"t.{c}"
+            picked = f"CASE{mark} ELSE t.{c} END" if mark else f"t.{c}"
         return f"CAST({picked} AS {kind}) AS {c}"
 
     # one text per column: core tables are wide, and this is the cheapest way to say it
@@ -90,8 +102,8 @@ def distinct_names(*frames: tuple[DataFrame, str]) -> DataFrame:
     return union.distinct()
 
 
-def staged_hashes(*stagings: tuple[str, DataFrame], hash_col: str = "__row_hash") -> DataFrame:
-    """(source, row_hash) of all staged rows, without repeats and NULLs."""
+def staged_rows(*stagings: tuple[str, DataFrame], hash_col: str = "__row_hash") -> DataFrame:
+    """(source, row_hash) of all staged rows that have a hash."""
     parts = [
         df.where(F.col(hash_col).isNotNull()).select(F.lit(source).alias("source"), F.col(hash_col).alias("row_hash"))
         for source, df in stagings
@@ -99,7 +111,12 @@ def staged_hashes(*stagings: tuple[str, DataFrame], hash_col: str = "__row_hash"
     union = parts[0]
     for more in parts[1:]:
         union = union.unionByName(more)
-    return union.distinct()
+    return union
+
+
+def staged_hashes(*stagings: tuple[str, DataFrame], hash_col: str = "__row_hash") -> DataFrame:
+    """(source, row_hash) of all staged rows, without repeats and NULLs."""
+    return staged_rows(*stagings, hash_col=hash_col).distinct()
 
 
 def soft_delete(
@@ -136,6 +153,40 @@ def soft_delete(
     )
 
 
+def gone_keys(target: DataFrame, source: DataFrame, key: str, staged: DataFrame, sources: Sequence[str] | None = None,
+              only: Sequence[str] | None = None) -> DataFrame:
+    """(key, source) of the rows that `soft_delete` would stamp after an upsert of `source`.
+
+    A row that the upsert hits carries a staged hash afterwards, so only live, hashed rows that it leaves
+    untouched are looked up, by key, source and hash alone.  They are written once; their size decides
+    whether the staged hashes have to be shuffled to meet them or are filtered where they lie.
+    """
+    on = ["source", "row_hash"] if sources else ["row_hash"]
+    limits = sources or only
+    live = target.where(F.col(key).isNotNull() & F.col("row_hash").isNotNull() & (F.col("is_deleted") == F.lit(False)))
+    if limits:
+        live = live.where(F.col("source").isin(*limits))
+    untouched = materialize(live.select(key, "source", "row_hash").join(source.select(key), key, "left_anti"), "untouched")
+    wanted = splittable(untouched.select(*on).distinct(), *on)
+    found = splittable(staged.select(*on).join(wanted, on, "left_semi").distinct(), *on)
+    return untouched.join(found, on, "left_anti").select(key, "source")
+
+
+def upsert_and_delete(target: DataFrame, source: DataFrame, key: str, now: Column, staged: DataFrame,
+                      sources: Sequence[str] | None = None, status: str | None = None,
+                      only: Sequence[str] | None = None) -> DataFrame:
+    """`upsert` and then `soft_delete`, with the same rows as one after the other, in one join of the target.
+
+    `source` has to come from the staged rows: what it hits counts as staged.  Rows without a key, which no
+    upsert hits, are looked up as `soft_delete` does.
+    """
+    source = materialize(source, "rows")
+    gone = materialize(gone_keys(target, source, key, staged, sources, only), "gone")
+    keyed = upsert(target.where(F.col(key).isNotNull()), source, key, now, gone, status)
+    keyless = soft_delete(target.where(F.col(key).isNull()), staged, now, sources, status, only)
+    return keyed.unionByName(keyless.drop("just_deleted"))
+
+
 def soft_delete_counts(marked: DataFrame) -> DataFrame:
     """Rows deleted just now, per source."""
     return marked.groupBy("source").agg(F.count_if(F.col("just_deleted")).alias("deleted"))

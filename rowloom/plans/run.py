@@ -249,32 +249,31 @@ def transform_phase(spark: SparkSession, s: Settings, now: Column, failed: dict[
     def clients() -> DataFrame:
         parts = [None if stg[n] is None else transforms.clients_rows(stg[n], h)
                  for n, h in (("clients_cur", False), ("clients_hst", True))]
-        merged = transforms.merge_current_then_history(_table(spark, "core.clients", layout.CLIENTS), *parts, now)
-        return _drop_gone(merged, ("clients_cur", "clients_hst"), by_source=False, status="deleted")
+        return _merged(_table(spark, "core.clients", layout.CLIENTS), parts, ("clients_cur", "clients_hst"), by_source=False, status="deleted")
 
     def schedule() -> DataFrame:
         people = _table(spark, "lookups.employees", layout.EMPLOYEES)
         known = spark.table("core.clients")
         parts = [None if stg[n] is None else transforms.schedule_rows(stg[n], known, people, now, h, s.schedule_year)
                  for n, h in (("trainings_cur", False), ("trainings_hst", True))]
-        merged = transforms.merge_current_then_history(_table(spark, "core.schedule", layout.SCHEDULE), *parts, now)
-        return sinks.clustered(_drop_gone(merged, ("trainings_cur", "trainings_hst")), "date", "legacy_id")
+        merged = _merged(_table(spark, "core.schedule", layout.SCHEDULE), parts, ("trainings_cur", "trainings_hst"))
+        return sinks.clustered(merged, "date", "legacy_id")
 
     def sales() -> DataFrame:
         known = spark.table("core.clients")
         parts = [None if stg[n] is None else transforms.sales_rows(stg[n], known, now, h)
                  for n, h in (("sales_cur", False), ("sales_hst", True))]
-        merged = transforms.merge_current_then_history(_table(spark, "core.sales", layout.SALES), *parts, now)
-        return sinks.clustered(_drop_gone(merged, ("sales_cur", "sales_hst")), "date", "legacy_id")
+        merged = _merged(_table(spark, "core.sales", layout.SALES), parts, ("sales_cur", "sales_hst"))
+        return sinks.clustered(merged, "date", "legacy_id")
 
-    def _drop_gone(merged: DataFrame, names: tuple[str, ...], by_source: bool = True, status: str | None = None) -> DataFrame:
+    def _merged(core: DataFrame, parts: list[DataFrame | None], names: tuple[str, ...], by_source: bool = True,
+                status: str | None = None) -> DataFrame:
         present = [(n, stg[n]) for n in names if stg[n] is not None]
         if not present:
-            return merged
-        hashes = merge.staged_hashes(*present)
+            return core
         staged = [n for n, _ in present]
-        marked = merge.soft_delete(merged, hashes, now, staged if by_source else None, status, only=staged)
-        return marked.drop("just_deleted")
+        return merge.upsert_and_delete(core, transforms.history_over_current(*parts), "legacy_id", now, merge.staged_rows(*present),
+                                       staged if by_source else None, status, only=staged)
 
     def balances() -> DataFrame:
         return marts.client_balances(

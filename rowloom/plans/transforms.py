@@ -168,16 +168,21 @@ def lost_cells(sheet: str, columns: list[str], year: int = fv.DEFAULT_SCHEDULE_Y
     return {c: lost(F.col(c), readings[kind](F.col(c))) for kind, names in typed.items() for c in names if c in columns}
 
 
+def history_over_current(current: DataFrame | None, history: DataFrame | None) -> DataFrame | None:
+    """The rows of both, one per key: on equal keys history wins."""
+    if current is None or history is None:
+        return history if current is None else current
+    ranked = current.withColumn("__rank", F.lit(1)).unionByName(history.withColumn("__rank", F.lit(0)))
+    return first_per_key(ranked, ["legacy_id"], ["__rank"]).drop("__rank")
+
+
 def merge_current_then_history(target: DataFrame, current: DataFrame | None, history: DataFrame | None, now: Column) -> DataFrame:
     """Upserts the current rows, then the historical ones: on equal keys history wins.
 
     The two are combined by key first, so the target is joined once.
     """
-    if current is None or history is None:
-        rows = history if current is None else current
-        return target if rows is None else upsert(target, rows, "legacy_id", now)
-    ranked = current.withColumn("__rank", F.lit(1)).unionByName(history.withColumn("__rank", F.lit(0)))
-    return upsert(target, first_per_key(ranked, ["legacy_id"], ["__rank"]).drop("__rank"), "legacy_id", now)
+    rows = history_over_current(current, history)
+    return target if rows is None else upsert(target, rows, "legacy_id", now)
 
 
 def new_employees(existing: DataFrame, *trainings: tuple[DataFrame, str]) -> DataFrame:

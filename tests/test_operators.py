@@ -1,10 +1,11 @@
 """Merge, soft delete, quality, ledgers, marts on small tables."""
 
+import random
 import uuid as uuids
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from rowloom import fixed_values as fv
 from rowloom.operators import ledger, merge, quality
@@ -170,3 +171,24 @@ def test_layouts_parse(spark):
     for ddl in (layout.CLIENTS, layout.SALES, layout.SCHEDULE, layout.EXPENSES, layout.EMPLOYEES, layout.PRODUCTS, layout.EXPENSE_CATEGORIES,
                 layout.RUNS, layout.TABLE_STATS, layout.VALIDATION_LOG):
         assert layout.conform(spark.range(1), ddl, F.lit(at(1))).count() == 1
+
+
+@pytest.mark.parametrize("by_source,seed", [(True, 1), (False, 2), (True, 3)])
+def test_upsert_and_delete_in_one_join(spark, by_source, seed):
+    """The same rows as an upsert and then a soft delete: NULL keys and hashes, other sources, rows deleted before, hashes of several rows."""
+    rng = random.Random(seed)
+    track = "legacy_id string, row_hash string, source string, is_deleted boolean, deleted_at timestamp, status string, created_at timestamp, updated_at timestamp"
+    hashes = [None, *(f"h{i}" for i in range(8))]
+    core = spark.createDataFrame(
+        [(rng.choice([None, f"k{i}"]) if i % 9 == 0 else f"k{i}", rng.choice(hashes), rng.choice(["cur", "hst", "else", None]),
+          rng.choice([True, False, False, None]), None, rng.choice(["vip", None]), at(1), at(1)) for i in range(120)], track)
+    staged = spark.createDataFrame([(rng.choice(["cur", "hst"]), h) for h in rng.choices(hashes[1:], k=6)], "source string, row_hash string")
+    sheet = staged.distinct().withColumn("n", F.row_number().over(Window.orderBy("source", "row_hash")))
+    rows = sheet.select(F.concat(F.lit("k"), F.col("n") * 25).alias("legacy_id"), "row_hash", "source", F.lit("new").alias("status"))
+    now, sources = F.lit(at(5)), ["cur", "hst"] if by_source else None
+    one = merge.upsert_and_delete(core, rows, "legacy_id", now, staged, sources, "deleted", only=["cur", "hst"])
+    two = merge.soft_delete(merge.upsert(core, rows, "legacy_id", now), staged, now, sources, "deleted", only=["cur", "hst"]).drop("just_deleted")
+    listed = lambda df: sorted(df.collect(), key=str)                                      # noqa: E731
+    assert listed(one) == listed(two) and one.where("status = 'deleted'").count() > 0
+    nothing = merge.upsert_and_delete(core.limit(0), rows.limit(0), "legacy_id", now, staged.limit(0), sources, "deleted")
+    assert nothing.isEmpty()

@@ -28,7 +28,7 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", ["client_balances", "cdc_diff", "upsert_clients", "soft_delete", "unified_customers", "validate_rows",
+@pytest.mark.parametrize("name", ["client_balances", "cdc_diff", "upsert_clients", "soft_delete", "soft_delete_untouched", "unified_customers", "validate_rows",
                                   "volume_anomaly", "constraint_checks", "insert_absent", "row_hash"])
 def test_no_cross_joins_and_no_python(spark, no_broadcast, name):
     plan = physical(registry.queries()[name](spark, SF))
@@ -104,6 +104,24 @@ def test_hot_hashes_are_split_in_soft_delete(spark, small_skew):
     assert marked.where("just_deleted").count() == 1
 
 
+def test_deleting_shuffles_the_wide_rows_once(spark, no_broadcast):
+    """Untouched rows are looked up by key, source and hash; the table's other columns cross one exchange, that of the upsert."""
+    core = hot(spark, 3000).select(F.col("id").cast("string").alias("legacy_id"), F.col("who").alias("row_hash"), F.lit("cur").alias("source"),
+                                   F.lit(False).alias("is_deleted"), F.lit(None).cast("timestamp").alias("deleted_at"), "load")
+    core = materialize(core)
+    rows = core.where("legacy_id % 10 < 8").select("legacy_id", F.concat(F.lit("new"), "row_hash").alias("row_hash"), "source")
+    staged = materialize(rows.select("source", "row_hash").unionByName(core.where("row_hash = 'hot'").select("source", "row_hash")))
+    now = F.current_timestamp()
+    gone = materialize(merge.gone_keys(core, rows, "legacy_id", staged, ["cur"]))
+    exchanges = [x for x in physical(merge.upsert(core, rows, "legacy_id", now, gone)).splitlines() if "Exchange hashpartitioning" in x]
+    assert len(exchanges) == 2 and not any("row_hash" in x for x in exchanges)
+    one_after_the_other = physical(merge.soft_delete(merge.upsert(core, rows, "legacy_id", now), staged, now, ["cur"]))
+    assert sum("Exchange hashpartitioning" in x and "row_hash" in x for x in one_after_the_other.splitlines()) >= 2
+    out = merge.upsert_and_delete(core, rows, "legacy_id", now, staged, ["cur"])
+    assert out.where("is_deleted").count() == gone.count() == sum(1 for i in range(3000) if i % 10 >= 8 and i % 3)
+    assert out.count() == 3000
+
+
 def test_hot_phones_are_split_in_the_identity_match(spark, small_skew):
     people = hot(spark, 20000).select(F.col("id").cast("string").alias("legacy_id"), F.col("load").alias("name"), F.lit(None).cast("timestamp").alias("updated_at"),
                                       F.when(F.col("who") == "hot", "+79000000000").otherwise(F.concat(F.lit("89000"), F.col("id").cast("string"))).alias("phone"))
