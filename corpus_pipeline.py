@@ -19,7 +19,8 @@ from rowloom.sources.shared import materialize
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, on hosts that do."""
     configure(spark)
-    measured = quality_rules.measure(docs)
+    # written with the texts: measuring takes more than writing, and a join would shuffle them
+    measured = materialize(quality_rules.measure(docs), "measured")
     judged = quality_rules.judge(measured, quality_rules.host_verdicts(measured, rules=quality_rules.HOST_RULES))
     return judged.filter("kept").select(docs.columns)
 
