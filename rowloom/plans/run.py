@@ -6,10 +6,12 @@ import logging
 import time
 import uuid
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowloom import fixed_values as fv
@@ -75,6 +77,7 @@ class Settings:
     state_table: str = "ops.source_state"     # how new each source was when it was loaded
     files_table: str = "ops.source_files"     # the files each source had when it was loaded
     losses_table: str = "ops.cell_losses"     # cells of each run that became 0, NULL or a default
+    sources_at_once: int = 4                  # sources loaded side by side
     seed: bool = True                         # add what the lookup tables always hold
     extra: list[tuple[str, Callable[[SparkSession], DataFrame]]] = field(default_factory=list)
 
@@ -189,19 +192,33 @@ def apply_changes(target: DataFrame, staged: DataFrame, table: str, pk: str, col
 
 
 def load_phase(spark: SparkSession, run_id: str, s: Settings, now: Column, failed: dict[str, str]) -> list[dict[str, Any]]:
-    """All sources in scope, one after the other; one that fails is noted in `failed` and does not stop the others."""
-    done = []
+    """All sources in scope, some at a time; one that fails is noted in `failed` and does not stop the others.
+
+    Each table has a scheduler pool of its own, so a large sheet does not hold up small ones where the session
+    schedules fairly.  Sources of one table go one after the other.  The ledger is written here, once.
+    """
+    by_table: dict[str, list[Source]] = {}
     for source in s.sources:
-        if not in_scope(source.table, s.scope):
-            continue
-        try:
-            figures = sync_table(spark, source, run_id, s, now)
-        except Exception as e:
-            log.exception("%s could not be loaded", source.table)
-            failed[source.table] = str(e)
-            continue
-        if figures["status"] != "skipped":
-            done.append(figures)
+        if in_scope(source.table, s.scope):
+            by_table.setdefault(source.table.lower(), []).append(source)
+
+    def load(sources: list[Source]) -> list[tuple[Source, dict[str, Any] | Exception]]:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", sources[0].table)
+        results: list[tuple[Source, dict[str, Any] | Exception]] = []
+        for source in sources:
+            try:
+                results.append((source, sync_table(spark, source, run_id, s, now)))
+            except Exception as e:
+                log.exception("%s could not be loaded", source.table)
+                results.append((source, e))
+        return results
+
+    with ThreadPoolExecutor(max_workers=max(1, s.sources_at_once)) as threads:
+        # wrapped one by one: each has its own copy of this thread's properties
+        going = [threads.submit(inheritable_thread_target(spark)(load), sources) for sources in by_table.values()]
+        results = [pair for one in going for pair in one.result()]
+    failed |= {source.table: str(found) for source, found in results if isinstance(found, Exception)}
+    done = [found for _, found in results if isinstance(found, dict) and found["status"] != "skipped"]
     if done and not s.dry_run:
         stats = spark.createDataFrame(
             [(run_id, f["table"], f["extracted"], f["inserted"], f["updated"], f["deleted"], f["unchanged"], f["errors"],

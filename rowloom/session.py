@@ -19,8 +19,9 @@ SETTINGS = {
 
 
 # To be given when the session is made: Python call sites of every expression are only of use
-# while debugging, and wide tables have thousands of expressions.
-AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+# while debugging, and wide tables have thousands of expressions.  Sources that are loaded side by
+# side share the executors fairly.
+AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false", "spark.scheduler.mode": "FAIR"}
 
 
 def configure(spark: SparkSession) -> SparkSession:

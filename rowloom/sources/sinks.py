@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -20,6 +21,8 @@ from rowloom.sources.versions import ConcurrentLoad, Registry
 
 log = logging.getLogger(__name__)
 
+_APPENDS: dict[str, threading.Lock] = {}
+
 # Cells as sheets write them: quotes doubled, blanks at the ends kept.
 SHEET_CSV = {"escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
@@ -59,14 +62,18 @@ def append_raw_dump(dump: DataFrame, path: str) -> None:
 
 
 def append_table(df: DataFrame, table: str, root: str | None = None, by: tuple[str, ...] = ()) -> None:
-    """Appends to a catalog table, which is made on the first call."""
-    if df.sparkSession.catalog.tableExists(table):
-        df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
-        return
-    writer = df.write.partitionBy(*by) if by else df.write
-    if root:
-        writer = writer.option("path", f"{root.rstrip('/')}/{table}")
-    writer.saveAsTable(table)
+    """Appends to a catalog table, which is made on the first call.
+
+    Threads of one driver take turns at a table: files of two appends that are committed at once share a scratch folder.
+    """
+    with _APPENDS.setdefault(table.lower(), threading.Lock()):
+        if df.sparkSession.catalog.tableExists(table):
+            df.select(*df.sparkSession.table(table).columns).write.insertInto(table)
+            return
+        writer = df.write.partitionBy(*by) if by else df.write
+        if root:
+            writer = writer.option("path", f"{root.rstrip('/')}/{table}")
+        writer.saveAsTable(table)
 
 
 def mart_cells(df: DataFrame) -> DataFrame:

@@ -1,11 +1,13 @@
 """Whole runs on a small set of sheets, twice, with changes in between."""
 
 import os
+import threading
 from datetime import datetime, timedelta
 
 import pytest
 
 from rowloom.operators.ledger import run_state
+from rowloom.plans import run as running
 from rowloom.plans.run import QualityFailed, Settings, Source, run
 from rowloom.sources import sinks
 from rowloom.sources.contracts import Contract, Rule
@@ -166,3 +168,48 @@ def test_a_sheet_that_is_not_staged_deletes_nothing(spark, tmp_path, clean_catal
     run(spark, settings(tmp_path, day))
     assert {r.name for r in spark.table("core.clients").where("is_deleted").collect()} == {"Борис"}
     assert {r.name for r in spark.table("core.clients").where("NOT is_deleted").collect()} == {"Анна", "Галина"}
+
+
+def test_sources_are_loaded_side_by_side(spark, tmp_path, clean_catalog, monkeypatch):
+    """Each source waits until another one is being loaded; one failure stays its own, and the ledger has the others."""
+    both, pools, load = threading.Barrier(2, timeout=120), {}, running.sync_table
+
+    def met(session, source, *rest):
+        pools[source.table] = session.sparkContext.getLocalProperty("spark.scheduler.pool")
+        both.wait()
+        if source.table.endswith("sales_cur"):
+            raise ValueError("no such sheet")
+        return load(session, source, *rest)
+
+    sheets(tmp_path, [["1", "Анна", "+7 900", "", "", ""]], [sale(1, "01.04.24", "Анна", "Разовое", "1")],
+           [["1", "05.04.", "9:00", "10:00", "Посетили", "", "", "", "Анна", "Тренер"]])
+    s = settings(tmp_path, datetime(2024, 5, 1, 6), sources_at_once=2, skip_transform=True, run_exports=False)
+    s.sources = s.sources[:2]
+    monkeypatch.setattr(running, "sync_table", met)
+    totals = run(spark, s)
+    assert pools == {x.table: x.table for x in s.sources}
+    assert totals["failed"] == {"stg_gsheets.sales_cur": "no such sheet"} and totals["status"] == "partial"
+    assert [(r.table_name, r.rows_extracted) for r in spark.table("ops.elt_table_stats").collect()] == [("stg_gsheets.clients_cur", 1)]
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None
+
+
+def test_sources_side_by_side_as_one_after_the_other(spark, tmp_path, clean_catalog):
+    """All sources append to the same dump and log, and two of them fill one table in turn."""
+    def of(n):
+        return [[str(i), f"имя {i}", "", "", "", ""] for i in range(n)]
+
+    for k in range(6):
+        write(tmp_path / f"c{k}.csv", ["record_id", "Клиент", "Мобильный", "Имя ребенка", "Дата рождения ребенка", "Тип"], of(k + 1) + [["x", "", "", "", "", ""]])
+    sources = [Source(f"stg_gsheets.clients_{k}", str(tmp_path / f"c{k}.csv"), pk="record_id") for k in range(5)]
+    sources.append(Source("stg_gsheets.clients_0", str(tmp_path / "c5.csv"), pk="record_id"))
+    found = []
+    for n in (1, 6):
+        s = Settings(sources=sources, contracts=CONTRACTS, now=datetime(2024, 5, 1, 6), skip_transform=True, run_exports=False, sources_at_once=n)
+        totals = run(spark, s)
+        figures = sorted((t["table"], t["status"], t["extracted"], t["inserted"], t["deleted"], t["errors"]) for t in totals["tables"])
+        logs = spark.table("ops.validation_logs").where(f"run_id = '{totals['run_id']}'").count() if spark.catalog.tableExists("ops.validation_logs") else 0
+        found.append((figures, spark.table("raw.sheets_dump").count(), logs, spark.table("stg_gsheets.clients_0").count()))
+        for x in sources[:5]:
+            sinks.drop_table(spark, x.table)
+        spark.sql("DROP TABLE raw.sheets_dump")
+    assert found[0] == found[1] and found[0][1] == sum(k + 2 for k in range(6)) and found[0][3] == 7
