@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowloom.llm import line_dedup, minhash, mixing, piece_encoding, quality_rules
-from rowloom.llm.common import WORD, fresh
+from rowloom.llm.common import WORD, fresh, row_key
 from rowloom.llm.queries import PIECE_VOCABULARY, documents
 from rowloom.session import configure
 from rowloom.sources.shared import materialize
@@ -19,9 +19,15 @@ from rowloom.sources.shared import materialize
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the rules, on hosts that do."""
     configure(spark)
-    # written with the texts: measuring takes more than writing, and a join would shuffle them
-    measured = materialize(quality_rules.measure(docs), "measured")
-    judged = quality_rules.judge(measured, quality_rules.host_verdicts(measured, rules=quality_rules.HOST_RULES))
+    # every text is measured once; what is written has keys and flags only, and texts that fail are told by their key
+    rules = quality_rules.HOST_RULES
+    measured = quality_rules.measure(docs).select(row_key(F.col("text")).alias("key"), "source", *rules, "base_failed")
+    measured = materialize(measured, "measured")
+    verdicts = quality_rules.host_verdicts(measured, rules=rules)
+    key = fresh(docs, "key")
+    failed = materialize(measured.filter("base_failed").select(F.col("key").alias(key)).distinct(), "failed")
+    passed = docs.withColumn(key, row_key(F.col("text"))).join(failed, key, "left_anti")
+    judged = quality_rules.judge(passed.withColumn("base_failed", F.lit(False)), verdicts)
     return judged.filter("kept").select(docs.columns)
 
 
