@@ -12,7 +12,7 @@ from harness.clean import as_of, flat
 from harness.fixtures import AS_OF_EVENTS, cells, fixture, table
 from rowloom import fixed_values as fv
 from rowloom.functions.hashing import row_hash
-from rowloom.operators import ledger, quality
+from rowloom.operators import ledger, ledger_days, quality
 from rowloom.sources import layout, sinks
 from rowloom.sources.shared import materialize, shared_folder
 from rowloom.sources.tabular import file_changes, is_modified, last_modified, read_tabular, source_files
@@ -86,6 +86,44 @@ def dq_trend(spark, sf):
     return flat(ledger.error_trend(fixture(spark, sf, "table_stats")).withColumn("error_rate", F.round("error_rate", 6)))
 
 
+def _days(spark, sf):
+    """The ledger's state, merged from that of the mornings and that of all other loads."""
+    stats = fixture(spark, sf, "table_stats")
+    morning = F.coalesce(F.hour("created_at") < 12, F.lit(False))
+    parts = [materialize(ledger_days.daily_state(stats.where(part)), "days") for part in (morning, ~morning)]
+    return materialize(ledger_days.merge_states(*parts), "days")
+
+
+def ledger_state(spark, sf):
+    newest = F.array_join(F.transform("newest", lambda load: load["run_id"]), ",")
+    return flat(_days(spark, sf).select("table_name", "day", "runs", *ledger_days.SUMS, newest.alias("newest")))
+
+
+def volume_anomaly_state(spark, sf):
+    out = quality.volume_anomalies(_current(spark, sf), ledger_days.newest_loads(_days(spark, sf)), _STAGED)
+    return out.select("table_name", "rows", "runs", "is_anomaly", *[F.round(c, 6).alias(c) for c in ("avg_rows", "deviation", "threshold")])
+
+
+def dq_trend_state(spark, sf):
+    return flat(ledger.error_trend(ledger_days.by_day(_days(spark, sf))).withColumn("error_rate", F.round("error_rate", 6)))
+
+
+def run_totals_state(spark, sf):
+    return ledger_days.totals(_days(spark, sf)).withColumn("table_name", F.coalesce("table_name", F.lit("ИТОГО")))
+
+
+def dup_keys_buckets(spark, sf):
+    """Customers with several orders, as a table in buckets has them noted after its pending orders have gone."""
+    name = f"orders_{uuid.uuid4().hex}"
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderkey", "o_orderstatus")
+    sinks.replace_in_buckets(o, name, "o_custkey", 16, shared_folder(spark))
+    pending = o.where("o_orderstatus = 'P'").select("o_custkey")
+    sinks.change_buckets(spark, name, pending, lambda part: part.where("o_orderstatus <> 'P'"))
+    found = materialize(sinks.repeated_keys(spark, name, "o_custkey"), "repeated")
+    sinks.drop_table(spark, name)
+    return found
+
+
 def run_kpis(spark, sf):
     out = ledger.run_kpis(ledger.runs_since(fixture(spark, sf, "runs"), as_of(AS_OF_EVENTS), 20))
     return out.withColumns({c: F.round(c, 6) for c in ("success_rate", "avg_duration")})
@@ -299,7 +337,7 @@ def conform(spark, sf):
 QUERIES = {
     f.__name__: f
     for f in (dup_keys, dup_hashes, cross_source_dups, null_counts, row_counts, last_stats, volume_anomaly, dq_issues, dq_summary,
-              dq_trend, run_kpis, runs_by_day, runs_window, recent_runs, run_totals, scope_tables, run_state, error_breakdown,
+              dq_trend, ledger_state, volume_anomaly_state, dq_trend_state, run_totals_state, dup_keys_buckets, run_kpis, runs_by_day, runs_window, recent_runs, run_totals, scope_tables, run_state, error_breakdown,
               product_profile, sample_rows, retention, expire_dumps, purge_logs, raw_dump, load_full, load_append, swap_load, read_gate, source_changes,
               read_sheet, sheet_texts, header_auto, conform)
 }
@@ -351,6 +389,12 @@ ORACLE = {
     "volume_anomaly": _STATS + """
         SELECT table_name, rows, runs, deviation > threshold AS is_anomaly, round(avg_rows, 6) AS avg_rows, round(deviation, 6) AS deviation,
           round(CAST(threshold AS DOUBLE), 6) AS threshold FROM compared""",
+    "ledger_state": q.with_fixtures("table_stats", more="""
+        numbered AS (SELECT *, date_trunc('day', created_at) AS day,
+          row_number() OVER (PARTITION BY table_name, date_trunc('day', created_at) ORDER BY created_at DESC, run_id DESC) AS n FROM table_stats)""") + f"""
+        SELECT table_name, {q.ts('day')} AS day, count(*) AS runs, {', '.join(f'CAST(sum({c}) AS BIGINT) AS {c}' for c in ledger_days.SUMS)},
+          string_agg(run_id, ',' ORDER BY created_at DESC, run_id DESC) FILTER (n <= 5) AS newest FROM numbered GROUP BY table_name, numbered.day""",
+    "dup_keys_buckets": "SELECT o_custkey, count(*) AS cnt FROM orders WHERE o_orderstatus <> 'P' GROUP BY o_custkey HAVING count(*) > 1",
     "dq_issues": _ISSUES + "SELECT * FROM issues ORDER BY severity, table_name, issue_type, message LIMIT 10",
     "dq_summary": _ISSUES + """
         SELECT coalesce(bool_or(severity = 'critical'), false) AS has_critical_issues, count(*) AS issue_count,
@@ -438,3 +482,5 @@ def _error_breakdown_sql() -> str:
 
 
 ORACLE["error_breakdown"] = _error_breakdown_sql()
+# the same reports, out of the ledger's state instead of its history
+ORACLE |= {f"{name}_state": ORACLE[name] for name in ("volume_anomaly", "dq_trend", "run_totals")}

@@ -123,9 +123,12 @@ def _issue(table: Column, kind: str, message: Column, severity: str) -> list[Col
     ]
 
 
-def table_issues(df: DataFrame, table: str, pk: str, critical: Sequence[str] = ()) -> DataFrame:
-    """Issues of one table: repeated keys (critical) and NULLs in critical columns (warnings)."""
-    dups = duplicate_keys(df, [pk]).agg(F.count("*").alias("n")).where("n > 0")
+def table_issues(df: DataFrame, table: str, pk: str, critical: Sequence[str] = (), repeated: DataFrame | None = None) -> DataFrame:
+    """Issues of one table: repeated keys (critical) and NULLs in critical columns (warnings).
+
+    `repeated` has the keys that occur more than once, if they are known already.
+    """
+    dups = (duplicate_keys(df, [pk]) if repeated is None else repeated).agg(F.count("*").alias("n")).where("n > 0")
     name = F.lit(table)
     issues = dups.select(
         *_issue(name, "DUPLICATES",

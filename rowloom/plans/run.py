@@ -15,7 +15,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from rowloom import fixed_values as fv
-from rowloom.operators import cdc, losses, merge, quality, validate as checks
+from rowloom.operators import cdc, ledger_days, losses, merge, quality, validate as checks
 from rowloom.plans import marts, transforms
 from rowloom.session import configure
 from rowloom.sources import layout, sinks
@@ -74,6 +74,7 @@ class Settings:
     staging: str = "stg_gsheets"              # where the transforms look for staged sheets
     runs_table: str = "ops.elt_runs"
     stats_table: str = "ops.elt_table_stats"
+    days_table: str = "ops.elt_table_days"    # the state of stats_table per table and day
     state_table: str = "ops.source_state"     # how new each source was when it was loaded
     files_table: str = "ops.source_files"     # the files each source had when it was loaded
     losses_table: str = "ops.cell_losses"     # cells of each run that became 0, NULL or a default
@@ -226,20 +227,47 @@ def load_phase(spark: SparkSession, run_id: str, s: Settings, now: Column, faile
             "run_id string, table_name string, rows_extracted bigint, rows_inserted bigint, rows_updated bigint, "
             "rows_deleted bigint, rows_unchanged bigint, validation_errors bigint, duration_ms bigint",
         )
-        sinks.append_table(layout.conform(stats, layout.TABLE_STATS, now), s.stats_table, s.root)
+        stats = layout.conform(stats, layout.TABLE_STATS, now)
+        sinks.append_table(stats, s.stats_table, s.root)
+        book_days(spark, s, stats)
     return done
 
 
+def book_days(spark: SparkSession, s: Settings, stats: DataFrame) -> None:
+    """Merges a run's rows of the ledger, already appended, into its state per day.
+
+    The history is read only if the state has not all of it: at first, and after a run that stopped in between or lost
+    its turn to another.
+    """
+    booked, state = spark.table(s.stats_table), None
+    if spark.catalog.tableExists(s.days_table):
+        merged = materialize(ledger_days.merge_states(spark.table(s.days_table), ledger_days.daily_state(stats)), "days")
+        state = merged if ledger_days.covers(merged, booked) else None
+    try:
+        sinks.replace_table(ledger_days.daily_state(booked) if state is None else state, s.days_table, s.root)
+    except sinks.ConcurrentLoad:
+        log.warning("%s has been replaced meanwhile; the next run makes it anew", s.days_table)
+
+
+def newest_loads(spark: SparkSession, s: Settings) -> DataFrame:
+    """Rows of the ledger with the newest loads of all tables: out of the state, or all if that lacks some."""
+    booked = spark.table(s.stats_table)
+    if spark.catalog.tableExists(s.days_table) and ledger_days.covers(state := spark.table(s.days_table), booked):
+        return ledger_days.newest_loads(state)
+    return booked.select("table_name", "created_at", "run_id", "rows_extracted")
+
+
 def quality_issues(spark: SparkSession, s: Settings) -> DataFrame | None:
     """Issues of the staged tables in scope."""
     sources = [x for x in s.sources if in_scope(x.table, s.scope) and spark.catalog.tableExists(x.table)]
     if not sources:
         return None
     tables = {x.table: spark.table(x.table) for x in sources}
-    found = [quality.table_issues(tables[x.table], x.table, x.pk, x.critical) for x in sources if x.pk in tables[x.table].columns]
+    found = [quality.table_issues(tables[x.table], x.table, x.pk, x.critical, sinks.repeated_keys(spark, x.table, x.pk))
+             for x in sources if x.pk in tables[x.table].columns]
     if spark.catalog.tableExists(s.stats_table):
         counts = quality.row_counts(tables)
-        found.append(quality.volume_issues(quality.volume_anomalies(counts, spark.table(s.stats_table), list(tables))))
+        found.append(quality.volume_issues(quality.volume_anomalies(counts, newest_loads(spark, s), list(tables))))
     issues = found[0]
     for more in found[1:]:
         issues = issues.unionByName(more)

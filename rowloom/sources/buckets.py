@@ -5,6 +5,8 @@ was last written, in the version's own folder or in one of an older version. The
 folder, says where; it has a row per bucket that holds rows. Readers see one whole version, as with other tables, for it is shown by
 the same swap of a view.
 
+A version also has its repeated keys, with their counts. A key lies in one bucket, so only the buckets that a load writes are counted again.
+
 Rows without a key are in bucket 0. Rows of one key are in one bucket, which the writer spreads over several tasks and files
 if it is large. The number of buckets is given once and bounds what reaches the driver: numbers and places of buckets.
 """
@@ -61,6 +63,24 @@ def places(spark: SparkSession, layout: Buckets) -> dict[int, str]:
     return {r["bucket"]: r["place"] for r in manifest(spark, layout).collect()}          # at most layout.n
 
 
+def repeated(spark: SparkSession, layout: Buckets) -> DataFrame | None:
+    """(bucket, key, cnt): the keys that a version has more than once, and its rows without a key; None if it was never counted."""
+    path, fs = _fs(spark, f"{layout.folder}/repeated/_SUCCESS")
+    return spark.read.parquet(f"{layout.folder}/repeated") if fs.exists(path) else None
+
+
+def _count_keys(spark: SparkSession, version: str, layout: Buckets, before: Buckets | None, changed: list[int] | None) -> None:
+    """Notes the repeated keys of a version: of the changed buckets as they are now, of the others as they were."""
+    rows, known = spark.table(version), repeated(spark, before) if before else None
+    if known is not None:
+        rows = rows.where(F.col(BUCKET).isin(changed or []))
+    counts = rows.groupBy(F.col(BUCKET).alias("bucket"), F.col(quoted(layout.key)).alias("key")).agg(F.count("*").alias("cnt"))
+    counts = counts.where("cnt > 1 OR key IS NULL")
+    if known is not None:
+        counts = counts.unionByName(known.where(~F.col("bucket").isin(changed or [])))
+    counts.write.parquet(f"{layout.folder}/repeated")
+
+
 def hit(keys: DataFrame, layout: Buckets) -> list[int]:
     """The buckets in which the keys of a table's only column lie: at most layout.n numbers."""
     found = keys.select(bucket_of(F.col(quoted(keys.columns[0])), layout.n).alias(BUCKET)).distinct()
@@ -92,6 +112,7 @@ def write_version(df: DataFrame, version: str, layout: Buckets, before: Buckets
     if written:
         parts = " ".join(f"PARTITION ({BUCKET} = {b}) LOCATION '{place}'" for b, place in sorted(written.items()))
         spark.sql(f"ALTER TABLE {version} ADD IF NOT EXISTS {parts}")
+    _count_keys(spark, version, layout, before, changed)
     spark.createDataFrame(sorted(written.items()), "bucket int, place string").coalesce(1).write.parquet(f"{layout.folder}/manifest")
 
 
@@ -105,7 +126,8 @@ def drop_files(spark: SparkSession, layout: Buckets, others: list[Buckets]) -> N
     for folder in {layout.folder} | {place.rpartition("/")[0] for place in gone}:
         path, fs = _fs(spark, folder)
         if folder == layout.folder:
-            fs.delete(_fs(spark, f"{folder}/manifest")[0], True)
+            for notes in ("manifest", "repeated"):
+                fs.delete(_fs(spark, f"{folder}/{notes}")[0], True)
         in_use = any(place.startswith(f"{folder}/") for place in used) or any(other.folder == folder for other in others)
         if fs.exists(path) and not in_use:
             fs.delete(path, True)

@@ -266,6 +266,16 @@ def change_buckets(spark: SparkSession, table: str, keys: DataFrame, change: Cal
     return Rewritten(len(changed), layout.n)
 
 
+def repeated_keys(spark: SparkSession, table: str, key: str) -> DataFrame | None:
+    """(key, cnt) of the keys that occur more than once in a table, as its version has them noted; None if it has not.
+
+    For tables kept in buckets by that key: the table itself is not read.
+    """
+    layout = buckets.buckets_of(spark, shown_version(spark, table))
+    found = buckets.repeated(spark, layout) if layout and layout.key == key else None
+    return None if found is None else found.where("key IS NOT NULL AND cnt > 1").select(F.col("key").alias(key), "cnt")
+
+
 def drop_table(spark: SparkSession, table: str) -> None:
     """Drops a table that was loaded by versions, with its backup and all files."""
     for view in (table, f"{table}_backup"):

@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from rowloom.operators import cdc, merge
+from rowloom.operators import cdc, merge, quality
 from rowloom.plans.run import apply_changes
 from rowloom.sources import buckets, sinks
 from rowloom.sources.shared import shared_folder
@@ -91,6 +91,56 @@ def test_files_go_with_the_last_version_that_shows_them(spark, place):
     assert not files(root, name)
 
 
+def test_only_changed_buckets_are_counted_again(spark, place, monkeypatch):
+    name, root = place
+    many = [(f"k{i}", i) for i in range(100)] + [(f"k{i}", -i) for i in range(0, 100, 5)] + [("hot", i) for i in range(200)] + [(None, 1), (None, 2)]
+    sinks.replace_in_buckets(table(spark, many), name, "k", 16, root)
+
+    def full():
+        return rows(quality.duplicate_keys(spark.table(name), ["k"]).select("k", F.col("cnt").alias("v")))
+
+    def noted():
+        return rows(sinks.repeated_keys(spark, name, "k").select("k", F.col("cnt").alias("v")))
+
+    assert noted() == full() and len(full()) == 21
+    counted = []
+    count = buckets._count_keys
+    monkeypatch.setattr(buckets, "_count_keys", lambda spark, version, layout, before, changed: counted.append(changed) or count(spark, version, layout, before, changed))
+    change = table(spark, [("k3", 7)])
+    sinks.change_buckets(spark, name, change.select("k"), lambda part: part.unionByName(change))
+    assert counted == [buckets.hit(change.select("k"), buckets.Buckets("k", 16, ""))] and noted() == full() and len(full()) == 22
+    gone = table(spark, [("hot", 0), ("k5", 0)]).select("k")
+    sinks.change_buckets(spark, name, gone, lambda part: part.join(gone, "k", "left_anti"))
+    assert noted() == full() and len(full()) == 20
+    layout = buckets.buckets_of(spark, sinks.shown_version(spark, name))
+    assert buckets.repeated(spark, layout).where("key IS NULL").first()["cnt"] == 2
+    # another key is not told by these notes, nor is a table without buckets
+    assert sinks.repeated_keys(spark, name, "v") is None
+    sinks.replace_table(table(spark, many), name, root)
+    assert sinks.repeated_keys(spark, name, "k") is None
+
+
+def test_issues_out_of_the_notes(spark, place):
+    name, root = place
+    sinks.replace_in_buckets(table(spark, [("a", 1), ("a", 2), ("b", 3), (None, 4), (None, 5)]), name, "k", 4, root)
+    df = spark.table(name)
+    found = quality.table_issues(df, name, "k", ["k"], sinks.repeated_keys(spark, name, "k"))
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, quality.table_issues(df, name, "k", ["k"]).collect()))
+
+
+def test_a_version_that_was_never_counted(spark, place):
+    """Tables that were loaded before there were such notes are counted whole by the next load."""
+    name, root = place
+    sinks.replace_in_buckets(table(spark, [("a", 1), ("a", 2), ("b", 3)]), name, "k", 8, root)
+    layout = buckets.buckets_of(spark, sinks.shown_version(spark, name))
+    path, fs = buckets._fs(spark, f"{layout.folder}/repeated")
+    fs.delete(path, True)
+    assert sinks.repeated_keys(spark, name, "k") is None
+    change = table(spark, [("b", 4)])
+    sinks.change_buckets(spark, name, change.select("k"), lambda part: part.unionByName(change))
+    assert rows(sinks.repeated_keys(spark, name, "k").select("k", F.col("cnt").alias("v"))) == [("a", 2), ("b", 2)]
+
+
 def test_nulls_hot_keys_and_emptied_buckets(spark, place):
     name, root = place
     many = [("hot", i) for i in range(300)] + [(None, 1), (None, 2), ("", 3)]
