@@ -143,6 +143,32 @@ def test_the_placeholder_phone(spark):
     assert marts.phone_classes(users, people, skip_placeholder=True).isEmpty()
 
 
+def _identities(spark, users, people, parts):
+    stamp = F.lit(None).cast("timestamp").alias("updated_at")
+    phone = lambda c: F.expr(f"CASE {c} % 6 WHEN 0 THEN NULL WHEN 1 THEN '+7 111 11 1{c} ' WHEN 2 THEN '8(900)000' ELSE '+70000000000' END".format(c=c))
+    t = spark.range(0, users, 1, parts).select(F.nullif(F.col("id"), F.lit(7)).alias("id"), F.lit("u").alias("username"), phone("id").alias("phone"), stamp)
+    c = spark.range(0, people, 1, parts).select(F.col("id").cast("string").alias("legacy_id"), F.lit("x").alias("name"), phone("id").alias("phone"), stamp)
+    return t.unionByName(t.where("id < 3")), c.unionByName(c.where("legacy_id IN ('3', '6')"))      # repeated rows are rows
+
+
+def test_pairs_of_a_crowded_phone_are_all_made_once(spark, monkeypatch):
+    """In blocks of three by three, the match has the rows of the plain full outer join."""
+    monkeypatch.setattr(marts, "PAIR_BLOCK", 3)
+    t, c = _identities(spark, 50, 90, 2)
+    digits = "regexp_replace({}.phone, '[^0-9]', '')"
+    plain = t.alias("t").join(c.alias("c"), F.expr(f"length(t.phone) > 5 AND {digits.format('t')} = {digits.format('c')}"), "full_outer")
+    wanted = plain.select(F.expr("t.id"), F.expr("legacy_id"), F.expr("t.phone"), F.expr("c.phone")).collect()
+    found = marts.unified_customers(t, c).select("tg_user_id", F.when(F.col("lifecycle_stage") == "client", F.col("id")), "tg_phone", "crm_phone").collect()
+    assert sorted(map(str, map(tuple, found))) == sorted(map(str, map(tuple, wanted)))
+
+
+def test_pairs_of_a_crowded_phone_are_spread(spark, all_partitions):
+    """Two sides of one task each, few bytes, and millions of pairs: no task makes a third of them."""
+    out = marts.unified_customers(*_identities(spark, 5000, 8000, 1))
+    made = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(made) > 10_000_000 and max(made) < sum(made) / 3
+
+
 def test_first_per_key_on_events(spark):
     plan = physical(merge.first_per_key(table(spark, SF, "events"), ["user_id"], ["ts"]))
     assert plan.count("WindowGroupLimit") == 2
