@@ -23,20 +23,26 @@ def slugify(text: str | None) -> str:
 
 
 def slug(c: Column) -> Column:
-    """slugify() over a column."""
-    one = {k: v for k, v in fv.TRANSLIT.items() if len(v) == 1}
-    more = {k: v for k, v in fv.TRANSLIT.items() if len(v) > 1}
-    s = F.translate(F.lower(c), "".join(one), "".join(one.values()))
-    for letter, spelled in more.items():
-        s = F.replace(s, F.lit(letter), F.lit(spelled))
-    s = F.regexp_replace(F.regexp_replace(s, "[^a-z0-9_]", ""), "_+", "_")
-    s = F.trim(s, F.lit("_"))
-    return (
-        F.when(F.coalesce(c == "", F.lit(True)), "col_unknown")
-        .when(s == "", "col_unnamed")
-        .when(s.rlike("^[0-9]"), F.concat(F.lit("col_"), s))
-        .otherwise(s)
-    )
+    """slugify() over a column.
+
+    Every step stands in the expression once, so that long texts are gone through once; letters are
+    spelled out only where there are any, and characters go by runs.
+    """
+    spelled = F.lower(c)
+    letters = {k: v for k, v in fv.TRANSLIT.items() if k.isalpha()}
+    one = {k: v for k, v in letters.items() if len(v) == 1}
+    told = F.translate(spelled, "".join(one), "".join(one.values()))
+    for letter, text in letters.items():
+        if len(text) > 1:
+            told = F.replace(told, F.lit(letter), F.lit(text))
+    # a range, as long lists of characters are slow to look through
+    spelled = F.when(c.rlike("[\u0400-\u04ff]"), told).otherwise(spelled)
+    # what becomes an underscore stays for now, and all else that is not of a name goes
+    gaps = "".join(re.escape(k) for k, v in fv.TRANSLIT.items() if v == "_")
+    kept = F.regexp_replace(spelled, f"[^a-z0-9_{gaps}]+", "")
+    s = F.trim(F.regexp_replace(kept, f"[_{gaps}]+", "_"), F.lit("_"))
+    named = F.regexp_replace(F.regexp_replace(s, r"^\z", "col_unnamed"), "^(?=[0-9])", "col_")
+    return F.when(F.coalesce(c == "", F.lit(True)), "col_unknown").otherwise(named)
 
 
 def normalize_headers(

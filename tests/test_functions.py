@@ -139,6 +139,18 @@ def test_slug(spark, header, name):
     assert apply(spark, slug, [header]) == [name]
 
 
+def test_slug_of_odd_texts(spark):
+    odd = [" -/", "a. ,-(b)", "_1", "Ё_№_ъЬ_Щи", "日本 2-3", "x\ny\tz", "-a--_/b-", "^&*$", "\\[x]", "АБВ-абв", "ЪЬ", "_", "٣ 4", "a№_№b", "9"]
+    assert apply(spark, slug, odd) == [slugify(x) for x in odd]
+
+
+def test_slug_goes_through_a_text_once(spark):
+    """Each pass over the text stands in the plan once, also if the slug is used twice."""
+    text = spark.range(1).select(F.concat(F.lit("Ы "), F.col("id").cast("string")).alias("v"))
+    plan = text.select(slug(F.col("v")).alias("s")).select(F.md5("s"), F.substring("s", 1, 9))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace") == 4 and plan.count("translate(") == 1
+
+
 def test_headers():
     assert normalize_headers(["Дата", "Дата", "updated_at", "x", "Дата 1"], mapping={"updated_at": "sheet_updated_at"}) == \
         ["data", "data_1", "sheet_updated_at", "x", "data_1_1"]
