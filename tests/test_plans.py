@@ -169,6 +169,20 @@ def test_pairs_of_a_crowded_phone_are_spread(spark, all_partitions):
     assert sum(made) > 10_000_000 and max(made) < sum(made) / 3
 
 
+@pytest.mark.parametrize(("files", "dealt"), [(1, True), (16, False)])
+def test_large_tables_are_dealt_out_by_their_join_only(spark, tmp_path, files, dealt):
+    """Tables in as many splits as there are cores cross no exchange before that of the join; small files are dealt to all cores."""
+    lines = spark.range(600).selectExpr(
+        "id AS l_orderkey", "1 AS l_linenumber", "'N' AS l_returnflag", "0.01D AS l_tax", "'O' AS l_linestatus", "id % 50 + 0D AS l_quantity",
+        "id + 0.5D AS l_extendedprice", "0D AS l_discount", "id % 7 AS l_suppkey")
+    orders = spark.range(500).selectExpr("id AS o_orderkey", "DATE'2020-01-31' AS o_orderdate", "id % 9 AS o_custkey")
+    for name, rows in (("lineitem", lines), ("orders", orders)):
+        rows.repartition(files).write.parquet(f"{tmp_path}/{name}.parquet")
+    sales = fixture(spark, str(tmp_path), "sales_cur")
+    assert ("RoundRobinPartitioning" in physical(sales)) == dealt
+    assert sales.agg(F.count("*"), F.sum("_row_index")).first() == (500, sum(8 * i + 3 for i in range(500)))
+
+
 def test_first_per_key_on_events(spark):
     plan = physical(merge.first_per_key(table(spark, SF, "events"), ["user_id"], ["ts"]))
     assert plan.count("WindowGroupLimit") == 2
