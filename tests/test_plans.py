@@ -10,7 +10,7 @@ from harness import sync
 from harness.fixtures import fixture, table
 from rowloom import fixed_values as fv
 from rowloom.operators import cdc, merge
-from rowloom.plans import marts
+from rowloom.plans import marts, transforms
 from rowloom.sources import layout, sinks
 from rowloom.sources.shared import materialize
 
@@ -183,6 +183,54 @@ def test_large_tables_are_dealt_out_by_their_join_only(spark, tmp_path, files, d
     assert sales.agg(F.count("*"), F.sum("_row_index")).first() == (500, sum(8 * i + 3 for i in range(500)))
 
 
+def _sheets(spark, repeats):
+    """Clients, and the two sheets of 400 sales; a `repeats`-th of the history's sales comes twice, and as many are in both sheets."""
+    names = spark.range(40).selectExpr("concat('n', id) AS name", "md5(concat('n', id)) AS legacy_id")
+    raw = spark.range(400).selectExpr("id", "concat('n', id % 41) AS who", "concat('0', 1 + id % 9, '.05.2024') AS day", "concat('p', id) AS what")
+    row = lambda df, shift, mark: df.selectExpr(
+        *[f"{v} AS `{c}`" for c, v in _CELLS[mark].items()], f"id + {shift} AS _row_index", f"md5(concat('{mark}', id, {shift})) AS __row_hash")
+    both = raw.where(f"id % {repeats} = 1")
+    return names, row(raw, 0, "cur"), row(raw.selectExpr("id + 400 AS id", "who", "day", "concat('h', what) AS what").unionByName(both), 0, "hst").unionByName(
+        row(both, 900, "hst"))
+
+
+_CELLS = {
+    "cur": {"data": "day", "klient": "who", "produkt": "what", "okonchatelnaya_stoimost": "'5'", "nalichnye": "'5'"} | dict.fromkeys(
+        ("tip", "kategoriya", "kolichestvo", "polnaya_stoimost", "skidka", "perevod", "terminal", "vdolg", "kommentariy", "admin", "trener"), "'1'"),
+    "hst": {"date": "day", "client_full": "who", "product": "what", "final_price": "'5'"} | dict.fromkeys(
+        ("product_type", "product_category", "quantity", "full_price"), "'2'"),
+}
+
+
+@pytest.mark.parametrize(("repeats", "most"), [(7, 1000), (7, 5)])
+def test_sales_that_come_once_do_not_meet_by_id(spark, no_broadcast, monkeypatch, repeats, most):
+    """Only rows whose id another row has are windowed; the rows are those of the plain windows, however many ids repeat."""
+    monkeypatch.setattr(merge, "AGAIN_MOST", most)
+    names, cur, hst = (materialize(df) for df in _sheets(spark, repeats))
+    now, core = F.lit("2024-06-01").cast("timestamp"), layout.empty(spark, layout.SALES)
+    merged = lambda again: transforms.merge_current_then_history(
+        core, transforms.sales_rows(cur, names, now, again=again), transforms.sales_rows(hst, names, now, history=True, again=again), now)
+    again = transforms.sales_again(cur, hst)
+    assert (again is None) == (most == 5)
+    plain, found = merged(None), merged(again)
+    assert found.columns == plain.columns
+    assert sorted(map(str, found.collect())) == sorted(map(str, plain.collect()))
+    if again is None:
+        return
+    # 57 of the history's ids come two or three times, and lie apart from the rest before they are looked up by name
+    assert again.count() == 57
+    plan = physical(merged(again))
+    assert plan.count("LeftAnti") == plan.count("LeftSemi") == len(re.findall(r"Exchange hashpartitioning\(legacy_id", plan)) == 2
+
+
+def test_sheets_without_repeated_ids_are_not_windowed(spark):
+    names, cur, _ = (materialize(df) for df in _sheets(spark, 1000))
+    now, again = F.lit("2024-06-01").cast("timestamp"), transforms.sales_again(cur, None)
+    rows = transforms.history_over_current(transforms.sales_rows(cur, names, now, again=again), None)
+    assert not re.search("Window|LeftAnti|LeftSemi|legacy_id#[0-9]+, [0-9]+", physical(rows).replace("min(legacy_id", ""))
+    assert rows.count() == 400 - 400 // 41 and "__again" not in rows.columns
+
+
 def test_first_per_key_on_events(spark):
     plan = physical(merge.first_per_key(table(spark, SF, "events"), ["user_id"], ["ts"]))
     assert plan.count("WindowGroupLimit") == 2
